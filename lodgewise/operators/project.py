@@ -14,11 +14,11 @@ def load_time(as_of=None) -> Column:
     return F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
 
 
-def _tagged(df: DataFrame, columns: list[Column], platform: str, as_of) -> DataFrame:
-    return df.select(*columns, F.lit(platform).alias("platform"), load_time(as_of).alias("processed_at"))
+def _tagged(df: DataFrame, columns: list[Column], platform: str, as_of, extra=()) -> DataFrame:
+    return df.select(*columns, F.lit(platform).alias("platform"), load_time(as_of).alias("processed_at"), *extra)
 
 
-def booking_hotels(df: DataFrame, as_of=None) -> DataFrame:
+def booking_hotels(df: DataFrame, as_of=None, extra=()) -> DataFrame:
     c = F.col
     columns = [
         c("row_id").alias("source_row_id"),
@@ -44,10 +44,10 @@ def booking_hotels(df: DataFrame, as_of=None) -> DataFrame:
         c("url").alias("booking_url"),
         c("facilities"),
     ]
-    return _tagged(of_class(df, "booking_hotel"), columns, BOOKING, as_of)
+    return _tagged(of_class(df, "booking_hotel"), columns, BOOKING, as_of, extra)
 
 
-def booking_reviews(df: DataFrame, as_of=None) -> DataFrame:
+def booking_reviews(df: DataFrame, as_of=None, extra=()) -> DataFrame:
     c = F.col
     columns = [
         c("row_id").alias("source_row_id"),
@@ -69,10 +69,10 @@ def booking_reviews(df: DataFrame, as_of=None) -> DataFrame:
         to_date("reviewDate").alias("review_date"),
         c("hotelRatingScores").alias("category_ratings"),
     ]
-    return _tagged(of_class(df, "booking_review"), columns, BOOKING, as_of)
+    return _tagged(of_class(df, "booking_review"), columns, BOOKING, as_of, extra)
 
 
-def tripadvisor_hotels(df: DataFrame, as_of=None) -> DataFrame:
+def tripadvisor_hotels(df: DataFrame, as_of=None, extra=()) -> DataFrame:
     c = F.col
     columns = [
         c("row_id").alias("source_row_id"),
@@ -101,10 +101,10 @@ def tripadvisor_hotels(df: DataFrame, as_of=None) -> DataFrame:
         to_int("photoCount").alias("photo_count"),
         c("amenities"),
     ]
-    return _tagged(of_class(df, "tripadvisor_hotel"), columns, TRIPADVISOR, as_of)
+    return _tagged(of_class(df, "tripadvisor_hotel"), columns, TRIPADVISOR, as_of, extra)
 
 
-def tripadvisor_reviews(df: DataFrame, as_of=None) -> DataFrame:
+def tripadvisor_reviews(df: DataFrame, as_of=None, extra=()) -> DataFrame:
     c = F.col
     columns = [
         c("row_id").alias("source_row_id"),
@@ -122,10 +122,10 @@ def tripadvisor_reviews(df: DataFrame, as_of=None) -> DataFrame:
         c("travelDate").alias("travel_date"),
         size_or_zero("photos").alias("photos_count"),
     ]
-    return _tagged(of_class(df, "tripadvisor_review"), columns, TRIPADVISOR, as_of)
+    return _tagged(of_class(df, "tripadvisor_review"), columns, TRIPADVISOR, as_of, extra)
 
 
-def geospatial_attractions(df: DataFrame, as_of=None) -> DataFrame:
+def geospatial_attractions(df: DataFrame, as_of=None, extra=()) -> DataFrame:
     c = F.col
     columns = [
         c("row_id").alias("source_row_id"),
@@ -150,7 +150,7 @@ def geospatial_attractions(df: DataFrame, as_of=None) -> DataFrame:
         c("openingHours").alias("opening_hours"),
         c("categories"),
     ]
-    return _tagged(of_class(df, "geospatial_attraction"), columns, MAPS, as_of)
+    return _tagged(of_class(df, "geospatial_attraction"), columns, MAPS, as_of, extra)
 
 
 PROJECTIONS = {
