@@ -110,9 +110,6 @@ def platform_hotels(tables: dict[str, DataFrame], settings: Settings) -> DataFra
         "name_key": name_key("hotel_name", settings.stop_words),
         "id": F.concat_ws(":", "platform", "key"),
     })
-    if settings.drop_outliers:
-        both = clean.remove_outliers(both, "price_idr", ["platform"])
-        both = clean.remove_outliers(both, "rating", ["platform"])
     return both.select(
         "id", "platform", "key", "hotel_name", "name_key", "accommodation_type", "stars", "hotel_class", "latitude",
         "longitude", "price_idr", "rating", "listed_reviews", "names", "breakfast", "collected_at",
@@ -225,6 +222,9 @@ def hotel_features(merged: DataFrame, settings: Settings) -> DataFrame:
         "log_price": scores.log_price("price_idr"),
         "popularity_score": scores.popularity("rating", F.coalesce("listed_reviews", F.lit(0))),
     })
+    ranked = percent_rank(flagged.select("hotel_id", "_area", "price_idr", "rating"), "price_idr", "price_rank_in_area", ["_area"])
+    ranked = percent_rank(ranked, "rating", "rating_rank_in_area", ["_area"])
+    ranked = market.with_segment(ranked, "price_idr").drop("_area", "price_idr", "rating")
     flagged = flagged.withColumns({
         "price_per_facility": scores.price_per_facility("price_idr", "_facilities"),
         "value_score": scores.value_score("facilities_score", "price_idr"),
@@ -232,10 +232,8 @@ def hotel_features(merged: DataFrame, settings: Settings) -> DataFrame:
         "availability_score": F.col("booking_platform_count") / F.lit(float(settings.known_platforms)),
         "data_freshness_score": scores.freshness("collected_at", F.lit(settings.as_of).cast("date")),
     })
-    ranked = percent_rank(flagged, "price_idr", "price_rank_in_area", ["_area"])
-    ranked = percent_rank(ranked, "rating", "rating_rank_in_area", ["_area"])
-    ranked = market.with_segment(ranked, "price_idr")
-    return temporal.with_calendar(ranked, "collected_at", settings.peak_months, settings.holidays)
+    dated = temporal.with_calendar(flagged, "collected_at", settings.peak_months, settings.holidays)
+    return dated.join(ranked, "hotel_id")
 
 
 def prediction_dataset(hotel: DataFrame, review: DataFrame, geo: DataFrame, settings: Settings) -> DataFrame:
@@ -261,7 +259,10 @@ def _columns_of(part: DataFrame, first: list[str]) -> list[Column]:
 def model_tables(classified: DataFrame, settings: Settings) -> dict[str, DataFrame]:
     """`prediction_dataset` and its three parts."""
     tables = clean_tables(classified, settings)
-    merged = cut(merged_hotels(cut(platform_hotels(tables, settings)), settings))
+    hotels = cut(platform_hotels(tables, settings))
+    if settings.drop_outliers:
+        hotels = cut(clean.remove_outliers(hotels, ["price_idr", "rating"], ["platform"]))
+    merged = cut(merged_hotels(hotels, settings))
     hotel = hotel_features(merged, settings)
     review = review_features(all_reviews(tables), merged, settings)
     geo = cut(geospatial_features(merged, tables["geospatial_attractions"], settings))
@@ -275,14 +276,20 @@ def model_tables(classified: DataFrame, settings: Settings) -> dict[str, DataFra
     }
 
 
+def land_classified(records: DataFrame, path: str, rules=CORRECTED) -> DataFrame:
+    """Write the classified records, one folder per class, so that later steps read one class and few columns."""
+    classified = classify(records, rules)
+    write_table(classified, path, (CLASS,))
+    return records.sparkSession.read.schema(classified.schema).parquet(path)
+
+
 def run(spark: SparkSession, records: DataFrame, out: str, settings: Settings, rules=CORRECTED, features: bool = True) -> DataFrame:
     """Write every table under `out` and give the statistics.
 
     The classified records are written first, one folder per class; every later step reads only the
     folders and columns it needs.
     """
-    landed = write_table(classify(records, rules), f"{out}/classified", (CLASS,), mode="overwrite")
-    classified = spark.read.schema(classify(records.limit(0), rules).schema).parquet(landed)
+    classified = land_classified(records, f"{out}/classified", rules)
     tables = typed_tables(classified, settings.as_of)
     written = write_tables(tables, out)
     stored = {n: spark.read.schema(tables[n].schema).parquet(p) for n, p in written.items()}

@@ -5,6 +5,7 @@ conversations for reviews, regions for failed pages. Every row of these tables b
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
 from lodgewise.operators.spatial import union_all
 from lodgewise.schema import raw_schema
@@ -35,9 +36,10 @@ def rupiah(amount: Column) -> Column:
 
 def _fit(df: DataFrame) -> DataFrame:
     """All fields of the raw schema, null where a table has none."""
-    fields = raw_schema(keep_corrupt=False).fields
-    present = [F.col(f.name).cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType) for f in fields]
-    return df.select("row_id", *[c.alias(f.name) for c, f in zip(present, fields)])
+    schema = raw_schema(keep_corrupt=False)
+    kinds = {f.name: f.dataType for f in schema.fields}
+    typed = df.select("row_id", *[F.col(c).cast(kinds[c]).alias(c) for c in df.columns if c != "row_id"])
+    return typed.to(T.StructType([T.StructField("row_id", T.LongType()), *schema.fields]))
 
 
 def _when(condition: Column, value) -> Column:
