@@ -2,7 +2,7 @@
 
 import math
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 EARTH_RADIUS_KM = 6371.0
 HALF_TURN_KM = math.pi * EARTH_RADIUS_KM
@@ -64,27 +64,26 @@ def cell_of(lat, lon, step: float) -> Column:
     return _cell_id(row, F.least(n - 1, _floor(flon * n / F.lit(360.0))))
 
 
-def cells_within(lat, lon, radius_km: float, step: float) -> Column:
-    """All cells that can hold a point within the radius, over the date line and the poles as well."""
-    flat, flon = _on_globe(F.col(lat) if isinstance(lat, str) else lat, F.col(lon) if isinstance(lon, str) else lon)
-    reach = radius_km / EARTH_RADIUS_KM + _SLACK_RADIANS
-    reach_deg = F.lit(math.degrees(reach))
-    spans_pole = F.abs(flat) + reach_deg >= F.lit(90.0)
+def with_cells_within(df: DataFrame, lat: str, lon: str, radius_km: float, name: str) -> DataFrame:
+    """One row per grid cell of `grid_step(radius_km)` that can hold a point within the radius.
+
+    Covers the cells over the date line and around the poles; no cell comes twice for a row.
+    """
+    step, reach = grid_step(radius_km), radius_km / EARTH_RADIUS_KM + _SLACK_RADIANS
+    flat, flon = _on_globe(F.col(lat), F.col(lon))
+    spans_pole = F.abs(flat) + F.lit(math.degrees(reach)) >= F.lit(90.0)
     # Widest difference in longitude on a circle around a point that does not hold a pole.
-    half = F.when(spans_pole, F.lit(360.0)).otherwise(
-        F.degrees(F.asin(F.least(F.lit(1.0), F.lit(math.sin(min(reach, math.pi / 2))) / F.cos(F.radians(flat)))))
-        + F.lit(math.degrees(_SLACK_RADIANS))
-    )
-
-    def row_cells(row: Column) -> Column:
-        n = _columns_in(row, step)
-        whole = half * F.lit(2.0) + F.lit(360.0) / n >= F.lit(360.0)
-        first = F.when(whole, F.lit(0)).otherwise(_floor((flon - half) * n / F.lit(360.0)))
-        last = F.when(whole, n - 1).otherwise(_floor((flon + half) * n / F.lit(360.0)))
-        return F.transform(F.sequence(first, last), lambda c: _cell_id(row, F.pmod(c, n)))
-
-    rows = F.sequence(_row_of(flat - reach_deg, step), _row_of(flat + reach_deg, step))
-    return F.flatten(F.transform(rows, row_cells))
+    widest = F.asin(F.least(F.lit(1.0), F.lit(math.sin(min(reach, math.pi / 2))) / F.cos(F.radians(flat))))
+    half = F.when(spans_pole, F.lit(360.0)).otherwise(F.degrees(widest) + F.lit(math.degrees(_SLACK_RADIANS)))
+    rows = df.withColumns({"_flon": flon, "_half": half, "_row0": _row_of(flat, step)})
+    rows = rows.select("*", F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))).alias("_up"))
+    rows = rows.withColumn("_row", F.col("_row0") + F.col("_up"))
+    rows = rows.filter(F.col("_row").between(0, math.floor(180.0 / step))).withColumn("_n", _columns_in(F.col("_row"), step))
+    n, around = F.col("_n"), F.col("_half") * F.lit(2.0) + F.lit(360.0) / F.col("_n") >= F.lit(360.0)
+    first = F.when(around, F.lit(0)).otherwise(_floor((F.col("_flon") - F.col("_half")) * n / F.lit(360.0)))
+    last = F.when(around, n - 1).otherwise(_floor((F.col("_flon") + F.col("_half")) * n / F.lit(360.0)))
+    rows = rows.withColumn("_column", F.explode(F.sequence(first, last)))
+    return rows.select(*df.columns, _cell_id(F.col("_row"), F.pmod("_column", n)).alias(name))
 
 
 def unit_vector(lat, lon) -> list[Column]:

@@ -10,9 +10,10 @@ import functools
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lodgewise.functions.geo import (
-    cell_of, cells_within, chord, chord_of_km, chord_squared, grid_step, has_position, haversine_km, unit_vector,
+    cell_of, chord, chord_of_km, chord_squared, grid_step, has_position, haversine_km, unit_vector, with_cells_within,
 )
 from lodgewise.operators.skew import split_hot_keys, spread
+from lodgewise.session import cut
 
 COORDINATES = ("latitude", "longitude")
 # Slack for straight distances on the unit sphere, about 6 mm on the ground; it only adds candidates.
@@ -51,7 +52,7 @@ def radius_join(
         raise ValueError(f"columns on both sides: {sorted(shared)}")
     step = grid_step(radius_km)
     a = spread(left.filter(has_position(F.col(left_at[0]), F.col(left_at[1]))))
-    a = _with_vector(a, left_at, "_a").withColumn("_cell", F.explode(cells_within(*left_at, radius_km, step)))
+    a = with_cells_within(_with_vector(a, left_at, "_a"), *left_at, radius_km, "_cell")
     b = right.filter(has_position(F.col(right_at[0]), F.col(right_at[1])))
     b = _with_vector(b, right_at, "_b").withColumn("_cell", cell_of(*right_at, step))
     keys = ["_cell"]
@@ -118,7 +119,7 @@ class _Tree:
     """
 
     def __init__(self, sites: DataFrame):
-        self.sites = sites
+        self.sites = cut(sites)  # read once per level below
         nodes = [F.struct(F.lit(m).alias("m"), self._site_node(m).alias("q")) for m in _LEVELS]
         stats = (
             self.sites.select(F.explode(F.array(*nodes)).alias("s"))
