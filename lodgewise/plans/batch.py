@@ -256,24 +256,33 @@ def _columns_of(part: DataFrame, first: list[str]) -> list[Column]:
     return [F.col(c) for c in first] + [F.col(c) for c, _ in FEATURE_COLUMNS if c in part.columns and c in wanted and c not in first]
 
 
-def model_tables(classified: DataFrame, settings: Settings) -> dict[str, DataFrame]:
-    """`prediction_dataset` and its three parts."""
+MODEL_TABLES = ("prediction_dataset", "hotel_features", "review_features", "geospatial_features")
+
+
+def model_tables(classified: DataFrame, settings: Settings, names=MODEL_TABLES) -> dict[str, DataFrame]:
+    """`prediction_dataset` and its three parts, or those of them that are named."""
     tables = clean_tables(classified, settings)
     hotels = cut(platform_hotels(tables, settings))
     if settings.drop_outliers:
         hotels = cut(clean.remove_outliers(hotels, ["price_idr", "rating"], ["platform"]))
     merged = cut(merged_hotels(hotels, settings))
-    hotel = hotel_features(merged, settings)
-    review = review_features(all_reviews(tables), merged, settings)
-    geo = cut(geospatial_features(merged, tables["geospatial_attractions"], settings))
-    return {
-        "prediction_dataset": prediction_dataset(hotel, review, geo, settings),
-        "hotel_features": hotel.withColumn("hotel_name_clean", F.col("name_key")).select(
+    whole = "prediction_dataset" in names
+    made = {}
+    if whole or "hotel_features" in names:
+        hotel = hotel_features(merged, settings)
+        made["hotel_features"] = hotel.withColumn("hotel_name_clean", F.col("name_key")).select(
             *_columns_of(hotel, ["hotel_id", "hotel_name_clean"])
-        ),
-        "review_features": review.select(*_columns_of(review, ["hotel_id"])),
-        "geospatial_features": geo.select(*_columns_of(geo, ["hotel_id"])),
-    }
+        )
+    if whole or "review_features" in names:
+        review = review_features(all_reviews(tables), merged, settings)
+        made["review_features"] = review.select(*_columns_of(review, ["hotel_id"]))
+    if whole or "geospatial_features" in names:
+        geo = geospatial_features(merged, tables["geospatial_attractions"], settings)
+        geo = cut(geo) if whole else geo
+        made["geospatial_features"] = geo.select(*_columns_of(geo, ["hotel_id"]))
+    if whole:
+        made["prediction_dataset"] = prediction_dataset(hotel, review, geo, settings)
+    return {n: made[n] for n in names}
 
 
 def land_classified(records: DataFrame, path: str, rules=CORRECTED) -> DataFrame:

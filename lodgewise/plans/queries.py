@@ -8,11 +8,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lodgewise.functions import casts, scores, text
-from lodgewise.functions.geo import has_position, haversine_km
+from lodgewise.functions.geo import grid_step, has_position, haversine_km
 from lodgewise.operators import (
     classify, clean, facilities, market, match, nested, project, quality, ranking, records, reviews, spatial, stats, temporal,
 )
 from lodgewise.plans import batch, lodging_feed as feed
+from lodgewise.schema import FEATURE_COLUMNS
 from lodgewise.session import shared_folder
 from lodgewise.sources import tables
 from lodgewise.streaming import incremental
@@ -188,15 +189,14 @@ def explode_array(spark, sf_dir):
     return rows.select("vec_id", F.col("position").cast("int"), F.col("record").cast("double"))
 
 
-@query("explode_struct_records", """SELECT k AS user_id, event_type, "value", p AS position FROM (
-  SELECT user_id AS k, event_type, "value", CAST(row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS INTEGER) AS p FROM events)""")
+@query("explode_struct_records", """SELECT event_id // 64 AS file, user_id, event_type, "value",
+  CAST(row_number() OVER (PARTITION BY event_id // 64 ORDER BY event_id) - 1 AS INTEGER) AS position FROM events""")
 def explode_struct_records(spark, sf_dir):
-    """One array column per user, as a catalog table holds it, back to flat records in order."""
-    grouped = read(spark, sf_dir, "events").groupBy("user_id").agg(
-        F.array_sort(F.collect_list(F.struct("event_id", "event_type", "value"))).alias("array")
-    )
-    rows = records.explode_records(grouped, "array", "user_id", expand=False)
-    return rows.select("user_id", "record.event_type", "record.value", F.col("position").cast("int"))
+    """Arrays of up to 64 structs, as a catalog table of small files holds them, back to flat records in order."""
+    one = F.struct("event_id", "user_id", "event_type", "value")
+    held = read(spark, sf_dir, "events").groupBy(F.floor(F.col("event_id") / 64).alias("file")).agg(F.array_sort(F.collect_list(one)).alias("array"))
+    rows = records.explode_records(held, "array", "file", expand=False)
+    return rows.select("file", "record.user_id", "record.event_type", "record.value", F.col("position").cast("int"))
 
 
 @query("project_typed", f"""WITH {MIXED_SQL}
@@ -984,14 +984,129 @@ def dq_violations(spark, sf_dir):
 
 # --- the model tables -------------------------------------------------------------------------------
 
+def model_sql() -> str:
+    """Common table expressions of the model tables: hotels, their match, and the three parts."""
+    n, s = clean_sql("hotel_name"), "1e0 - levenshtein(a.n, b.n) / CAST(greatest(length(a.n), length(b.n)) AS DOUBLE)"
+    d = hav("a.latitude", "a.longitude", "b.latitude", "b.longitude")
+    step = repr(grid_step(5.0)) + "e0"
+    row = f"CAST(floor((latitude + 90) / {step}) AS BIGINT)"
+    width = f"floor({360.0 / grid_step(5.0)!r}e0 * cos(radians(greatest(abs(r * {step} - 90), abs(r * {step} - 90 + {step})))))"
+    flags_b = {"has_wifi": "k % 3 <> 0", "has_ac": "k % 2 = 0", "has_restaurant": "k % 7 = 0", "has_room_service": "k % 5 = 0", "has_24h_reception": "k % 4 = 0"}
+    flags_t = {"has_wifi": "k % 2 = 0", "has_ac": "k % 3 = 0", "has_pool": "k % 4 = 1", "has_parking": "TRUE"}
+    def side(flags):
+        return ", ".join(f"{flags.get(f, 'FALSE')} AS {f}" for f in facilities.FLAGS)
+
+    count_b, count_t = (" + ".join(f"CAST({v} AS INTEGER)" for v in f.values()) for f in (flags_b, flags_t))
+    days = ", ".join(f"abs(date_diff('day', DATE '{h}', collected))" for h in HOLIDAYS)
+    rings = ", ".join(f"CAST(count(*) FILTER (km <= {r}e0) AS INTEGER) AS attraction_density_{r}km" for r in (1, 2, 5))
+    marks = ", ".join(f"{hav('latitude', 'longitude', f'({a}e0)', f'{b}e0')} AS {c}" for c, (a, b) in CITY.items())
+    categories = ", ".join(f"avg(DISTINCT score) FILTER (code = '{c}') AS {name}" for c, name in reviews.CATEGORY_COLUMNS.items())
+    return f"""{BH_SQL}, {TH_SQL}, {AT_SQL}, {lexicon_sql()},
+a AS (SELECT *, {n} AS n FROM bh), b AS (SELECT *, {n} AS n FROM th),
+pairs AS (SELECT a.k AS a_id, b.k AS b_id, {s} AS similarity, {d} AS km FROM a, b WHERE a.latitude IS NOT NULL),
+good AS (SELECT *, row_number() OVER (PARTITION BY a_id ORDER BY similarity DESC, km, CAST(b_id AS VARCHAR)) AS ra,
+  row_number() OVER (PARTITION BY b_id ORDER BY similarity DESC, km, CAST(a_id AS VARCHAR)) AS rb FROM pairs WHERE km < 0.1e0 AND similarity >= 0.6e0),
+m AS (SELECT a_id, b_id FROM good WHERE ra = 1 AND rb = 1),
+pa AS (SELECT a.*, CAST(amount AS DOUBLE) AS price, {side(flags_b)}, {count_b} AS names FROM a),
+pb AS (SELECT b.*, CAST(amount AS DOUBLE) AS price, {side(flags_t)}, {count_t} AS names FROM b),
+merged AS (
+  SELECT sha256('booking.com:' || pa.k) AS hotel_id, pa.n AS hotel_name_clean, pa.accommodation_type, CAST(pa.stars AS DOUBLE) AS stars, pa.stars AS hotel_class,
+    pa.latitude, pa.longitude, pa.price AS price_idr, CASE WHEN pb.k IS NULL THEN 0e0 ELSE pow((pa.price - pb.price) / 2, 2) END AS price_variance_platforms,
+    CASE WHEN pa.rating IS NOT NULL AND pb.rating IS NOT NULL THEN (pa.rating + pb.rating * 2) / 2 ELSE coalesce(pa.rating, pb.rating * 2) END AS rating,
+    1 - abs(pa.rating - pb.rating * 2) / 10 AS review_consistency, pa.reviews AS listed, pa.names + coalesce(pb.names, 0) AS names, pa.collected,
+    CASE WHEN pb.k IS NULL THEN 'booking' ELSE 'merged' END AS platform_source, pa.k AS a_k, pb.k AS b_k,
+    {', '.join(f"pa.{f} OR coalesce(pb.{f}, FALSE){' OR pa.breakfast IS NOT NULL' if f == 'has_breakfast' else ''} AS {f}" for f in facilities.FLAGS)}
+  FROM pa LEFT JOIN m ON a_id = pa.k LEFT JOIN pb ON pb.k = b_id
+  UNION ALL SELECT sha256('tripadvisor.com:' || k), n, accommodation_type, CAST(stars AS DOUBLE), stars, latitude, longitude, price, 0e0, rating * 2, NULL, reviews, names,
+    DATE '{AS_OF}', 'tripadvisor', NULL, k, {', '.join(facilities.FLAGS)} FROM pb WHERE k NOT IN (SELECT b_id FROM m)),
+scored AS (SELECT *, ({' + '.join(f'CAST({f} AS INTEGER)' for f in facilities.FLAGS)}) * 10e0 AS facilities_score FROM merged),
+located AS (SELECT *, CAST(floor((longitude + 180) * {width} / 360) AS BIGINT) AS c FROM (SELECT *, {row} AS r FROM scored WHERE latitude IS NOT NULL)),
+price_ranks AS (SELECT hotel_id, percent_rank() OVER (PARTITION BY r, c ORDER BY price_idr) AS price_rank_in_area FROM located),
+rating_ranks AS (SELECT hotel_id, percent_rank() OVER (PARTITION BY r, c ORDER BY rating) AS rating_rank_in_area FROM located WHERE rating IS NOT NULL),
+terciles AS (SELECT quantile_cont(price_idr, 1/3e0) AS low, quantile_cont(price_idr, 2/3e0) AS high FROM merged),
+hotel_part AS (SELECT scored.hotel_id, hotel_name_clean, price_idr, ln(price_idr) AS log_price, platform_source, latitude, longitude, accommodation_type, stars, hotel_class,
+  {', '.join(facilities.FLAGS)}, facilities_score, price_rank_in_area, rating_rank_in_area,
+  dayofweek(collected) IN (0, 6) AS is_weekend, CAST(month(collected) AS INTEGER) AS month, CAST(quarter(collected) AS INTEGER) AS quarter,
+  month(collected) IN (6, 7, 12) AS is_peak_season, CAST(least({days}) AS INTEGER) AS days_to_holiday,
+  CASE WHEN price_idr <= low THEN 'budget' WHEN price_idr <= high THEN 'mid-range' ELSE 'luxury' END AS market_segment,
+  CASE WHEN platform_source = 'merged' THEN 2 ELSE 1 END AS booking_platform_count, CASE WHEN names > 0 THEN price_idr / names END AS price_per_facility,
+  rating * ln(1 + listed) AS popularity_score, facilities_score / (price_idr / 1e5) AS value_score, price_variance_platforms,
+  platform_source = 'merged' AS cross_platform_availability, exp(-date_diff('day', collected, DATE '{AS_OF}') / 180e0) AS data_freshness_score
+  FROM scored CROSS JOIN terciles LEFT JOIN price_ranks USING (hotel_id) LEFT JOIN rating_ranks USING (hotel_id)),
+geo AS (SELECT h.hotel_id, {hav('h.latitude', 'h.longitude', 'att.latitude', 'att.longitude')} AS km, category_name FROM merged h, att WHERE h.latitude IS NOT NULL),
+near AS (SELECT hotel_id, min(km) AS distance_to_nearest_attraction, {rings},
+  CAST(count(*) FILTER (km <= 1e0 AND lower(category_name) LIKE '%restaurant%') AS INTEGER) AS restaurant_density_1km FROM geo GROUP BY 1),
+rivals AS (SELECT a.hotel_id, CAST(count(*) FILTER ({d} <= 0.5e0) - 1 AS INTEGER) AS competitors_within_500m
+  FROM merged a, merged b WHERE a.latitude IS NOT NULL AND b.latitude IS NOT NULL GROUP BY 1),
+geo_part AS (SELECT merged.hotel_id, latitude, longitude, {marks}, near.* EXCLUDE (hotel_id), competitors_within_500m
+  FROM merged LEFT JOIN near USING (hotel_id) LEFT JOIN rivals USING (hotel_id)),
+links AS (SELECT 'b' AS p, a_k AS k, hotel_id FROM merged WHERE a_k IS NOT NULL UNION ALL SELECT 't', b_k, hotel_id FROM merged WHERE b_k IS NOT NULL),
+facts AS (SELECT 'b' AS p, user_id AS k, CAST(ts AS DATE) AS day,
+    CASE event_type WHEN 'view' THEN 'solo' WHEN 'click' THEN 'couple' WHEN 'purchase' THEN 'family' WHEN 'signup' THEN 'group' END AS kind,
+    CASE WHEN event_type IN ('purchase', 'signup') THEN 1 ELSE 0 END AS pos, CASE WHEN event_type IN ('error', 'click') THEN 2 ELSE 0 END AS neg FROM events
+  UNION ALL SELECT 't', conv_id, CAST('2024-' || lpad(CAST(1 + conv_id % 12 AS VARCHAR), 2, '0') || '-15' AS DATE),
+    CASE WHEN turn % 2 = 0 THEN 'family' ELSE 'business' END, pos, neg FROM (
+    SELECT conv_id, turn, sum(greatest(coalesce(weight, 0), 0)) AS pos, sum(greatest(-coalesce(weight, 0), 0)) AS neg FROM (
+      SELECT conv_id, turn, unnest(string_split({clean_sql('text')}, ' ')) AS t FROM conversations) LEFT JOIN lex ON t = token GROUP BY 1, 2)),
+joined AS (SELECT * FROM facts JOIN links USING (p, k)),
+per_platform AS (SELECT hotel_id, p, count(*) AS n, count(*) FILTER (day > DATE '2024-12-01' AND day <= DATE '{AS_OF}') AS recent, sum(pos) AS pos, sum(neg) AS neg FROM joined GROUP BY 1, 2),
+totals AS (SELECT hotel_id, CAST(sum(n) AS INTEGER) AS total_reviews, CAST(sum(recent) AS INTEGER) AS recent_reviews, max(n) / CAST(sum(n) AS DOUBLE) AS platform_preference_score,
+  CASE WHEN sum(pos) + sum(neg) > 0 THEN CAST(sum(pos) - sum(neg) AS DOUBLE) / CAST(sum(pos) + sum(neg) AS DOUBLE) END AS review_sentiment_score FROM per_platform GROUP BY 1),
+modes AS (SELECT hotel_id, kind AS target_traveler_type FROM (SELECT hotel_id, kind, row_number() OVER (PARTITION BY hotel_id ORDER BY count(*) DESC, kind) AS r
+  FROM joined WHERE kind IS NOT NULL GROUP BY 1, 2) WHERE r = 1),
+marks AS (SELECT hotel_id, {categories} FROM (SELECT user_id AS k, code, score FROM ({SCORE_SQL})) JOIN links ON links.k = user_id_k AND p = 'b' GROUP BY 1),
+review_part AS (SELECT merged.hotel_id, rating AS overall_rating, marks.* EXCLUDE (hotel_id), coalesce(total_reviews, 0) AS total_reviews, coalesce(recent_reviews, 0) AS recent_reviews,
+  review_sentiment_score, review_consistency, target_traveler_type, platform_preference_score
+  FROM merged LEFT JOIN totals USING (hotel_id) LEFT JOIN modes USING (hotel_id) LEFT JOIN marks USING (hotel_id))""".replace(
+        "SELECT user_id AS k, code, score FROM", "SELECT user_id AS user_id_k, code, score FROM"
+    )
+
+
+def _part_columns(kinds, chosen):
+    return ", ".join(f"round({c}, 6) AS {c}" if kinds[c] == "double" else c for c in chosen)
+
+
+def model_select(part: str, columns) -> str:
+    kinds = dict(FEATURE_COLUMNS)
+    return f"WITH {model_sql()} SELECT {_part_columns(kinds, columns)} FROM {part}"
+
+
+HOTEL_PART = ("hotel_id hotel_name_clean price_idr log_price platform_source latitude longitude accommodation_type stars hotel_class "
+              + " ".join(facilities.FLAGS) + " facilities_score price_rank_in_area rating_rank_in_area is_weekend month quarter is_peak_season "
+              "days_to_holiday market_segment booking_platform_count price_per_facility popularity_score value_score price_variance_platforms "
+              "cross_platform_availability data_freshness_score").split()
+GEO_PART = ("hotel_id latitude longitude distance_to_city_center distance_to_malioboro distance_to_airport distance_to_nearest_attraction "
+            "attraction_density_1km attraction_density_2km attraction_density_5km restaurant_density_1km competitors_within_500m").split()
+REVIEW_PART = ("hotel_id overall_rating rating_staff rating_cleanliness rating_facilities rating_location rating_comfort rating_value_for_money "
+               "total_reviews recent_reviews review_sentiment_score review_consistency target_traveler_type platform_preference_score").split()
+
+
+def prediction_sql():
+    kinds = dict(FEATURE_COLUMNS)
+    filled = " + ".join(f"CAST({c} IS NOT NULL AS INTEGER)" for c in kinds if c != "data_completeness_score")
+    days = {"data_collection_date": "CAST(data_collection_date AS VARCHAR) AS data_collection_date", "last_updated": "CAST(last_updated AS VARCHAR) AS last_updated"}
+    columns = ", ".join(days.get(c) or _part_columns(kinds, [c]) for c in kinds)
+    return f"""WITH {model_sql()}, wide AS (SELECT hotel_part.*, review_part.* EXCLUDE (hotel_id), geo_part.* EXCLUDE (hotel_id, latitude, longitude),
+  1 / (1 + distance_to_city_center) AS accessibility_score, 0.7e0 * overall_rating + 0.3e0 * (5 + 5 * coalesce(review_sentiment_score, 0)) AS experience_score,
+  scored.collected AS data_collection_date, DATE '{AS_OF}' AS last_updated
+  FROM hotel_part JOIN scored USING (hotel_id) JOIN review_part USING (hotel_id) JOIN geo_part USING (hotel_id)),
+whole AS (SELECT *, ({filled}) / 62e0 AS data_completeness_score FROM wide) SELECT {columns} FROM whole"""
+
+
 def _model(name):
     def run(spark, sf_dir):
         classified = batch.land_classified(feed.lodging_feed(spark, sf_dir), run_folder(spark, "classified"))
-        return batch.model_tables(classified, settings(spark))[name]
+        return rounded(batch.model_tables(classified, settings(spark), (name,))[name])
 
     return run
 
 
-@query("prediction_dataset")
+query("hotel_features", model_select("hotel_part", HOTEL_PART))(_model("hotel_features"))
+query("geospatial_features", model_select("geo_part", GEO_PART))(_model("geospatial_features"))
+query("review_features", model_select("review_part", REVIEW_PART))(_model("review_features"))
+
+
+@query("prediction_dataset", prediction_sql())
 def prediction_dataset(spark, sf_dir):
-    return rounded(_model("prediction_dataset")(spark, sf_dir))
+    rows = _model("prediction_dataset")(spark, sf_dir)
+    return rows.withColumns({c: F.date_format(c, "yyyy-MM-dd") for c in ("data_collection_date", "last_updated")})

@@ -1,5 +1,7 @@
 """Record schemas: the raw feed struct and the output contracts."""
 
+import functools
+
 from pyspark.sql import types as T
 
 # Field names and types of the scraped feeds, one superset struct for all of them.
@@ -32,9 +34,14 @@ additionalInfo map<string,array<map<string,boolean>>>, scrapedAt string, searchS
 CORRUPT = "_corrupt_record"
 
 
+@functools.cache
+def _raw_fields() -> tuple[T.StructField, ...]:
+    return tuple(T.StructType.fromDDL(RAW_DDL).fields)
+
+
 def raw_schema(keep_corrupt: bool = True) -> T.StructType:
-    schema = T.StructType.fromDDL(RAW_DDL)
-    return schema.add(CORRUPT, T.StringType()) if keep_corrupt else schema
+    corrupt = [T.StructField(CORRUPT, T.StringType())] if keep_corrupt else []
+    return T.StructType([*_raw_fields(), *corrupt])
 
 
 # The JSON text found in the `address` field of one platform's hotels.
