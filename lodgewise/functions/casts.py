@@ -45,8 +45,5 @@ def address_part(field: str, c="address") -> Column:
 def known_fraction(columns) -> Column:
     """Share of the given columns that is not null."""
     columns = list(columns)
-    filled = [_col(c).isNotNull().cast("int") for c in columns]
-    total = filled[0]
-    for f in filled[1:]:
-        total = total + f
-    return total / F.lit(float(len(columns)))
+    filled = " + ".join(f"CAST(`{c}` IS NOT NULL AS INT)" for c in columns)
+    return F.expr(f"({filled}) / {float(len(columns))}D")

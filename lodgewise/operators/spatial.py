@@ -6,6 +6,7 @@ cut by the circle, so a crowded spot costs its outline and not its area.
 """
 
 import functools
+import json
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -89,11 +90,10 @@ def _axis(value: Column, span: float) -> Column:
     return F.greatest(F.lit(0), F.least(F.lit(cells - 1), F.floor(value * F.lit(cells / span)).cast("bigint")))
 
 
-def _node(lat: Column, lon: Column, level: int) -> Column:
-    """Node of a level: the globe halved `level` times along each axis. Nodes nest."""
-    y = F.shiftright(_axis(lat + F.lit(90.0), 180.0), _FINEST - level)
-    x = F.shiftright(_axis(F.pmod(lon + F.lit(180.0), F.lit(360.0)), 360.0), _FINEST - level)
-    return y * F.lit(1 << 32) + x
+def _site_node(level: int) -> Column:
+    """Node of a site at a level: the globe halved `level` times along each axis. Nodes nest."""
+    up = _FINEST - level
+    return F.expr(f"shiftright(site_y, {up}) * {1 << 32}L + shiftright(site_x, {up})")
 
 
 def _centre(node: Column, level: int) -> list[Column]:
@@ -119,8 +119,10 @@ class _Tree:
     """
 
     def __init__(self, sites: DataFrame):
-        self.sites = cut(sites)  # read once per level below
-        nodes = [F.struct(F.lit(m).alias("m"), self._site_node(m).alias("q")) for m in _LEVELS]
+        lat, lon = F.col("site_lat") + F.lit(90.0), F.pmod(F.col("site_lon") + F.lit(180.0), F.lit(360.0))
+        # Written out once: read for every level below.
+        self.sites = cut(sites.withColumns({"site_y": _axis(lat, 180.0), "site_x": _axis(lon, 360.0)}))
+        nodes = [F.struct(F.lit(m).alias("m"), _site_node(m).alias("q")) for m in _LEVELS]
         stats = (
             self.sites.select(F.explode(F.array(*nodes)).alias("s"))
             .groupBy("s.m", "s.q").agg(F.count(F.lit(1)).alias("sites"))
@@ -136,30 +138,25 @@ class _Tree:
         leaf = next((m for m in below if by_level[m]["most"] <= _LEAF_SITES), _FINEST)
         self.levels = [m for m in below if m <= leaf]
 
-    @staticmethod
-    def _site_node(level: int) -> Column:
-        return _node(F.col("site_lat"), F.col("site_lon"), level)
-
     def nodes(self, level: int) -> DataFrame:
-        placed = self.sites.withColumn("node", self._site_node(level))
+        placed = self.sites.withColumn("node", _site_node(level))
         away = chord(_vector("s"), _centre(F.col("node"), level))
         grouped = placed.select("node", "n", away.alias("away")).groupBy("node")
         grouped = grouped.agg(F.sum("n").alias("n"), (F.max("away") + F.lit(_ROUNDING)).alias("reach"))
         return grouped.withColumns(dict(zip(("cx", "cy", "cz"), _centre(F.col("node"), level))))
 
     def children(self, level: int) -> DataFrame:
-        y = F.shiftright(F.shiftright("node", 32), 3)
-        x = F.shiftright(F.col("node").bitwiseAND(F.lit((1 << 32) - 1)), 3)
-        return self.nodes(level).withColumn("parent", y * F.lit(1 << 32) + x)
+        parent = F.expr(f"shiftright(shiftright(node, 32), 3) * {1 << 32}L + shiftright(node & {(1 << 32) - 1}L, 3)")
+        return self.nodes(level).withColumn("parent", parent)
 
     def roots(self) -> Column:
         """At most 64 nodes, as a literal array."""
-        rows = self.nodes(self.levels[0]).collect()
-        fields = ("node", "n", "reach", "cx", "cy", "cz")
-        return F.array(*[F.struct(*[F.lit(r[f]).alias(f) for f in fields]) for r in rows])
+        rows = [r.asDict() for r in self.nodes(self.levels[0]).collect()]
+        kinds = "array<struct<node:bigint,n:bigint,reach:double,cx:double,cy:double,cz:double>>"
+        return F.from_json(F.lit(json.dumps(rows)), kinds)
 
     def leaves(self) -> DataFrame:
-        return self.sites.withColumn("parent", self._site_node(self.levels[-1]))
+        return self.sites.withColumn("parent", _site_node(self.levels[-1]))
 
 
 def _spots(points: DataFrame, at) -> DataFrame:

@@ -11,6 +11,7 @@ def build_session(name: str = "lodgewise", master: str | None = None, **conf: st
         builder = builder.master(master)
     settings = {
         "spark.ui.enabled": "false",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
