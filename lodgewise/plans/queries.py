@@ -612,7 +612,8 @@ def outliers(spark, sf_dir):
   round(quantile_cont(l_extendedprice, 0.99), 6) AS p99 FROM lineitem GROUP BY 1, 2""")
 def quantiles(spark, sf_dir):
     rows = read(spark, sf_dir, "lineitem")
-    return rounded(ranking.quantiles(rows, "l_extendedprice", {"p10": 0.1, "p50": 0.5, "p99": 0.99}, ["l_returnflag", "l_linestatus"]))
+    wanted = {"p10": 0.1, "p50": 0.5, "p99": 0.99}
+    return rounded(ranking.quantiles(rows, "l_extendedprice", wanted, ["l_returnflag", "l_linestatus"], small_rows=0))
 
 
 @query("clean_text", f"SELECT doc_id, length(c) AS n, md5(c) AS digest FROM (SELECT doc_id, {clean_sql('text')} AS c FROM documents)")
@@ -621,6 +622,16 @@ def clean_text(spark, sf_dir):
     return rows.select("doc_id", F.length("c").cast("bigint").alias("n"), F.md5("c").alias("digest"))
 
 
+@query("outliers_by_ranges", ORACLES["outliers"])
+def outliers_by_ranges(spark, sf_dir):
+    """The same limits by the way taken for tables of any size."""
+    rows = read(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    q = ranking.quantiles(rows, "o_totalprice", {"q1": 0.25, "q3": 0.75}, ["o_orderpriority"], small_rows=0)
+    reach = (F.col("q3") - F.col("q1")) * F.lit(0.3)
+    kept = rows.join(q, "o_orderpriority").filter(F.col("o_totalprice").between(F.col("q1") - reach, F.col("q3") + reach))
+    return kept.select("o_orderkey", "o_orderpriority", "o_totalprice")
+
+
 @query("name_keys", f"""SELECT p_partkey, array_to_string(list_sort(list_distinct(list_filter(string_split({clean_sql('p_name')}, ' '), lambda w: w NOT IN ('red', 'ring')))), ' ') AS name_key FROM part""")
 def name_keys(spark, sf_dir):
     return read(spark, sf_dir, "part").select("p_partkey", text.name_key("p_name", ("red", "ring")).alias("name_key"))
@@ -871,13 +882,19 @@ def score_formulas(spark, sf_dir):
 
 @query("area_ranks", """SELECT c_custkey, round(percent_rank() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal), 9) AS price_rank_in_area,
   round(percent_rank() OVER (PARTITION BY c_nationkey ORDER BY c_custkey % 10), 9) AS rating_rank_in_area FROM customer""")
-def area_ranks(spark, sf_dir):
+def area_ranks(spark, sf_dir, small_rows=200_000):
     rows = read(spark, sf_dir, "customer").withColumn("rating", F.col("c_custkey") % 10)
-    out = ranking.percent_rank(rows, "c_acctbal", "price_rank_in_area", ["c_nationkey"])
-    out = ranking.percent_rank(out, "rating", "rating_rank_in_area", ["c_nationkey"])
+    out = ranking.percent_rank(rows, "c_acctbal", "price_rank_in_area", ["c_nationkey"], small_rows=small_rows)
+    out = ranking.percent_rank(out, "rating", "rating_rank_in_area", ["c_nationkey"], small_rows=small_rows)
     return rounded(out.select("c_custkey", "price_rank_in_area", "rating_rank_in_area"), 9)
 
 
+@query("area_ranks_by_ranges", ORACLES["area_ranks"])
+def area_ranks_by_ranges(spark, sf_dir):
+    """The same ranks by the way taken for tables of any size."""
+    return area_ranks(spark, sf_dir, 0)
+
+
 @query("market_segments", """WITH q AS (SELECT quantile_cont(o_totalprice, 1/3e0) AS a, quantile_cont(o_totalprice, 2/3e0) AS b FROM orders)
 SELECT o_orderkey, CASE WHEN o_totalprice <= a THEN 'budget' WHEN o_totalprice <= b THEN 'mid-range' ELSE 'luxury' END AS market_segment FROM orders, q""")
 def market_segments(spark, sf_dir):

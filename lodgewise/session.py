@@ -2,7 +2,7 @@
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def build_session(name: str = "lodgewise", master: str | None = None, **conf: str) -> SparkSession:
@@ -42,8 +42,11 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def fits(df: DataFrame, rows: int) -> bool:
+    """Whether a table has at most that many rows; stops reading as soon as it has more."""
+    return not df.select(F.lit(1)).offset(rows).head(1)
+
+
 def small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     """Broadcast a lookup table after checking that it is small; a larger one joins by shuffle."""
-    from pyspark.sql import functions as F
-
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    return F.broadcast(df) if fits(df, max_rows) else df
