@@ -288,7 +288,7 @@ def model_tables(classified: DataFrame, settings: Settings, names=MODEL_TABLES)
 def land_classified(records: DataFrame, path: str, rules=CORRECTED) -> DataFrame:
     """Write the classified records, one folder per class, so that later steps read one class and few columns."""
     classified = classify(records, rules)
-    write_table(classified, path, (CLASS,))
+    write_table(classified, path, (CLASS,), replace="all")
     return records.sparkSession.read.schema(classified.schema).parquet(path)
 
 
@@ -300,16 +300,16 @@ def run(spark: SparkSession, records: DataFrame, out: str, settings: Settings, r
     """
     classified = land_classified(records, f"{out}/classified", rules)
     tables = typed_tables(classified, settings.as_of)
-    written = write_tables(tables, out)
+    written = write_tables(tables, out, replace="all")
     stored = {n: spark.read.schema(tables[n].schema).parquet(p) for n, p in written.items()}
     distances = hotel_attraction_distances(
         [stored["booking_hotels"], stored["tripadvisor_hotels"]], stored["geospatial_attractions"], settings.radius_km
     )
-    path = write_table(distances, f"{out}/hotel_attraction_distances")
+    path = write_table(distances, f"{out}/hotel_attraction_distances", replace="all")
     stored["hotel_attraction_distances"] = spark.read.schema(distances.schema).parquet(path)
     write_table(quarantine(classified), f"{out}/quarantine", ())
     stats = dataset_stats(stored)
     write_table(stats, f"{out}/summary_statistics", ())
     if features:
-        write_tables(model_tables(classified, settings), out, ())
+        write_tables(model_tables(classified, settings), out, partition_by=())
     return spark.read.schema(stats.schema).parquet(f"{out}/summary_statistics")

@@ -7,7 +7,6 @@ conversations for reviews, regions for failed pages. Every row of these tables b
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from lodgewise.operators.spatial import union_all
 from lodgewise.schema import raw_schema
 
 
@@ -34,12 +33,10 @@ def rupiah(amount: Column) -> Column:
     )
 
 
-def _fit(df: DataFrame) -> DataFrame:
-    """All fields of the raw schema, null where a table has none."""
-    schema = raw_schema(keep_corrupt=False)
-    kinds = {f.name: f.dataType.simpleString() for f in schema.fields}
-    typed = df.select("row_id", *[F.col(c).cast(kinds[c]).alias(c) for c in df.columns if c != "row_id"])
-    return typed.to(T.StructType([T.StructField("row_id", T.LongType()), *schema.fields]))
+def _typed(df: DataFrame) -> DataFrame:
+    """The fields a table has, in the types of the raw schema."""
+    kinds = {f.name: f.dataType.simpleString() for f in raw_schema().fields}
+    return df.select("row_id", *[F.col(c).cast(kinds[c]).alias(c) for c in df.columns if c != "row_id"])
 
 
 def _when(condition: Column, value) -> Column:
@@ -59,7 +56,7 @@ def booking_hotels(customer: DataFrame) -> DataFrame:
     ))
     overview = _when(k % 3 != 0, "Wi-Fi tersedia")
     located = k % 97 != 0
-    return _fit(customer.select(
+    return _typed(customer.select(
         F.xxhash64(F.lit("customer"), k).alias("row_id"),
         k.alias("hotelId"), F.col("c_name").alias("name"), F.lower("c_mktsegment").alias("type"),
         (F.col("c_nationkey") % 6).alias("stars"),
@@ -87,7 +84,7 @@ def tripadvisor_hotels(supplier: DataFrame) -> DataFrame:
     names = F.array_compact(F.array(
         _when(k % 3 == 0, "AC"), _when(k % 2 == 0, "Wi-Fi Gratis"), _when(k % 4 == 1, "Kolam Renang"), F.lit("Parkir gratis"),
     ))
-    return _fit(supplier.select(
+    return _typed(supplier.select(
         F.xxhash64(F.lit("supplier"), k).alias("row_id"),
         k.cast("string").alias("id"), F.col("s_name").alias("name"), F.lit("HOTEL").alias("type"), F.lit("hotel").alias("category"),
         _when(k % 13 != 0, 1 + (k % 41) / F.lit(10.0)).alias("rating"),
@@ -113,7 +110,7 @@ def booking_reviews(events: DataFrame) -> DataFrame:
         F.struct(F.lit(c).alias("name"), F.lit(c).alias("codeName"), ((e * (i + 3)) % 41 / F.lit(4.0)).alias("score"))
         for i, c in enumerate(CODES)
     ])
-    return _fit(events.select(
+    return _typed(events.select(
         F.xxhash64(F.lit("events"), e).alias("row_id"),
         e.cast("string").alias("id"), F.col("user_id").alias("hotelId"), (e % 11).cast("double").alias("rating"),
         _when(e % 5 != 0, kind).alias("reviewTitle"),
@@ -130,7 +127,7 @@ def booking_reviews(events: DataFrame) -> DataFrame:
 
 def tripadvisor_reviews(conversations: DataFrame) -> DataFrame:
     c, t = F.col("conv_id"), F.col("turn")
-    return _fit(conversations.select(
+    return _typed(conversations.select(
         F.xxhash64(F.lit("conversations"), c, t).alias("row_id"),
         F.concat_ws("-", c, t).alias("id"), c.cast("string").alias("locationId"), (1 + (c + t) % 5).cast("double").alias("rating"),
         F.col("role").alias("title"), F.col("text"), F.lit("id").alias("lang"),
@@ -156,7 +153,7 @@ def attractions(part: DataFrame) -> DataFrame:
         F.lit("Accessibility"), F.array(seat, door), F.lit("Parking"), F.array(lot, F.lit(None).cast(yes_no)),
     )
     hours = F.array(*[F.struct(F.lit(d).alias("day"), F.lit(h).alias("hours")) for d, h in (("Monday", "12 to 8 PM"), ("Tuesday", "Closed"))])
-    return _fit(part.select(
+    return _typed(part.select(
         F.xxhash64(F.lit("part"), k).alias("row_id"),
         F.concat(F.lit("p"), k).alias("placeId"), F.col("p_name").alias("title"),
         F.when(F.col("p_type") == "SMALL", F.lit("Ramen restaurant")).otherwise(F.col("p_type")).alias("categoryName"),
@@ -172,7 +169,7 @@ def attractions(part: DataFrame) -> DataFrame:
 
 def failed_pages(region: DataFrame) -> DataFrame:
     k = F.col("r_regionkey").cast("bigint")
-    return _fit(region.select(
+    return _typed(region.select(
         F.xxhash64(F.lit("region"), k).alias("row_id"), F.lit("no_reviews_found").alias("error"),
         F.struct(k.alias("hotelId"), F.lit(0).alias("totalCategoryReviews")).alias("reviewsCategoryData"),
     ))
@@ -183,4 +180,9 @@ def lodging_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         "customer": booking_hotels, "events": booking_reviews, "supplier": tripadvisor_hotels,
         "conversations": tripadvisor_reviews, "part": attractions, "region": failed_pages,
     }
-    return union_all(make(read(spark, sf_dir, table)) for table, make in makers.items())
+    # An empty frame with all fields comes first, so that the fields a table lacks are null.
+    fields = T.StructType([T.StructField("row_id", T.LongType()), *raw_schema(keep_corrupt=False).fields])
+    feed = spark.createDataFrame([], fields)
+    for table, make in makers.items():
+        feed = feed.unionByName(make(read(spark, sf_dir, table)), allowMissingColumns=True)
+    return feed

@@ -75,6 +75,14 @@ def test_run_writes_all_and_reruns_the_same(spark, raw, settings, tmp_path):
     assert (tmp_path / "out" / "booking_hotels" / "platform=booking.com").exists()
 
 
+def test_rerun_forgets_what_the_feed_no_longer_has(spark, raw, settings, tmp_path):
+    out = str(tmp_path / "out")
+    batch.run(spark, raw, out, settings, features=False)
+    stats = batch.run(spark, raw.filter("placeId IS NULL"), out, settings, features=False)
+    counts = {r.dataset: r.record_count for r in stats.collect()}
+    assert counts["geospatial_attractions"] == counts["hotel_attraction_distances"] == 0 and counts["booking_hotels"] == 3
+
+
 def test_classified_folders_are_pruned(spark, raw, tmp_path):
     from lodgewise.operators.classify import of_class
 
