@@ -37,11 +37,17 @@ def split_hot_keys(
     return salted(left, "_bl", "_br", "_sl", "_sr"), salted(right, "_br", "_bl", "_sr", "_sl"), [key, "_sl", "_sr"]
 
 
-def spread(df: DataFrame, like: DataFrame | None = None) -> DataFrame:
+def spread(df: DataFrame) -> DataFrame:
     """Use all cores when a handful of small files would give a handful of tasks to costly work.
 
     Looks at the number of input files only; a large input keeps its partitions.
     """
-    files = len((df if like is None else like).inputFiles())
+    files = len(df.inputFiles())
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if 0 < files < min(cores, 16) else df
+
+
+def evenly(df: DataFrame) -> DataFrame:
+    """Small rows that each cause much work, over all cores: their bytes would not tell Spark to do so."""
+    spark = df.sparkSession
+    return df.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from lodgewise.functions.geo import (
     cell_of, chord, chord_of_km, chord_squared, grid_step, has_position, haversine_km, unit_vector, with_cells_within,
 )
-from lodgewise.operators.skew import split_hot_keys, spread
+from lodgewise.operators.skew import evenly, split_hot_keys, spread
 from lodgewise.session import cut
 
 COORDINATES = ("latitude", "longitude")
@@ -141,8 +141,9 @@ class _Tree:
     def nodes(self, level: int) -> DataFrame:
         placed = self.sites.withColumn("node", _site_node(level))
         away = chord(_vector("s"), _centre(F.col("node"), level))
-        grouped = placed.select("node", "n", away.alias("away")).groupBy("node")
-        grouped = grouped.agg(F.sum("n").alias("n"), (F.max("away") + F.lit(_ROUNDING)).alias("reach"))
+        grouped = placed.select("node", "n", away.alias("away")).groupBy("node").agg(
+            F.sum("n").alias("n"), F.count(F.lit(1)).alias("sites"), (F.max("away") + F.lit(_ROUNDING)).alias("reach")
+        )
         return grouped.withColumns(dict(zip(("cx", "cy", "cz"), _centre(F.col("node"), level))))
 
     def children(self, level: int) -> DataFrame:
@@ -152,18 +153,26 @@ class _Tree:
     def roots(self) -> Column:
         """At most 64 nodes, as a literal array."""
         rows = [r.asDict() for r in self.nodes(self.levels[0]).collect()]
-        kinds = "array<struct<node:bigint,n:bigint,reach:double,cx:double,cy:double,cz:double>>"
+        kinds = "array<struct<node:bigint,n:bigint,sites:bigint,reach:double,cx:double,cy:double,cz:double>>"
         return F.from_json(F.lit(json.dumps(rows)), kinds)
 
-    def leaves(self) -> DataFrame:
-        return self.sites.withColumn("parent", _site_node(self.levels[-1]))
+    def members(self, level: int) -> DataFrame:
+        return self.sites.withColumn("parent", _site_node(level))
+
+    def opened(self, front: DataFrame, level: int) -> tuple[DataFrame, DataFrame | None]:
+        """Front rows of a level paired with single sites (nodes of few sites, and all at the last level), and the others."""
+        parents = front.withColumnRenamed("node", "parent")
+        last = level == self.levels[-1]
+        few = parents if last else parents.filter(F.col("sites") <= _LEAF_SITES)
+        sites = few.drop("n", "sites").join(self.members(level), "parent")
+        return sites, None if last else parents.filter(F.col("sites") > _LEAF_SITES).drop("n", "sites")
 
 
 def _spots(points: DataFrame, at) -> DataFrame:
     """Distinct positions with their vectors."""
     lat, lon = F.col(at[0]).cast("double"), F.col(at[1]).cast("double")
     spots = points.filter(has_position(lat, lon)).select(lat.alias("lat"), lon.alias("lon")).distinct()
-    return _with_vector(spread(spots), ("lat", "lon"), "p")
+    return _with_vector(evenly(spots), ("lat", "lon"), "p")
 
 
 def _to_root(t: Column) -> Column:
@@ -212,21 +221,20 @@ def _tree_counts(spots: DataFrame, tree: _Tree, limits: list[float]) -> DataFram
     spot = ["lat", "lon", "px", "py", "pz", "i", "km", "c"]
     rows = spots.withColumn("r", F.explode(F.array(*circle))).select(*spot[:5], "r.*")
     touched = F.filter(tree.roots(), lambda t: _to_root(t) - t["reach"] <= F.col("c"))
-    front = rows.withColumn("t", F.explode(touched)).select(*spot, "t.*")
     d = chord(_vector("p"), _vector("c"))
-    front = front.withColumn("d", d)
+    found = ["node", "n", "sites", "reach", "d"]
+    front = rows.withColumn("t", F.explode(touched)).select(*spot, "t.*").withColumn("d", d).select(*spot, *found)
     parts = []
-    for level in [*tree.levels[1:], None]:
+    for level, deeper in zip(tree.levels, [*tree.levels[1:], None]):
         inside = F.col("d") + F.col("reach") <= F.col("c") - F.lit(_ROUNDING)
         parts.append(front.filter(inside).select("lat", "lon", "i", "n"))
-        cut_by_circle = front.filter(~inside).select(*spot, F.col("node").alias("parent"))
-        if level is not None:
-            front = cut_by_circle.join(tree.children(level), "parent").withColumn("d", d)
-            front = front.filter(F.col("d") - F.col("reach") <= F.col("c"))
-    exact = cut_by_circle.join(tree.leaves(), "parent")
-    exact = exact.filter(chord(_vector("p"), _vector("s")) <= F.col("c") + F.lit(_ROUNDING))
-    exact = exact.filter(haversine_km(F.col("lat"), F.col("lon"), F.col("site_lat"), F.col("site_lon")) <= F.col("km"))
-    parts.append(exact.select("lat", "lon", "i", "n"))
+        exact, crowded = tree.opened(front.filter(~inside).drop("reach", "d"), level)
+        exact = exact.filter(chord(_vector("p"), _vector("s")) <= F.col("c") + F.lit(_ROUNDING))
+        exact = exact.filter(haversine_km(F.col("lat"), F.col("lon"), F.col("site_lat"), F.col("site_lon")) <= F.col("km"))
+        parts.append(exact.select("lat", "lon", "i", "n"))
+        if deeper is not None:
+            front = crowded.join(tree.children(deeper), "parent").withColumn("d", d).select(*spot, *found)
+            front = cut(front.filter(F.col("d") - F.col("reach") <= F.col("c")))  # read twice
     return union_all(parts).groupBy("lat", "lon").agg(
         *[F.sum(F.when(F.col("i") == i, F.col("n"))).alias(f"_n{i}") for i in range(len(limits))]
     )
@@ -250,15 +258,20 @@ def nearest(
     farthest = F.array_min(F.transform(roots, lambda t: _to_root(t) + t["reach"]))
     front = _spots(points, at).withColumn("bound", farthest + F.lit(_ROUNDING))
     front = front.withColumn("t", F.explode(F.filter(roots, lambda t: _to_root(t) - t["reach"] <= F.col("bound"))))
-    front = front.select(*spot, F.col("t.node").alias("parent"))
-    for level in tree.levels[1:]:
-        front = front.join(tree.children(level), "parent").withColumn("d", chord(_vector("p"), _vector("c")))
-        front = front.filter(F.col("d") - F.col("reach") <= F.col("bound"))
-        tighter = F.min(F.col("d") + F.col("reach") + F.lit(_ROUNDING)).over(Window.partitionBy("lat", "lon"))
-        front = front.withColumn("bound", F.least(F.col("bound"), tighter))
-        front = front.filter(F.col("d") - F.col("reach") <= F.col("bound"))
-        front = front.select(*spot, F.col("node").alias("parent"))
-    exact = front.join(tree.leaves(), "parent").filter(chord(_vector("p"), _vector("s")) <= F.col("bound"))
+    front = front.select(*spot, "t.node", "t.sites", F.lit(0).alias("n"))
+    parts = []
+    for level, deeper in zip(tree.levels, [*tree.levels[1:], None]):
+        exact, crowded = tree.opened(front, level)
+        exact = exact.filter(chord(_vector("p"), _vector("s")) <= F.col("bound"))
+        parts.append(exact.select("lat", "lon", "site_lat", "site_lon", *(["label"] if label else [])))
+        if deeper is not None:
+            front = crowded.join(tree.children(deeper), "parent").withColumn("d", chord(_vector("p"), _vector("c")))
+            front = front.filter(F.col("d") - F.col("reach") <= F.col("bound"))
+            tighter = F.min(F.col("d") + F.col("reach") + F.lit(_ROUNDING)).over(Window.partitionBy("lat", "lon"))
+            front = front.withColumn("bound", F.least(F.col("bound"), tighter))
+            front = front.filter(F.col("d") - F.col("reach") <= F.col("bound")).select(*spot, "node", "sites", "n")
+            front = cut(front)  # read twice
+    exact = union_all(parts)
     km = haversine_km(F.col("lat"), F.col("lon"), F.col("site_lat"), F.col("site_lon"))
     best = F.min(F.struct(km.alias("km"), "site_lat", "site_lon", *(["label"] if label else []))).alias("_best")
     found = exact.groupBy("lat", "lon").agg(best)
