@@ -159,13 +159,26 @@ class _Tree:
     def members(self, level: int) -> DataFrame:
         return self.sites.withColumn("parent", _site_node(level))
 
-    def opened(self, front: DataFrame, level: int) -> tuple[DataFrame, DataFrame | None]:
-        """Front rows of a level paired with single sites (nodes of few sites, and all at the last level), and the others."""
+    @property
+    def deep(self) -> bool:
+        return len(self.levels) > 3
+
+    def kept(self, front: DataFrame) -> DataFrame:
+        """In a deep tree the front is read twice per level: written out rather than worked out again."""
+        return cut(front) if self.deep else front
+
+    def opened(self, front: DataFrame, level: int) -> tuple[list[DataFrame], DataFrame | None]:
+        """Front rows of a level paired with single sites, as a list of at most one frame, and those to go down with.
+
+        Nodes of few sites end early in a deep tree; in a shallow one all go down to the last level.
+        """
         parents = front.withColumnRenamed("node", "parent")
         last = level == self.levels[-1]
+        if not last and not self.deep:
+            return [], parents.drop("n", "sites")
         few = parents if last else parents.filter(F.col("sites") <= _LEAF_SITES)
         sites = few.drop("n", "sites").join(self.members(level), "parent")
-        return sites, None if last else parents.filter(F.col("sites") > _LEAF_SITES).drop("n", "sites")
+        return [sites], None if last else parents.filter(F.col("sites") > _LEAF_SITES).drop("n", "sites")
 
 
 def _spots(points: DataFrame, at) -> DataFrame:
@@ -228,13 +241,14 @@ def _tree_counts(spots: DataFrame, tree: _Tree, limits: list[float]) -> DataFram
     for level, deeper in zip(tree.levels, [*tree.levels[1:], None]):
         inside = F.col("d") + F.col("reach") <= F.col("c") - F.lit(_ROUNDING)
         parts.append(front.filter(inside).select("lat", "lon", "i", "n"))
-        exact, crowded = tree.opened(front.filter(~inside).drop("reach", "d"), level)
-        exact = exact.filter(chord(_vector("p"), _vector("s")) <= F.col("c") + F.lit(_ROUNDING))
-        exact = exact.filter(haversine_km(F.col("lat"), F.col("lon"), F.col("site_lat"), F.col("site_lon")) <= F.col("km"))
-        parts.append(exact.select("lat", "lon", "i", "n"))
+        pairs, crowded = tree.opened(front.filter(~inside).drop("reach", "d"), level)
+        for exact in pairs:
+            exact = exact.filter(chord(_vector("p"), _vector("s")) <= F.col("c") + F.lit(_ROUNDING))
+            exact = exact.filter(haversine_km(F.col("lat"), F.col("lon"), F.col("site_lat"), F.col("site_lon")) <= F.col("km"))
+            parts.append(exact.select("lat", "lon", "i", "n"))
         if deeper is not None:
             front = crowded.join(tree.children(deeper), "parent").withColumn("d", d).select(*spot, *found)
-            front = cut(front.filter(F.col("d") - F.col("reach") <= F.col("c")))  # read twice
+            front = tree.kept(front.filter(F.col("d") - F.col("reach") <= F.col("c")))
     return union_all(parts).groupBy("lat", "lon").agg(
         *[F.sum(F.when(F.col("i") == i, F.col("n"))).alias(f"_n{i}") for i in range(len(limits))]
     )
@@ -261,16 +275,17 @@ def nearest(
     front = front.select(*spot, "t.node", "t.sites", F.lit(0).alias("n"))
     parts = []
     for level, deeper in zip(tree.levels, [*tree.levels[1:], None]):
-        exact, crowded = tree.opened(front, level)
-        exact = exact.filter(chord(_vector("p"), _vector("s")) <= F.col("bound"))
-        parts.append(exact.select("lat", "lon", "site_lat", "site_lon", *(["label"] if label else [])))
+        pairs, crowded = tree.opened(front, level)
+        for exact in pairs:
+            exact = exact.filter(chord(_vector("p"), _vector("s")) <= F.col("bound"))
+            parts.append(exact.select("lat", "lon", "site_lat", "site_lon", *(["label"] if label else [])))
         if deeper is not None:
             front = crowded.join(tree.children(deeper), "parent").withColumn("d", chord(_vector("p"), _vector("c")))
             front = front.filter(F.col("d") - F.col("reach") <= F.col("bound"))
             tighter = F.min(F.col("d") + F.col("reach") + F.lit(_ROUNDING)).over(Window.partitionBy("lat", "lon"))
             front = front.withColumn("bound", F.least(F.col("bound"), tighter))
             front = front.filter(F.col("d") - F.col("reach") <= F.col("bound")).select(*spot, "node", "sites", "n")
-            front = cut(front)  # read twice
+            front = tree.kept(front)
     exact = union_all(parts)
     km = haversine_km(F.col("lat"), F.col("lon"), F.col("site_lat"), F.col("site_lon"))
     best = F.min(F.struct(km.alias("km"), "site_lat", "site_lon", *(["label"] if label else []))).alias("_best")
