@@ -24,4 +24,4 @@ def test_runs(spark, sf_dir, name):
 
 
 def test_entry(spark, sf_dir):
-    assert contract.entry(spark).count() == 5
+    assert contract.entry(spark).count() == 6
