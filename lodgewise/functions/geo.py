@@ -5,7 +5,6 @@ import math
 from pyspark.sql import Column, DataFrame, functions as F
 
 EARTH_RADIUS_KM = 6371.0
-HALF_TURN_KM = math.pi * EARTH_RADIUS_KM
 # Room for rounding in the cell search, about 0.6 m; it only adds candidates.
 _SLACK_RADIANS = 1e-7
 

@@ -457,9 +457,6 @@ def rating_stats(spark, sf_dir):
     return rounded(stats.dataset_stats(frames), 4)
 
 
-PART_RATING = "p_size / 5e0"
-
-
 @query("grouped_rollup", """SELECT p_type, p_brand, CAST(grouping(p_type)*2 + grouping(p_brand) AS INTEGER) AS level, count(*) AS places,
   round(avg(p_retailprice), 4) AS avg_price, round(avg(p_size), 4) AS avg_rating FROM part GROUP BY ROLLUP (p_type, p_brand)""")
 def grouped_rollup(spark, sf_dir):
