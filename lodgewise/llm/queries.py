@@ -97,3 +97,10 @@ SELECT conv_id, count(*) AS n_turns,
        sum(length(role) + length(e) + 24)::BIGINT AS formatted_chars
 FROM r GROUP BY conv_id
 """
+
+
+@query
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lodgewise.llm.jaccard import link
+
+    return link(table(spark, sf_dir, "documents"))
