@@ -104,3 +104,17 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lodgewise.llm.jaccard import link
 
     return link(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lodgewise.llm.repeats import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lodgewise.llm.leaks import find_leaks
+
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
