@@ -8,6 +8,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from lodgewise.llm.common import plain_docs, slices
@@ -111,6 +113,16 @@ def _search(items: Items, column: pa.Array, least: float) -> Iterator[tuple[int,
             yield from (v for _, v in best.values())
 
 
+def _shared(benchmark: DataFrame, size: int, radius: int, item_bytes: int) -> Iterator[Broadcast]:
+    """The items as broadcast values of about `item_bytes` of text each."""
+    given = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    total = given.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    passes = max(1, -(-total // item_bytes))
+    for i in range(passes):
+        part = given.filter(F.pmod(F.xxhash64("item_id"), F.lit(passes)) == i).collect()
+        yield benchmark.sparkSession.sparkContext.broadcast(Items([r["item_id"] for r in part], [r["text"] for r in part], size, radius))
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, size: int = 5, least: float = 0.75, radius: int = 28, item_bytes: int = 16 << 20) -> DataFrame:
     """One row per row of `docs` and benchmark item found in it: doc_id, item_id, start_word, n_words, distance, similarity.
 
@@ -124,14 +136,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, size: int = 5, least: floa
     Null or empty texts and items have no windows; equal item ids count as one item with its best window; repeated
     documents are reported each; null ids stay null.
     """
-    given = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    total = given.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    passes, out = max(1, -(-total // item_bytes)), None
-    context, rows = docs.sparkSession.sparkContext, plain_docs(docs)
+    out, rows = None, plain_docs(docs)
     schema = "doc_id long, item_id long, start_word long, n_words long, distance int, similarity double"
-    for i in range(passes):
-        part = given.filter(F.pmod(F.xxhash64("item_id"), F.lit(passes)) == i).collect()  # about item_bytes of text
-        shared = context.broadcast(Items([r["item_id"] for r in part], [r["text"] for r in part], size, radius))
+    for shared in _shared(benchmark, size, radius, item_bytes):
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             items = shared.value
@@ -145,3 +152,19 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, size: int = 5, least: floa
         once = rows.mapInArrow(run, schema)
         out = once if out is None else out.unionByName(once)
     return out
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame, size: int = 5, least: float = 0.75, radius: int = 28, item_bytes: int = 16 << 20) -> DataFrame:
+    """The rows of `docs`, with all their columns, in which `find_leaks` finds no item."""
+    for shared in _shared(benchmark, size, radius, item_bytes):
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            items = shared.value
+            for batch in slices(batches):
+                clean = np.ones(batch.num_rows, bool)
+                if items.bags:
+                    clean[[x[0] for x in _search(items, pc.fill_null(batch.column("text"), ""), least)]] = False
+                yield batch.filter(pa.array(clean))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs

@@ -118,3 +118,15 @@ def op7_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lodgewise.llm.leaks import find_leaks
 
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import uuid
+
+    from lodgewise.llm import token_files
+    from lodgewise.session import shared_folder
+
+    vocabulary_path, path = vocabulary("word_bpe_49k.json"), f"{shared_folder(spark)}/ids-{uuid.uuid4().hex}"
+    token_files.write_token_files(table(spark, sf_dir, "documents"), path, vocabulary_path)
+    return token_files.read_token_files(spark, path, token_files.vocabulary_bits(vocabulary_path))

@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lodgewise.llm.common import Chunks, plain_docs, slices
@@ -147,35 +148,55 @@ def learn(
     return Model({t: float(w[i]) for t, i in place.items() if abs(w[i]) > 1e-6}, float(b), names, accuracy, correlation)
 
 
-def score(docs: DataFrame, model: Model, keep: int = 1_000_000) -> DataFrame:
+def _scorer(model: Model, keep: int = 1_000_000):
+    """A function that scores a column of texts; it keeps the terms of at most `keep` chunks."""
+    weights, bias = model.weights, model.bias
+    value, place = np.array([*weights.values()] or [0.0]), {t: i for i, t in enumerate(weights)}
+    known: dict[bytes, tuple[int, ...]] = {}
+
+    def run(texts: pa.Array) -> np.ndarray:
+        chunks = Chunks(texts)
+        if len(known) + len(chunks.distinct) > keep:
+            known.clear()
+        for c in chunks.distinct:
+            if c not in known:
+                known[c] = tuple({place[t] for w in _WORD.findall(c.decode().lower()) for t in terms_of(w) if t in place})
+        found = [known[c] for c in chunks.distinct]
+        some = np.flatnonzero(np.array([bool(x) for x in found] or [False])[chunks.codes]) if len(chunks.codes) else np.zeros(0, int)
+        owner = np.searchsorted(chunks.first, some, side="right") - 1
+        pairs = {(d, t) for d, c in zip(owner.tolist(), chunks.codes[some].tolist(), strict=True) for t in found[c]}
+        sums = np.full(len(texts), bias)
+        for d, t in sorted(pairs):
+            sums[d] += value[t]
+        return 1 / (1 + np.exp(-sums.clip(-30, 30)))
+
+    return run
+
+
+def score(docs: DataFrame, model: Model) -> DataFrame:
     """One row per row of `docs`: doc_id, held_out, score (0 to 1), predicted (1 from 0.5 on).
 
     Whole texts are scored by the terms they hold, whatever the id, language or source; a null text is empty, and
     an empty text gets the score of a text without any term. A null doc_id is not held out. Repeated rows are
     scored each.
     """
-    weights, bias = model.weights, model.bias
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = list(weights)
-        value, place = np.array([weights[t] for t in names] or [0.0]), {t: i for i, t in enumerate(names)}
-        known: dict[bytes, tuple[int, ...]] = {}
+        scorer = _scorer(model)
         for batch in slices(batches):
-            chunks = Chunks(batch.column("text"))
-            if len(known) + len(chunks.distinct) > keep:
-                known.clear()
-            for c in chunks.distinct:
-                if c not in known:
-                    known[c] = tuple({place[t] for w in _WORD.findall(c.decode().lower()) for t in terms_of(w) if t in place})
-            found = [known[c] for c in chunks.distinct]
-            some = np.flatnonzero(np.array([bool(x) for x in found] or [False])[chunks.codes]) if len(chunks.codes) else np.zeros(0, int)
-            owner = np.searchsorted(chunks.first, some, side="right") - 1
-            pairs = {(d, t) for d, c in zip(owner.tolist(), chunks.codes[some].tolist(), strict=True) for t in found[c]}
-            sums = np.full(batch.num_rows, bias)
-            for d, t in sorted(pairs):
-                sums[d] += value[t]
-            p = 1 / (1 + np.exp(-sums.clip(-30, 30)))
+            p = scorer(batch.column("text"))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(p), pa.array((p >= 0.5).astype(np.int32))], ["doc_id", "score", "predicted"])
 
     scored = plain_docs(docs).mapInArrow(run, "doc_id long, score double, predicted int")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of `docs`, with all their columns, whose text is not predicted toxic."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = _scorer(model)
+        for batch in slices(batches):
+            yield batch.filter(pa.array(scorer(pc.fill_null(batch.column("text"), "")) < 0.5))
+
+    return docs.mapInArrow(run, docs.schema)
