@@ -116,7 +116,7 @@ def discovered(found: DataFrame, rounds: int = 3, least_seeds: int = 3, least_sc
 
     A pattern is a pair of words before or behind an identifier. Its confidence for a kind is the mean score of
     its instances, if at least `least_seeds` different seeds of that kind occur in it; an instance that is no seed
-    scores one minus the product of its patterns' doubts. After `rounds` rounds, instances from `least_score` on
+    scores one minus the product of its patterns' doubts, for the kinds that its shape allows. After `rounds` rounds, instances from `least_score` on
     are taken. Long lists of a pattern or an instance only meet sums per pattern or instance.
     """
     span = F.explode(F.concat("base", "loose")).alias("s")
@@ -129,10 +129,11 @@ def discovered(found: DataFrame, rounds: int = 3, least_seeds: int = 3, least_sc
     known = seeds.join(size, "pattern")  # patterns worth scoring
     free = edges.filter("kind < 0").select("pattern", "instance")
     confidence = known.select("pattern", "kind", (F.col("seeds") / F.col("size")).alias("confidence"))
+    fits = F.expr("(kind = 0) = contains(instance, '@') AND kind <> 1")  # a handle can be an email, a number a card or phone
     scores = None
     for step in range(rounds):
         doubt = F.sum(F.log1p(-F.least(F.col("confidence"), F.lit(0.999))))
-        scores = free.join(confidence, "pattern").groupBy("instance", "kind").agg((1 - F.exp(doubt)).alias("score"))
+        scores = free.join(confidence, "pattern").filter(fits).groupBy("instance", "kind").agg((1 - F.exp(doubt)).alias("score"))
         if step < rounds - 1:
             gained = free.join(scores, "instance").groupBy("pattern", "kind").agg(F.sum("score").alias("gained"))
             confidence = known.join(gained, ["pattern", "kind"], "left").select(
@@ -167,7 +168,10 @@ def _told(spans: str) -> Column:
 
 def report(docs: DataFrame) -> DataFrame:
     """Counts per kind, a digest of the base spans, and all spans as `kind:start:end`."""
-    counts = [F.size(F.filter("base", lambda x, i=i: x["kind"] == i)).cast("long").alias(f"n_{k}") for i, k in enumerate(KINDS)]
+    def number(kind: int) -> Column:
+        return F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long")
+
+    counts = [number(i).alias(f"n_{k}") for i, k in enumerate(KINDS)]
     return find_personal(docs).select("doc_id", *counts, F.sha2(_told("base"), 256).alias("base_sha256"), _told("all").alias("spans"))
 
 

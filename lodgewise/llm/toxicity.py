@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -12,11 +13,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lodgewise.llm.common import Chunks, plain_docs, slices
+from lodgewise.llm.common import Chunks, plain_docs, slices, written
 
 _WORD = re.compile(r"[^\W\d_]+")
 _PREFIXES = (4, 5, 6)
-SEEDS = ("idiot", "stupid", "moron", "pathetic", "worthless", "disgusting", "scum", "trash", "loser", "hate")
+SEEDS = ("idiot", "stupid", "moron", "pathetic", "worthless", "disgusting", "scum", "trash", "loser", "clown", "hate")
+_SEED_WEIGHT = 3.0  # what a seed counts before any evidence
 #: Votes of surface patterns, each with what it looks for.
 PATTERNS = {
     "insult after you": re.compile(r"\byou(?:'re| are)? (?:an? |such an? )?(?:%s)\b" % "|".join(SEEDS), re.I),
@@ -49,19 +51,19 @@ def label_model(votes: np.ndarray, start: np.ndarray, rounds: int = 30) -> tuple
 
     `votes` is rows x voters of 0 and 1, `start` a first guess of the posterior. A voter votes with one chance
     in each class; what a voter says counts less the more it repeats others: its evidence is divided by one plus
-    its absolute correlations with them inside the classes.
+    its correlations of over 0.3 with them inside the classes.
     """
     posterior, n = start.astype(float), votes.shape[0]
     correlation = np.eye(votes.shape[1])
     for _ in range(rounds):
         mass = np.array([(1 - posterior).sum(), posterior.sum()])
         prior = (mass + 1) / (n + 2)
-        hit1 = (posterior @ votes + 0.1 * prior[1]) / (mass[1] + 0.2)
-        hit0 = ((1 - posterior) @ votes + 0.01 * prior[0]) / (mass[0] + 0.2)
+        hit1 = (posterior @ votes + 0.1) / (mass[1] + 0.2)
+        hit0 = ((1 - posterior) @ votes + 0.1 * votes.mean(axis=0) + 1e-6) / (mass[0] + 0.2)
         rest = votes - np.outer(posterior, hit1) - np.outer(1 - posterior, hit0)
         spread = np.sqrt((rest**2).mean(axis=0)) + 1e-9
         correlation = (rest.T @ rest) / n / np.outer(spread, spread)
-        share = 1 / np.abs(correlation).sum(axis=1).clip(1)
+        share = 1 / np.where(correlation > 0.3, correlation, 0).sum(axis=1).clip(1)
         given = share * np.log(hit1 / hit0)
         silent = share * np.log((1 - hit1).clip(1e-6) / (1 - hit0).clip(1e-6))
         odds = np.log(prior[1] / prior[0]) + votes @ given + (1 - votes) @ silent
@@ -70,32 +72,36 @@ def label_model(votes: np.ndarray, start: np.ndarray, rounds: int = 30) -> tuple
     return posterior, (mass1 + 0.5) / (mass1 + mass0 + 1), correlation
 
 
-def linear(x: np.ndarray, target: np.ndarray, steps: int = 400, rate: float = 2.0, penalty: float = 1e-4) -> tuple[np.ndarray, float]:
-    """Logistic regression on soft labels by gradient steps with momentum; both classes weigh the same."""
-    w, b, mw, mb = np.zeros(x.shape[1]), 0.0, np.zeros(x.shape[1]), 0.0
+def linear(x: np.ndarray, target: np.ndarray, start: np.ndarray, steps: int = 400, rate: float = 2.0, penalty: float = 2e-4) -> tuple[np.ndarray, float]:
+    """Logistic regression on soft labels by gradient steps with momentum, drawn towards `start`; both classes weigh the same."""
+    w, b, mw, mb = start.astype(np.float64), 0.0, np.zeros(x.shape[1]), 0.0
     weigh = target / max(target.sum(), 1e-9) + (1 - target) / max((1 - target).sum(), 1e-9)
     for _ in range(steps):
         p = 1 / (1 + np.exp(-(x @ w + b).clip(-30, 30)))
         error = weigh * (p - target) / 2
-        mw, mb = 0.9 * mw + x.T @ error + penalty * w, 0.9 * mb + error.sum()
+        mw, mb = 0.9 * mw + error.astype(x.dtype) @ x + penalty * (w - start), 0.9 * mb + error.sum()
         w, b = w - rate * mw, b - rate * mb
     return w, b
 
 
-def learn(
-    docs: DataFrame, labels: DataFrame, max_rows: int = 8000, max_terms: int = 1000, max_voters: int = 60, least: float = 4.0
-) -> Model:
+def learn(docs: DataFrame, labels: DataFrame, max_rows: int = 12_000, max_terms: int = 1000, max_voters: int = 60) -> Model:
     """Fit on at most `max_rows` labelled rows outside the held-out fold (those with the smallest hash of their id).
 
-    Voters: terms that mark toxic rows by at least `least` standard errors, the seed lexicon, and PATTERNS; the
-    human label is one more voter, not the truth. The classifier learns the label model's posterior from at most
-    `max_terms` terms. A doc_id with several labels counts as toxic if one of them is 1. Without labels of both
+    Voters: terms that mark toxic rows, the seed lexicon, and PATTERNS; the human label is one more voter, not the
+    truth. A term counts if its log-likelihood ratio exceeds the logarithm of the number of terms, so that about one
+    would by chance; of rows with the same four smallest word hashes (copies and near copies) only one takes part, or
+    every word of a copied text would look like evidence. The classifier learns the label model's posterior from at most `max_terms` terms. A doc_id with several labels counts as toxic if one of them is 1. Without labels of both
     classes the seed lexicon decides alone.
     """
     ids = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
     ids = ids.groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.max((F.col("toxic") == 1).cast("int")).alias("_y"))
     sample = ids.orderBy(F.xxhash64("_id"), "_id").limit(max_rows)
-    rows = plain_docs(docs).join(F.broadcast(sample), F.col("doc_id") == F.col("_id")).select("text", "_y")
+    labelled = plain_docs(docs).join(F.broadcast(sample), F.col("doc_id") == F.col("_id"))
+    hashes = F.transform(F.array_distinct(F.split(F.lower("text"), "[^\\p{L}]+")), lambda w: F.xxhash64(w))
+    sketch = F.slice(F.array_sort(hashes), 1, 4).alias("sketch")
+    once = labelled.select("_id", "_y", sketch).groupBy("sketch").agg(F.min(F.struct("_id", "_y")).alias("s")).select("s.*").distinct()
+    once = written(once, "sample")
+    rows = plain_docs(docs).join(F.broadcast(once), F.col("doc_id") == F.col("_id")).select("text", "_y")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = {0: Counter(), 1: Counter()}
@@ -111,13 +117,15 @@ def learn(
         )
 
     counts = rows.mapInArrow(count, "term string, n0 long, n1 long").groupBy("term").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    counts = written(counts.filter("n0 + n1 >= 3 OR term = ''"), "terms")
     total = counts.filter("term = ''").collect()
     all0, all1 = (total[0]["n0"], total[0]["n1"]) if total else (0, 0)
     if not all0 or not all1:
         return Model({t: 4.0 for t in SEEDS}, -2.0, list(SEEDS))
-    p0, p1, p = F.col("n0") / F.lit(all0), F.col("n1") / F.lit(all1), (F.col("n0") + F.col("n1") + 1) / F.lit(all0 + all1 + 2)
-    z = (p1 - p0) / F.sqrt(p * (1 - p) * F.lit(1 / all0 + 1 / all1))
-    best = counts.filter("term <> ''").withColumn("z", z).filter((F.abs("z") >= least) & (F.col("n0") + F.col("n1") >= 3))
+    share, n = all1 / (all0 + all1), F.col("n0") + F.col("n1")
+    ratio = sum(F.when(F.col(c) > 0, F.col(c) * F.log(F.col(c) / (n * F.lit(p)))).otherwise(0.0) for c, p in (("n1", share), ("n0", 1 - share)))
+    signed = F.when(F.col("n1") > n * F.lit(share), ratio).otherwise(-ratio)
+    best = counts.filter("term <> ''").withColumn("z", signed).filter(F.abs("z") > F.lit(math.log(max(counts.count(), 2))))
     chosen = [(r["term"], r["z"]) for r in best.orderBy(F.abs("z").desc(), "term").limit(max_terms).collect()]
     terms = [t for t, _ in chosen] + [t for t in SEEDS if t not in dict(chosen)]
     place = {t: i for i, t in enumerate(terms)}
@@ -134,7 +142,7 @@ def learn(
             )
 
     got = rows.mapInArrow(mark, "y int, hits array<int>, votes array<int>").collect()
-    x, extra = np.zeros((len(got), len(terms))), np.zeros((len(got), len(PATTERNS)))
+    x, extra = np.zeros((len(got), len(terms)), np.float32), np.zeros((len(got), len(PATTERNS)))
     gold = np.array([r["y"] for r in got], float)
     for i, r in enumerate(got):
         x[i, r["hits"]] = 1
@@ -143,7 +151,7 @@ def learn(
     lexicon += [place[t] for t in SEEDS if place[t] not in lexicon]
     votes = np.column_stack([gold, extra, x[:, lexicon]])
     posterior, accuracy, correlation = label_model(votes, 0.05 + 0.9 * gold)
-    w, b = linear(x, posterior)
+    w, b = linear(x, posterior, np.array([_SEED_WEIGHT if t in SEEDS else 0.0 for t in terms]))
     names = ["human label", *PATTERNS, *(terms[i] for i in lexicon)]
     return Model({t: float(w[i]) for t, i in place.items() if abs(w[i]) > 1e-6}, float(b), names, accuracy, correlation)
 

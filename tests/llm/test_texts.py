@@ -83,7 +83,7 @@ def test_base_spans_equal_the_definition(spark):
     for i, t in rows:
         told = ",".join(f"{personal.KINDS[k]}:{a}:{b}" for a, k, b in brute_spans(t))
         assert got[i].base_sha256 == hashlib.sha256(told.encode()).hexdigest(), t[:80]
-        assert set(told.split(",")) <= set(got[i].spans.split(",")), t[:80]
+        assert set(filter(None, told.split(","))) <= set(got[i].spans.split(",")), t[:80]
 
 
 def test_contexts_discover_unseen_identifiers(spark):
@@ -193,5 +193,5 @@ def test_nearest_equals_brute_force(spark, rows_per_block):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumns({c: F.lit(1) for c in ("label", "block", "rank", "score", "id")}).repartition(5)
     got = neighbours.nearest(df, F.col("vec_id") % 20 == 0, rows=rows_per_block)
     want = brute_nearest(rows, {i for i, _ in rows if i is not None and i % 20 == 0})
-    assert {tuple(r) for r in got.collect()} == want and len(want) > 60
+    assert {tuple(r) for r in got.collect()} == want and len(want) >= 60
     assert neighbours.nearest(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
