@@ -52,16 +52,20 @@ def amounts(c) -> Column:
 
 
 def currency_of(c, default: str = "IDR") -> Column:
-    """Currency by the symbol in a price text."""
+    """Currency by the mark in a price text: `default` without any mark, null for one that is not known."""
     text = _col(c)
-    # Currency symbols.
-    return (
-        F.when(text.isNull(), F.lit(None).cast("string"))
-        .when(text.rlike(r"(?i)\bRp"), F.lit("IDR"))
-        .when(text.contains("US$"), F.lit("USD"))
-        .when(text.contains("€"), F.lit("EUR"))
-        .otherwise(F.lit(default))
-    )
+    nothing = F.lit(None).cast("string")
+    # Currency marks, the longer ones first.
+    marks = [
+        (r"(?i)\bRp", "IDR"), (r"US\$", "USD"), (r"S\$", "SGD"), (r"A\$", "AUD"), (r"RM\s*[0-9]", "MYR"),
+        ("€", "EUR"), ("£", "GBP"), ("¥", "JPY"), (r"(?<![A-Za-z])\$", "USD"),
+    ]
+    out = F.when(text.isNull(), nothing)
+    for pattern, code in marks:
+        out = out.when(text.rlike(pattern), F.lit(code))
+    code = F.regexp_extract(text, r"(?:^|[^A-Za-z])([A-Z]{3})(?:\s*[0-9]|$)|[0-9]\s*([A-Z]{3})(?![A-Za-z])", 0)
+    code = F.regexp_extract(code, "[A-Z]{3}", 0)
+    return out.when(code != "", code).when(text.rlike(r"\p{Sc}"), nothing).otherwise(F.lit(default))
 
 
 def tokens(c) -> Column:

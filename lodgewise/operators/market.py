@@ -21,10 +21,8 @@ def grouped_summary(df: DataFrame, groups, price: str, rating: str, rollup: bool
 def with_segment(df: DataFrame, price: str, name: str = "market_segment") -> DataFrame:
     """Add budget / mid-range / luxury by the terciles of all prices."""
     terciles = quantiles(df, price, {"_low": 1 / 3, "_high": 2 / 3})
-    # One row, looked up through a constant key.
-    marked = df.withColumn("_one", F.lit(1))
-    joined = marked.join(F.broadcast(terciles.withColumn("_one", F.lit(1))), "_one", "left")
-    return joined.select(*df.columns, market_segment(price, "_low", "_high").alias(name))
+    joined = df.withColumn("_terciles", terciles.select(F.struct("_low", "_high")).scalar())  # one row
+    return joined.select(*df.columns, market_segment(price, "_terciles._low", "_terciles._high").alias(name))
 
 
 def availability(df: DataFrame, key: str, platform: str, known_platforms: int) -> DataFrame:

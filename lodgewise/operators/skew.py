@@ -3,50 +3,33 @@
 from pyspark.sql import DataFrame, functions as F
 
 
-def split_hot_keys(
-    left: DataFrame, right: DataFrame, key: str, block_rows: int = 10_000, max_hot: int = 1000
-) -> tuple[DataFrame, DataFrame, list[str]]:
+def split_hot_keys(left: DataFrame, right: DataFrame, key: str, block_rows: int = 10_000) -> tuple[DataFrame, DataFrame, list[str]]:
     """Salt both sides of a many-to-many join where a key has many rows on them.
 
-    A hot key is cut into blocks of rows on each side, and every left block meets every right block
-    once. Only the hottest keys by number of pairs are listed, so the list that is broadcast has at
-    most `max_hot` rows, and a key outside it holds less than 1 / `max_hot` of the pairs.
+    Every key with more than `block_rows` rows on a side is cut into blocks on each side, and every left block
+    meets every right block once. The keys to cut are joined by key, however many they are. The salt comes from
+    the place of a row in its input, so equal rows are spread too.
     """
     n_left = left.groupBy(key).agg(F.count(F.lit(1)).alias("_nl"))
     n_right = right.groupBy(key).agg(F.count(F.lit(1)).alias("_nr"))
     blocks_l = F.ceil(F.col("_nl") / F.lit(block_rows)).cast("int")
     blocks_r = F.ceil(F.col("_nr") / F.lit(block_rows)).cast("int")
-    hot = (
-        n_left.join(n_right, key)
-        .filter((F.col("_nl") > block_rows) | (F.col("_nr") > block_rows))
-        .orderBy((F.col("_nl") * F.col("_nr")).desc(), key)
-        .limit(max_hot)
-        .select(key, blocks_l.alias("_bl"), blocks_r.alias("_br"))
-    )
+    crowded = (F.col("_nl") > block_rows) | (F.col("_nr") > block_rows)
+    hot = n_left.join(n_right, key).filter(crowded).select(F.col(key).alias("_hot"), blocks_l.alias("_bl"), blocks_r.alias("_br"))
 
     def salted(df: DataFrame, own: str, other: str, own_salt: str, other_salt: str) -> DataFrame:
-        row = F.xxhash64(*[c for c in df.columns if c != key])
         own_blocks, other_blocks = F.coalesce(own, F.lit(1)), F.coalesce(other, F.lit(1))
+        rows = df.withColumn("_row", F.xxhash64(F.monotonically_increasing_id()))
         return (
-            df.withColumn("_row", row).join(F.broadcast(hot), key, "left")
+            rows.join(hot, F.col(key) == F.col("_hot"), "left")
             .withColumn(own_salt, F.pmod("_row", own_blocks).cast("int"))
             .withColumn(other_salt, F.explode(F.sequence(F.lit(0), other_blocks - 1)))
-            .drop("_row", "_bl", "_br")
+            .drop("_row", "_hot", "_bl", "_br")
         )
 
     return salted(left, "_bl", "_br", "_sl", "_sr"), salted(right, "_br", "_bl", "_sr", "_sl"), [key, "_sl", "_sr"]
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores when a handful of small files would give a handful of tasks to costly work.
-
-    Looks at the number of input files only; a large input keeps its partitions.
-    """
-    files = len(df.inputFiles())
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if 0 < files < min(cores, 16) else df
-
-
 def evenly(df: DataFrame) -> DataFrame:
     """Small rows that each cause much work, over all cores: their bytes would not tell Spark to do so."""
     spark = df.sparkSession

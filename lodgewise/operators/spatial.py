@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from lodgewise.functions.geo import (
     cell_of, chord, chord_of_km, chord_squared, grid_step, has_position, haversine_km, unit_vector, with_cells_within,
 )
-from lodgewise.operators.skew import evenly, split_hot_keys, spread
+from lodgewise.operators.skew import evenly, split_hot_keys
 from lodgewise.session import cut
 
 COORDINATES = ("latitude", "longitude")
@@ -40,25 +40,21 @@ def radius_join(
     inclusive: bool = True,
     distance: str = "distance_km",
     condition: Column | None = None,
-    split: bool = True,
 ) -> DataFrame:
     """All pairs within a distance, as an equi-join on grid cells and an exact filter.
 
     Each right row is in one cell and each left row names every cell it can reach once, so a pair
-    meets once. Cells with much work on both sides are split into blocks by row hash; give both
-    sides a unique column if exact copies of rows are to spread as well.
+    meets once. Cells with many rows on either side are split into blocks.
     """
     shared = set(left.columns) & set(right.columns)
     if shared:
         raise ValueError(f"columns on both sides: {sorted(shared)}")
     step = grid_step(radius_km)
-    a = spread(left.filter(has_position(F.col(left_at[0]), F.col(left_at[1]))))
+    a = left.filter(has_position(F.col(left_at[0]), F.col(left_at[1])))
     a = with_cells_within(_with_vector(a, left_at, "_a"), *left_at, radius_km, "_cell")
     b = right.filter(has_position(F.col(right_at[0]), F.col(right_at[1])))
     b = _with_vector(b, right_at, "_b").withColumn("_cell", cell_of(*right_at, step))
-    keys = ["_cell"]
-    if split:
-        a, b, keys = split_hot_keys(a, b, "_cell")
+    a, b, keys = split_hot_keys(a, b, "_cell")
     d = haversine_km(F.col(left_at[0]), F.col(left_at[1]), F.col(right_at[0]), F.col(right_at[1]))
     # The straight distance is cheap and leaves few pairs to the exact formula.
     pairs = a.join(b, keys).filter(chord_squared(_vector("_a"), _vector("_b")) <= (chord_of_km(radius_km) + _ROUNDING) ** 2)
@@ -222,7 +218,7 @@ def count_within(
 def _direct_counts(spots: DataFrame, sites: DataFrame, limits: list[float]) -> DataFrame:
     pairs = radius_join(
         spots.select("lat", "lon"), sites.select("site_lat", "site_lon", "n"), max(limits),
-        ("lat", "lon"), ("site_lat", "site_lon"), distance="km", split=False,
+        ("lat", "lon"), ("site_lat", "site_lon"), distance="km",
     )
     return pairs.groupBy("lat", "lon").agg(
         *[F.sum(F.when(F.col("km") <= r, F.col("n"))).alias(f"_n{i}") for i, r in enumerate(limits)]

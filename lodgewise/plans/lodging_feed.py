@@ -22,7 +22,7 @@ def longitude(key) -> Column:
     return F.lit(110.0) + ((F.col(key).cast("bigint") * 7907) % 10009) / F.lit(10009.0) * F.lit(0.8)
 
 
-ATTRACTION_SHIFT = 5003
+ATTRACTION_SHIFT = 53
 
 
 def rupiah(amount: Column) -> Column:
@@ -92,7 +92,7 @@ def tripadvisor_hotels(supplier: DataFrame) -> DataFrame:
         (k % 6).cast("double").cast("string").alias("hotelClass"),
         names.alias("amenities"), latitude("s_suppkey").alias("latitude"), longitude("s_suppkey").alias("longitude"),
         F.concat(rupiah(low), F.lit(" - "), rupiah(low + 200000)).alias("priceRange"),
-        F.lit("$$").alias("priceLevel"), F.lit("326").alias("rankingDenominator"), (k + 1).alias("rankingPosition"),
+        F.lit("$$").alias("priceLevel"), F.lit("410").alias("rankingDenominator"), (k + 1).alias("rankingPosition"),
         F.concat(F.lit("Jl. "), k).alias("address"),
         F.struct(F.concat(F.lit("Jl. "), k).alias("street1"), F.lit("").alias("street2"), F.lit(None).cast("string").alias("city"),
                  F.lit(None).cast("string").alias("state"), F.lit("Indonesia").alias("country"),
@@ -119,7 +119,7 @@ def booking_reviews(events: DataFrame) -> DataFrame:
         F.when(kind == "view", F.lit("Solo traveler")).when(kind == "click", F.lit("Couple"))
         .when(kind == "purchase", F.lit("Family")).when(kind == "signup", F.lit("Group")).alias("travelerType"),
         day.alias("checkInDate"), F.date_format(F.date_add(F.to_date("ts"), (e % 5 + 1).cast("int")), "yyyy-MM-dd").alias("checkOutDate"),
-        F.concat(day, F.lit("T10:54:07.000Z")).alias("reviewDate"),
+        F.concat(day, F.lit("T08:15:30.000Z")).alias("reviewDate"),
         (e % 5 + 1).alias("numberOfNights"), F.lit("id").alias("reviewLanguage"), (e % 3).alias("helpfulVotes"),
         marks.alias("hotelRatingScores"),
     ))
@@ -152,7 +152,7 @@ def attractions(part: DataFrame) -> DataFrame:
     info = F.create_map(
         F.lit("Accessibility"), F.array(seat, door), F.lit("Parking"), F.array(lot, F.lit(None).cast(yes_no)),
     )
-    hours = F.array(*[F.struct(F.lit(d).alias("day"), F.lit(h).alias("hours")) for d, h in (("Monday", "12 to 8 PM"), ("Tuesday", "Closed"))])
+    hours = F.array(*[F.struct(F.lit(d).alias("day"), F.lit(h).alias("hours")) for d, h in (("Monday", "9 AM to 5 PM"), ("Tuesday", "Closed"))])
     return _typed(part.select(
         F.xxhash64(F.lit("part"), k).alias("row_id"),
         F.concat(F.lit("p"), k).alias("placeId"), F.col("p_name").alias("title"),
@@ -163,7 +163,7 @@ def attractions(part: DataFrame) -> DataFrame:
         .alias("location"),
         (k % 50 == 0).alias("permanentlyClosed"), F.lit(False).alias("temporarilyClosed"),
         F.when(k % 4 != 0, info).alias("additionalInfo"), hours.alias("openingHours"),
-        F.lit("2025-05-15T05:11:16.167Z").alias("scrapedAt"), F.lit("ID").alias("countryCode"),
+        F.lit("2025-05-20T09:30:00.000Z").alias("scrapedAt"), F.lit("ID").alias("countryCode"),
     ))
 
 

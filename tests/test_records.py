@@ -88,7 +88,7 @@ def test_booking_review_columns(classified):
     table = project.booking_reviews(classified)
     assert len(table.columns) == 20
     row = one(table.filter("review_id = 'r1'"))
-    assert row.rating == 10.0 and row.review_date == datetime.date(2025, 4, 8) and row.check_in_date == datetime.date(2025, 4, 3)
+    assert row.rating == 10.0 and row.review_date == datetime.date(2025, 4, 9) and row.check_in_date == datetime.date(2025, 4, 3)
     assert one(table.filter("review_id = 'r2'")).review_title is None
 
 
@@ -96,7 +96,7 @@ def test_tripadvisor_columns(classified):
     hotels = project.tripadvisor_hotels(classified)
     assert len(hotels.columns) == 27
     row = one(hotels.filter("tripadvisor_location_id = '90'"))
-    assert row.ranking_denominator == 326 and row.hotel_class == "3.0" and row.full_address == "Jl. B"
+    assert row.ranking_denominator == 410 and row.hotel_class == "3.0" and row.full_address == "Jl. B"
     reviews = project.tripadvisor_reviews(classified)
     assert len(reviews.columns) == 16
     row = one(reviews)
@@ -108,7 +108,7 @@ def test_attraction_columns(classified):
     table = project.geospatial_attractions(classified)
     assert len(table.columns) == 23
     row = one(table.filter("place_id = 'p1'"))
-    assert (row.latitude, row.longitude, row.rating, row.reviews_count) == (-7.801, 110.387, 4.8, 495)
+    assert (row.latitude, row.longitude, row.rating, row.reviews_count) == (-7.801, 110.387, 4.1, 230)
 
 
 def test_empty_class_keeps_its_columns(spark, tmp_path):
@@ -129,7 +129,7 @@ def test_nested_tables(classified):
     assert nested.info_flags_long(places, ["place_id"], outer=True).filter("place_id = 'p2'").count() == 1
     reviews = project.booking_reviews(classified).filter("review_id = 'r1'")
     assert nested.rating_scores_long(reviews, ["review_id"]).count() == 6
-    assert nested.opening_hours_long(places, ["place_id"]).filter("place_id = 'p1'").first().hours == "12 to 8 PM"
+    assert nested.opening_hours_long(places, ["place_id"]).filter("place_id = 'p1'").first().hours == "9 AM to 5 PM"
 
 
 def test_facility_flags(classified):

@@ -93,6 +93,14 @@ def test_hot_keys_are_split_and_pairs_kept(spark):
     assert largest < left.groupBy("k").count().agg(F.max("count")).first()[0] / 4
 
 
+def test_no_hot_key_stays_whole(spark):
+    """More crowded keys than any list would hold, their rows all equal."""
+    left = spark.range(60_000).select((F.col("id") % 1500).alias("k"), F.lit(1).alias("a"))
+    right = spark.range(3000).select((F.col("id") % 1500).alias("k"), F.lit(2).alias("b"))
+    l, r, keys = split_hot_keys(left, right, "k", block_rows=10)
+    assert l.groupBy(*keys).count().agg(F.max("count")).first()[0] < 30 and l.join(r, keys).count() == 120_000
+
+
 @pytest.mark.parametrize("crowd", [5_000, 0])
 @pytest.mark.parametrize("kind, radius", KINDS)
 def test_counts_equal_brute_force(spark, kind, radius, crowd):

@@ -34,28 +34,32 @@ def quantile(values, p):
     return values[lo] + (values[hi] - values[lo]) * (h - lo)
 
 
-@pytest.mark.parametrize("ranges, small_rows", [(2, 0), (32, 0), (32, 200_000)])
-def test_quantiles_and_ranks_are_exact(spark, ranges, small_rows):
+def quantile_rows():
     r = random.Random(1)
-    rows = [("big", r.choice([0.0, 5.0, r.gauss(0, 9)])) for _ in range(700)] + [("small", 3.0), ("pair", 1.0), ("pair", 2.0), ("null", None)]
-    rows += [(None, float(i)) for i in range(5)]
-    df = frame(spark, [(i, g, v) for i, (g, v) in enumerate(rows)], "i int, g string, v double")
+    rows = [("big", r.choice([0.0, 5.0, r.gauss(0, 9)])) for _ in range(700)] + [("small", 3.0), ("pair", 1.0), ("pair", 2.0), ("null", None), ("nan", math.nan)]
+    rows += [(None, float(i)) for i in range(5)] + [("wide", r.choice([-1, 1]) * 10 ** r.uniform(-300, 300)) for _ in range(300)] + [("big", math.nan)]
+    return rows
+
+
+def test_quantiles_and_ranks_are_exact(spark):
+    rows = quantile_rows()
+    df = frame(spark, [(i, g, v) for i, (g, v) in enumerate(rows)], "i int, g string, v double").repartition(5)
     probs = {"a": 0.0, "b": 0.25, "c": 0.5, "d": 0.999, "e": 1.0}
     groups = {}
     for g, v in rows:
-        if v is not None:
+        if v is not None and not math.isnan(v):
             groups.setdefault(g, []).append(v)
-    got = {x.g: x for x in ranking.quantiles(df, "v", probs, ["g"], ranges, small_rows).collect()}
+    got = {x.g: x for x in ranking.quantiles(df, "v", probs, ["g"]).collect()}
     assert set(got) == set(groups)
-    for g, values in groups.items():
-        for name, p in probs.items():
-            assert got[g][name] == pytest.approx(quantile(values, p))
-    overall = ranking.quantiles(df, "v", {"m": 0.5}, ranges=ranges, small_rows=small_rows).first().m
-    assert overall == pytest.approx(quantile([v for _, v in rows if v is not None], 0.5))
-    ranked = {x.i: x.rank for x in ranking.percent_rank(df, "v", "rank", ["g"], ranges, small_rows).collect()}
+    built_in = df.filter("v IS NOT NULL AND NOT isnan(v)").groupBy("g").agg(*[F.percentile("v", p).alias(k) for k, p in probs.items()])
+    assert {r.g: tuple(r) for r in built_in.collect()} == {g: tuple(r) for g, r in got.items()}  # to the last bit
+    overall = ranking.quantiles(df, "v", {"m": 0.5, "n": 1 / 3})
+    assert overall.collect() == df.filter("v IS NOT NULL AND NOT isnan(v)").agg(F.percentile("v", 0.5).alias("m"), F.percentile("v", 1 / 3).alias("n")).collect()
+    assert ranking.quantiles(df.filter("g = 'null'"), "v", {"m": 0.5}, ["g"]).count() == 0
+    ranked = {x.i: x.rank for x in ranking.percent_rank(df, "v", "rank", ["g"]).collect()}
     assert len(ranked) == len(rows)
     for i, (g, v) in enumerate(rows):
-        if v is None or g is None:
+        if v is None or g is None or math.isnan(v):
             assert ranked[i] is None
         else:
             values = groups[g]
@@ -63,6 +67,27 @@ def test_quantiles_and_ranks_are_exact(spark, ranges, small_rows):
             assert ranked[i] == pytest.approx(want)
 
 
+def test_coarse_sketches_change_nothing(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "_ACCURACY", 3)
+    monkeypatch.setattr(ranking, "_CUTS", 4)
+    df = frame(spark, [(i % 3, float(i * 7919 % 1009)) for i in range(900)], "g int, v double").repartition(6)
+    probs = {"a": 0.01, "b": 0.5, "c": 0.9}
+    want = df.groupBy("g").agg(*[F.percentile("v", p).alias(k) for k, p in probs.items()])
+    assert sorted(ranking.quantiles(df, "v", probs, ["g"]).collect()) == sorted(want.collect())
+
+
+def test_quantiles_shuffle_sums_and_a_few_rows(spark):
+    df = spark.range(20_000).select((F.col("id") % 2).alias("g"), (F.col("id") * 7919 % 20_011).cast("double").alias("v"))
+    from contextlib import redirect_stdout
+    from io import StringIO
+
+    for group in ([], ["g"]):
+        said = StringIO()
+        with redirect_stdout(said):
+            ranking.quantiles(df, "v", {"m": 0.5}, group).explain("formatted")
+        assert "NestedLoop" not in said.getvalue() and "Cartesian" not in said.getvalue() and "_range" not in said.getvalue()
+
+
 def test_outliers_keep_nulls(spark):
     df = frame(spark, [("a", float(i)) for i in range(20)] + [("a", 1e6), ("a", None), ("b", 7.0)], "g string, v double")
     kept = clean.remove_outliers(df, "v", ["g"])
@@ -71,7 +96,7 @@ def test_outliers_keep_nulls(spark):
 
 
 PRICES = [
-    ("Rp 317.000 - Rp 517.000", 317000, 517000, "IDR"), ("Rp 1.250.000", 1250000, 1250000, "IDR"), ("US$1,234.50", 1234.5, 1234.5, "USD"),
+    ("Rp 240.000 - Rp 460.000", 240000, 460000, "IDR"), ("$ 120", 120, 120, "USD"), ("£ 90", 90, 90, "GBP"), ("SGD 200", 200, 200, "SGD"), ("S$ 20", 20, 20, "SGD"), ("150 USD", 150, 150, "USD"), ("₿ 2", 2, 2, None), ("Rp 1.250.000", 1250000, 1250000, "IDR"), ("US$1,234.50", 1234.5, 1234.5, "USD"),
     ("350000", 350000, 350000, "IDR"), ("€99", 99, 99, "EUR"), ("no price", None, None, "IDR"), (None, None, None, None), ("12,5", 12.5, 12.5, "IDR"),
 ]
 
@@ -86,7 +111,9 @@ def test_prices(spark, label, low, high, currency):
 def test_to_idr_leaves_unknown_currencies_null(spark):
     df = frame(spark, [(10.0, "USD"), (10.0, "XXX"), (None, "USD")], "p double, c string")
     rates = frame(spark, [("USD", 16000.0)], "currency string, to_idr double")
-    assert [r.price_idr for r in clean.to_idr(df, "p", "c", rates).collect()] == [160000.0, None, None]
+    assert [r.price_idr for r in clean.to_idr(df, "p", "c", rates.unionByName(rates)).collect()] == [160000.0, None, None]
+    with pytest.raises(Exception, match="two rates for USD"):
+        clean.to_idr(df, "p", "c", rates.unionByName(rates.withColumn("to_idr", F.lit(2.0)))).collect()
 
 
 def test_text(spark):
