@@ -7,12 +7,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from lodgewise.functions import scores
 from lodgewise.functions.casts import known_fraction, to_int
 from lodgewise.functions.text import NAME_STOP_WORDS, name_key
-from lodgewise.operators import clean, facilities, market, match, nested, reviews, spatial, temporal
+from lodgewise.operators import clean, facilities, market, match, nested, quality, reviews, spatial, temporal
 from lodgewise.operators.classify import CLASS, CORRECTED, classify, of_class, quarantine
 from lodgewise.operators.project import PROJECTIONS, load_time
 from lodgewise.operators.ranking import percent_rank
 from lodgewise.operators.stats import dataset_stats
-from lodgewise.schema import FEATURE_COLUMNS
+from lodgewise.schema import FEATURE_COLUMNS, REQUIRED
 from lodgewise.session import cut
 from lodgewise.sources.tables import write_table, write_tables
 
@@ -116,13 +116,15 @@ def platform_hotels(tables: dict[str, DataFrame], settings: Settings) -> DataFra
     )
 
 
-def merged_hotels(hotels: DataFrame, settings: Settings) -> DataFrame:
+def platform_links(hotels: DataFrame, settings: Settings) -> DataFrame:
+    """Which hotels of the two platforms are the same: a_id, b_id, similarity, distance_km."""
+    a, b = (hotels.filter(F.col("platform") == p).withColumnRenamed("name_key", "name") for p in ("booking.com", "tripadvisor.com"))
+    return cut(match.match_entities(a, b, settings.match_km, settings.match_floor))
+
+
+def merged_hotels(hotels: DataFrame, links: DataFrame) -> DataFrame:
     """One row per hotel: matched across platforms, values of the first platform before the second."""
     a, b = (hotels.filter(F.col("platform") == p) for p in ("booking.com", "tripadvisor.com"))
-    links = match.match_entities(
-        a.withColumnRenamed("name_key", "name"), b.withColumnRenamed("name_key", "name"), settings.match_km, settings.match_floor
-    )
-    links = cut(links)
     per_side = ("id", "price_idr", "rating", "names", "listed_reviews")
     merged = match.merge_matched(a, b, links, keep_both=per_side)
     return merged.withColumns({
@@ -265,9 +267,13 @@ def model_tables(classified: DataFrame, settings: Settings, names=MODEL_TABLES)
     hotels = cut(platform_hotels(tables, settings))
     if settings.drop_outliers:
         hotels = cut(clean.remove_outliers(hotels, ["price_idr", "rating"], ["platform"]))
-    merged = cut(merged_hotels(hotels, settings))
+    links = platform_links(hotels, settings)
+    merged = cut(merged_hotels(hotels, links))
     whole = "prediction_dataset" in names
     made = {}
+    if "dq_consistency" in names:
+        pairs = merged.select("hotel_id", "a_id", "b_id", "a_rating", "b_rating").join(links, ["a_id", "b_id"])
+        made["dq_consistency"] = match.inconsistencies(pairs)
     if whole or "hotel_features" in names:
         hotel = hotel_features(merged, settings)
         made["hotel_features"] = hotel.withColumn("hotel_name_clean", F.col("name_key")).select(
@@ -285,6 +291,29 @@ def model_tables(classified: DataFrame, settings: Settings, names=MODEL_TABLES)
     return {n: made[n] for n in names}
 
 
+# Keys and dates of the typed tables, for the measures of quality.
+DATASET_KEYS = {
+    "booking_hotels": ("booking_hotel_id", "processed_at"), "booking_reviews": ("review_id", "review_date"),
+    "tripadvisor_hotels": ("tripadvisor_location_id", "processed_at"), "tripadvisor_reviews": ("review_id", "published_date"),
+    "geospatial_attractions": ("place_id", "processed_at"),
+}
+
+
+def quality_tables(classified: DataFrame, stored: dict[str, DataFrame], as_of: str) -> dict[str, DataFrame]:
+    """Conformance of the records, and completeness, accuracy, timeliness, uniqueness and violations of the typed tables."""
+    out: dict[str, list[DataFrame]] = {n: [] for n in ("dq_completeness", "dq_accuracy", "dq_timeliness", "dq_uniqueness", "dq_violations")}
+    for name, (key, date) in DATASET_KEYS.items():
+        df = stored[name]
+        rules = quality.rules_for(df.columns)
+        dated = df.select(F.lit(name).alias("dataset"), F.col(date).alias("_date"))
+        out["dq_completeness"].append(quality.completeness(df).withColumn("dataset", F.lit(name)))
+        out["dq_accuracy"].append(quality.accuracy(df, rules).withColumn("dataset", F.lit(name)))
+        out["dq_timeliness"].append(quality.timeliness(dated, "dataset", "_date", as_of))
+        out["dq_uniqueness"].append(quality.uniqueness(df, [key]).withColumn("dataset", F.lit(name)))
+        out["dq_violations"].append(quality.violations(df, rules).select(F.lit(name).alias("dataset"), "source_row_id", "broken_rules"))
+    return {"dq_conformance": quality.conformance(classified, CLASS, REQUIRED), **{n: spatial.union_all(f) for n, f in out.items()}}
+
+
 def land_classified(records: DataFrame, path: str, rules=CORRECTED) -> DataFrame:
     """Write the classified records, one folder per class, so that later steps read one class and few columns."""
     classified = classify(records, rules)
@@ -296,7 +325,7 @@ def run(spark: SparkSession, records: DataFrame, out: str, settings: Settings, r
     """Write every table under `out` and give the statistics.
 
     The classified records are written first, one folder per class; every later step reads only the
-    folders and columns it needs.
+    folders and columns it needs. Measures of quality are written as tables of their own.
     """
     classified = land_classified(records, f"{out}/classified", rules)
     tables = typed_tables(classified, settings.as_of)
@@ -310,6 +339,7 @@ def run(spark: SparkSession, records: DataFrame, out: str, settings: Settings, r
     write_table(quarantine(classified), f"{out}/quarantine", ())
     stats = dataset_stats(stored)
     write_table(stats, f"{out}/summary_statistics", ())
+    write_tables(quality_tables(classified, stored, settings.as_of), out, partition_by=())
     if features:
-        write_tables(model_tables(classified, settings), out, partition_by=())
+        write_tables(model_tables(classified, settings, [*MODEL_TABLES, "dq_consistency"]), out, partition_by=())
     return spark.read.schema(stats.schema).parquet(f"{out}/summary_statistics")

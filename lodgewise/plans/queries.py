@@ -13,9 +13,9 @@ from lodgewise.operators import (
     classify, clean, facilities, market, match, nested, project, quality, ranking, records, reviews, spatial, stats, temporal,
 )
 from lodgewise.plans import batch, lodging_feed as feed
-from lodgewise.schema import FEATURE_COLUMNS
+from lodgewise.schema import FEATURE_COLUMNS, REQUIRED
 from lodgewise.session import shared_folder
-from lodgewise.sources import tables
+from lodgewise.sources import feeds, tables
 from lodgewise.streaming import incremental
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -171,6 +171,37 @@ UNION ALL SELECT 'geospatial_attraction', (SELECT count(*) FROM part)
 UNION ALL SELECT 'scrape_error', (SELECT count(*) FROM region)""")(_feed_counts(classify.CORRECTED))
 
 
+@query("catalog_table", """SELECT data_source_type, count(*) AS records, count(*) AS ids, round(avg(rating), 6) AS rating, CAST(coalesce(sum(topics), 0) AS BIGINT) AS topics FROM (
+  SELECT 'booking_hotel' AS data_source_type, CASE WHEN c_custkey % 11 <> 0 THEN 5 + (c_custkey % 50) / 10e0 END AS rating, NULL AS topics FROM customer
+  UNION ALL SELECT 'booking_review', event_id % 11, NULL FROM events
+  UNION ALL SELECT 'tripadvisor_hotel', CASE WHEN s_suppkey % 13 <> 0 THEN 1 + (s_suppkey % 41) / 10e0 END, NULL FROM supplier
+  UNION ALL SELECT CASE WHEN text IS NOT NULL THEN 'tripadvisor_review' ELSE 'unknown' END, 1 + (conv_id + turn) % 5, NULL FROM conversations
+  UNION ALL SELECT 'geospatial_attraction', NULL, CASE WHEN p_partkey % 4 <> 0 THEN 2 END FROM part
+  UNION ALL SELECT 'scrape_error', NULL, NULL FROM region) GROUP BY 1""")
+def catalog_table(spark, sf_dir):
+    """Records saved as a catalog table of one array column, about a hundred in a row, with the types a crawler finds:
+    ratings as choices of number types, free keys as structs. Read back, conformed and classified."""
+    rows = feed.lodging_feed(spark, sf_dir).drop("row_id")
+    info = F.col("additionalInfo")
+    whole = F.col("rating") == F.floor("rating")
+    crawled = rows.withColumns({
+        "rating": F.struct(F.when(~whole, F.col("rating")).alias("double"), F.when(whole, F.col("rating").cast("int")).alias("int")),
+        "additionalInfo": F.when(info.isNotNull(), F.struct(info["Accessibility"].alias("Accessibility"), info["Parking"].alias("Parking"))),
+    })
+    rounds = -(-rows.count() // 100)
+    record = F.struct(*crawled.columns)
+    arrays = crawled.select(F.pmod(F.xxhash64(F.to_json(record)), F.lit(rounds)).alias("part"), record.alias("r")).groupBy("part").agg(F.collect_list("r").alias("array"))
+    path = run_folder(spark, "crawled")
+    name = f"crawled_{path[-32:]}"
+    arrays.select("array").write.option("path", path).saveAsTable(name)
+    read_back = classify.classify(feeds.read_catalog_table(spark, name))
+    topics = F.sum(F.size(F.map_keys("additionalInfo"))).alias("topics")
+    out = read_back.groupBy(classify.CLASS).agg(
+        F.count(F.lit(1)).alias("records"), F.count_distinct("row_id").alias("ids"), F.round(F.avg("rating"), 6).alias("rating"), topics
+    )
+    return out.withColumn("topics", F.coalesce("topics", F.lit(0)))
+
+
 @query("quarantine_rows", """
 SELECT 'unknown' AS data_source_type, p_partkey AS k FROM part WHERE p_partkey % 4 = 0
 UNION ALL SELECT 'unknown', event_id FROM events WHERE event_id % 5 = 0
@@ -548,16 +579,6 @@ def catalog_report(spark, sf_dir):
     return report.select("table", "column", "rows", "present")
 
 
-# The required fields of each source.
-REQUIRED = {
-    "booking_hotel": ["name", "type", "stars", "location", "address", "facilities", "hotelId"],
-    "booking_review": ["rating", "reviewTitle", "travelerType", "hotelRatingScores", "hotelId"],
-    "tripadvisor_hotel": ["name", "type", "category", "rating", "latitude", "longitude", "amenities"],
-    "tripadvisor_review": ["rating", "text", "title", "locationId", "publishedDate"],
-    "geospatial_attraction": ["title", "categoryName", "location", "totalScore", "reviewsCount"],
-}
-
-
 def conformance_sql():
     source = {"booking_hotel": "customer", "booking_review": "events", "tripadvisor_hotel": "supplier",
               "tripadvisor_review": "conversations", "geospatial_attraction": "part"}

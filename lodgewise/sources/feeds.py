@@ -1,8 +1,10 @@
 """JSON feeds and catalog tables."""
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
+from lodgewise.functions.casts import choice_double
 from lodgewise.operators.records import explode_records, with_content_id
 from lodgewise.schema import CORRUPT, raw_schema
 
@@ -37,9 +39,43 @@ def read_feed(spark: SparkSession, path, schema: T.StructType | None = None, mul
     return with_content_id(without_junk(rows), "source_file")
 
 
+def _conformed(df: DataFrame, field: T.StructField) -> Column:
+    """A column in the type of the raw schema: choice structs become numbers, structs of free keys become maps."""
+    if field.name not in df.columns:
+        return F.lit(None).cast(field.dataType).alias(field.name)
+    own, column = df.schema[field.name].dataType, F.col(f"`{field.name}`")
+    if own == field.dataType:
+        return column
+    if isinstance(own, T.StructType) and isinstance(field.dataType, T.NumericType):
+        return choice_double(column, [b.name for b in own.fields]).try_cast(field.dataType).alias(field.name)
+    if isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)):
+        text = column if isinstance(own, T.StringType) else F.to_json(column)
+        return F.from_json(text, field.dataType).alias(field.name)
+    plain = F.to_json(column) if isinstance(own, (T.StructType, T.ArrayType, T.MapType)) else column
+    return plain.try_cast(field.dataType).alias(field.name)
+
+
+def conform(df: DataFrame, schema: T.StructType | None = None) -> DataFrame:
+    """All fields of the raw schema in their types, null where the table lacks them; its other columns stay."""
+    fields = (schema or raw_schema(keep_corrupt=False)).fields
+    names = {f.name for f in fields}
+    return df.select(*[_conformed(df, f) for f in fields], *[c for c in df.columns if c not in names])
+
+
 def read_catalog_table(spark: SparkSession, name: str, column: str = "array") -> DataFrame:
-    """Rows of a catalog table; a table of one array column becomes one row per element."""
-    return explode_records(spark.table(name), column)
+    """Records of a catalog table in the raw schema; a table of one array column becomes one row per element.
+
+    `row_id` comes from the file, the row in it and the place in the array; where the table's format does not tell
+    these, from the content.
+    """
+    table = spark.table(name)
+    if column not in table.columns:
+        return conform(with_content_id(table) if "row_id" not in table.columns else table)
+    try:
+        rows = table.select(column, F.concat_ws("#", "_metadata.file_path", "_metadata.row_index").alias("source_file"))
+    except AnalysisException:
+        rows = table.select(column, F.sha2(F.to_json(F.struct(column)), 256).alias("source_file"))
+    return conform(explode_records(rows, column, "source_file"))
 
 
 def infer_feed_schema(spark: SparkSession, paths, multi_line: bool = True, sampling: float = 1.0) -> T.StructType:
@@ -49,9 +85,17 @@ def infer_feed_schema(spark: SparkSession, paths, multi_line: bool = True, sampl
 
 
 def merge_schemas(old: T.StructType, new: T.StructType) -> T.StructType:
-    """The old fields, with the new ones added at the end; a field keeps its first type."""
-    merged = T.StructType(list(old.fields))
-    for field in new.fields:
-        if field.name not in merged.names:
-            merged.add(field)
-    return merged
+    """The old fields, with the new ones added at the end, nested ones too; a plain field keeps its first type."""
+    return _merged(old, new)
+
+
+def _merged(old: T.DataType, new: T.DataType) -> T.DataType:
+    if isinstance(old, T.StructType) and isinstance(new, T.StructType):
+        later = {f.name: f for f in new.fields}
+        fields = [T.StructField(f.name, _merged(f.dataType, later[f.name].dataType), True, f.metadata) if f.name in later else f for f in old.fields]
+        return T.StructType(fields + [f for f in new.fields if f.name not in old.names])
+    if isinstance(old, T.ArrayType) and isinstance(new, T.ArrayType):
+        return T.ArrayType(_merged(old.elementType, new.elementType))
+    if isinstance(old, T.MapType) and isinstance(new, T.MapType):
+        return T.MapType(old.keyType, _merged(old.valueType, new.valueType))
+    return new if isinstance(old, T.NullType) else old

@@ -49,7 +49,7 @@ def test_model_tables(classified, settings):
     merged = next(r for r in rows if r.platform_source == "merged")
     assert merged.price_idr == 300000.0 and merged.stars == 4.0 and merged.overall_rating == 8.0
     assert merged.has_wifi and merged.has_ac and merged.has_pool and merged.cross_platform_availability
-    assert merged.price_variance_platforms == pytest.approx(((417000 - 300000) / 2) ** 2)
+    assert merged.price_variance_platforms == pytest.approx(((350000 - 300000) / 2) ** 2)
     assert merged.total_reviews == 3 and merged.review_sentiment_score == 1.0 and merged.rating_staff == 8.75
     assert merged.attraction_density_1km == 0 and merged.attraction_density_2km == 2 and merged.restaurant_density_1km == 0
     assert merged.distance_to_nearest_attraction == pytest.approx(1.876, abs=1e-2) and merged.competitors_within_500m == 0
@@ -68,13 +68,26 @@ def test_run_writes_all_and_reruns_the_same(spark, raw, settings, tmp_path):
         "booking_hotels": 3, "booking_reviews": 2, "tripadvisor_hotels": 2, "tripadvisor_reviews": 1, "geospatial_attractions": 2,
         "hotel_attraction_distances": 6,
     }
-    names = [*stats, "classified", "quarantine"]
+    names = [*stats, "classified", "quarantine", *(f"dq_{n}" for n in ("conformance", "completeness", "accuracy", "timeliness", "uniqueness", "violations"))]
     before = {n: spark.read.parquet(f"{out}/{n}").count() for n in names}
     batch.run(spark, raw, out, settings, features=False)
     assert {n: spark.read.parquet(f"{out}/{n}").count() for n in names} == before and before["classified"] == ROWS
     assert (tmp_path / "out" / "booking_hotels" / "platform=booking.com").exists()
 
 
+def test_quality_tables(spark, raw, settings, tmp_path):
+    out = str(tmp_path / "out")
+    batch.run(spark, raw, out, settings)
+    table = lambda n: spark.read.parquet(f"{out}/dq_{n}")
+    uniqueness = {r.dataset: (r.duplicate_keys, r.rows_in_duplicates) for r in table("uniqueness").collect()}
+    assert uniqueness["booking_hotels"] == (1, 2) and uniqueness["geospatial_attractions"] == (0, 0) and len(uniqueness) == 5
+    complete = {(r.dataset, r.column): r.present for r in table("completeness").collect()}
+    assert complete["booking_hotels", "hotel_name"] == 3 and complete["booking_hotels", "latitude"] == 2
+    assert {r.dataset for r in table("timeliness").collect()} == set(batch.DATASET_KEYS)
+    assert {(r.dataset, r.rule) for r in table("accuracy").collect()} >= {("booking_hotels", "stars_range"), ("booking_reviews", "stay_order")}
+    assert table("violations").count() == 0 and table("conformance").count() > 20 and "disagreements" in table("consistency").columns
+
+
 def test_rerun_forgets_what_the_feed_no_longer_has(spark, raw, settings, tmp_path):
     out = str(tmp_path / "out")
     batch.run(spark, raw, out, settings, features=False)
