@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,7 +15,9 @@ from lodgewise.llm.common import plain_docs, slices, written
 from lodgewise.llm.graph import components
 from lodgewise.llm.words import mix, shingles, words
 
-_BITS, _PIECES = 18, 64  # frequency sketch: 2 ** _BITS counters, added up in _PIECES parts
+_BITS, _PIECES = 22, 128  # frequency sketches: 2 ** _BITS counters each, added up in _PIECES parts
+_MORE = 64
+_EACH = (2 << _BITS) // _PIECES
 BROADCAST_ROWS = 500_000
 
 
@@ -26,6 +29,39 @@ def _sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
         yield np.unique(found[at[i] : at[i + 1]])
 
 
+def _bucket(values: np.ndarray) -> np.ndarray:
+    return (values >> np.uint64(64 - _BITS)).astype(np.int64)
+
+
+class _Rarity:
+    """A number for each shingle by which all prefixes are sorted: about four times the logarithm of how often it is to
+    be expected, from the counts of its words and from the count of its own counter where that stands out.
+
+    It depends on nothing but the shingle, and is made of whole numbers, so every text sorts alike.
+    """
+
+    def __init__(self, word_counts: np.ndarray, shingle_counts: np.ndarray):
+        total = max(int(word_counts.sum(dtype=np.int64)), 1)
+        self.whole = int(4 * np.log2(total))
+        self.scarce = np.rint(-4 * np.log2(np.maximum(word_counts, 1) / total)).astype(np.uint8)
+        usual = shingle_counts.mean()
+        hot = shingle_counts > usual + 6 * np.sqrt(usual) + 8
+        self.hot = np.where(hot, 4 * np.log2(np.maximum(shingle_counts, 1)), 0).astype(np.uint8)
+
+    def sets(self, column: pa.Array, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The sorted distinct shingles of each text, and the number of each."""
+        prints, _, _, first = words(column)
+        found, at = shingles(prints, first, size)
+        sums = np.concatenate([[0], np.cumsum(self.scarce[_bucket(prints)].astype(np.int64))])
+        n = np.diff(at)
+        place = np.repeat(first[:-1] - at[:-1], n) + np.arange(at[-1])
+        scarce = sums[np.minimum(place + size, np.repeat(first[1:], n))] - sums[place]
+        expected = np.maximum(self.whole - scarce, self.hot[_bucket(found)])
+        for i in range(len(at) - 1):
+            own, where = np.unique(found[at[i] : at[i + 1]], return_index=True)
+            yield own, expected[at[i] : at[i + 1]][where]
+
+
 def _class(values: np.ndarray) -> int:
     """One number for a set: sums of two independent mixes of its members and its size."""
     twice = mix(values ^ np.uint64(0x5851F42D4C957F2D))
@@ -33,54 +69,71 @@ def _class(values: np.ndarray) -> int:
     return int((mix(whole) * np.array([3, 5, 7], np.uint64)).sum(dtype=np.uint64).view(np.int64))
 
 
-def _rarity(docs: DataFrame, size: int) -> np.ndarray:
-    """How frequent the shingles of each counter are, as a level; from all rows, and of fixed size."""
+def _bitmap(values: np.ndarray) -> bytes:
+    """One bit for each member of a set, by its first bits, in the least power of two of places that is twice its size."""
+    places = max(6, (2 * len(values) - 1).bit_length())
+    bits = np.zeros(1 << places, np.uint8)
+    bits[(values >> np.uint64(64 - places)).astype(np.int64)] = 1
+    return np.packbits(bits).tobytes()
+
+
+def _absent(x: bytes, y: bytes) -> tuple[int, int]:
+    """At least so many members of x that are not in y, and of y that are not in x."""
+    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    a, b = (np.unpackbits(v).reshape(8 * min(len(a), len(b)), -1).max(axis=1) for v in (a, b))  # the larger one folded
+    return int(np.count_nonzero(a > b)), int(np.count_nonzero(b > a))
+
+
+def _rarity(docs: DataFrame, size: int) -> _Rarity:
+    """Counts of words and shingles over all rows, in sketches of fixed size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << _BITS, np.int64)
+        counts = np.zeros((2, 1 << _BITS), np.int32)
         for batch in slices(batches):
-            for s in _sets(batch.column("text"), size):
-                counts += np.bincount((s >> np.uint64(64 - _BITS)).astype(np.int64), minlength=len(counts)) if len(s) > 10_000 else 0
-                if len(s) <= 10_000:
-                    counts[(s >> np.uint64(64 - _BITS)).astype(np.int64)] += 1
+            prints, _, _, first = words(batch.column("text"))
+            for total, values in zip(counts, (prints, shingles(prints, first, size)[0]), strict=True):
+                place, n = np.unique(_bucket(values), return_counts=True)
+                total[place] += n.astype(np.int32)
         lane = TaskContext.get().partitionId()
         if counts.any():
-            pieces = [p.tobytes() for p in np.split(counts, _PIECES)]
+            pieces = [np.minimum(p, 65535).astype("<u2").tobytes() for p in np.split(counts.ravel(), _PIECES)]
             yield pa.RecordBatch.from_arrays([pa.array(range(_PIECES), pa.int32()), pa.array([lane] * _PIECES, pa.int32()), pa.array(pieces, pa.binary())], ["piece", "lane", "counts"])
 
     def add(group: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(x, np.int64) for x in group["counts"])
-        return pd.DataFrame({"piece": group["piece"].iloc[:1], "lane": 0, "counts": [total.tobytes()]})
+        total = sum(np.frombuffer(x, "<u2" if len(x) == 2 * _EACH else "<u4").astype(np.int64) for x in group["counts"])
+        return pd.DataFrame({"piece": group["piece"].iloc[:1], "lane": 0, "counts": [np.minimum(total, 2**32 - 1).astype("<u4").tobytes()]})
 
     schema = "piece int, lane int, counts binary"
     parts = docs.mapInArrow(run, schema).withColumn("lane", (F.col("lane") % 256).cast("int"))
     added = parts.groupBy("piece", "lane").applyInPandas(add, schema).groupBy("piece").applyInPandas(add, schema)
-    counts = np.zeros((_PIECES, (1 << _BITS) // _PIECES))
+    counts = np.zeros((_PIECES, _EACH), np.uint32)
     for row in added.collect():  # _PIECES rows
-        counts[row["piece"]] = np.frombuffer(row["counts"], np.int64)
-    usual = max(counts.mean() * 1.5, 1.0)
-    return np.clip(np.floor(8 * np.log2(np.maximum(counts.ravel(), 1) / usual)), 0, 255).astype(np.uint8)
+        counts[row["piece"]] = np.frombuffer(row["counts"], "<u4")
+    return _Rarity(*counts.reshape(2, -1))
 
 
-def _profiles(docs: DataFrame, size: int, percent: int, levels: np.ndarray) -> DataFrame:
-    """doc_id, n_shingles, class, and the prefix: the rarest shingles, of which linked sets share at least one."""
+def _profiles(docs: DataFrame, size: int, percent: int, rarity: _Rarity) -> DataFrame:
+    """doc_id, n_shingles, class, the prefix, a number for it, and a bitmap of the set.
+
+    The prefix holds the rarest shingles: as many as linked sets may differ by, and 1 + n // _MORE further ones, of
+    which linked sets share as many as the smaller of them has.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        level = levels
         for batch in slices(batches):
-            n, classes, prefixes = [], [], []
-            for s in _sets(batch.column("text"), size):
-                keep = len(s) - -(-percent * len(s) // 100) + 1 if len(s) else 0
-                order = np.argsort(level[(s >> np.uint64(64 - _BITS)).astype(np.int64)], kind="stable")[:keep]
-                n.append(len(s))
-                classes.append(_class(s) if len(s) else None)
-                prefixes.append(np.sort(s[order]).tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(classes, pa.int64()), pa.array(prefixes, pa.binary())],
-                ["doc_id", "n_shingles", "class", "prefix"],
-            )
+            columns = [[] for _ in range(5)]
+            for s, expected in rarity.sets(batch.column("text"), size):
+                keep = len(s) - -(-percent * len(s) // 100) + 1 + len(s) // _MORE
+                order = np.argsort(expected, kind="stable")[:keep]
+                prefix = np.sort(s[order])
+                row = (len(s), _class(s), _class(prefix), prefix.tobytes(), _bitmap(s)) if len(s) else (0, None, None, None, None)
+                for c, v in zip(columns, row, strict=True):
+                    c.append(v)
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+            arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *arrays], ["doc_id", "n_shingles", "class", "print", "prefix", "bits"])
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, class long, prefix binary")
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, class long, print long, prefix binary, bits binary")
 
 
 def _postings(groups: DataFrame) -> DataFrame:
@@ -99,15 +152,37 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+def _small(keys: DataFrame) -> DataFrame:
+    """A list of keys, to be broadcast where its rows were counted to be few."""
+    return keys if keys.offset(BROADCAST_ROWS).head(1) else F.broadcast(keys)
+
+
+def _likely(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that may still reach the threshold by size and bitmap; no linked pair is lost."""
+    sides = [reps.select(F.col("class").alias(s), F.col("n").alias(f"n{s}"), F.col("bits").alias(f"bits{s}")) for s in ("a", "b")]
+    sized = pairs.join(sides[0].select("a", "na"), "a").join(sides[1].select("b", "nb"), "b")
+    near = sized.filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent).select("a", "b")
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = []
+            columns = [batch.column(c).to_pylist() for c in ("na", "nb", "bitsa", "bitsb")]
+            for n, m, x, y in zip(*columns, strict=True):
+                without, other = _absent(x, y)
+                both = min(n - without, m - other)
+                good.append(100 * both >= percent * (n + m - both))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    met = near.join(sides[0], "a").join(sides[1], "b").select("a", "b", "na", "nb", "bitsa", "bitsb")
+    return met.mapInArrow(check, "a long, b long")
+
+
+def _verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets reach the threshold. Sets are read again from the texts of the classes named."""
-    sized = classes.select("class", "n", "doc")
-    near = pairs.join(sized.select(F.col("class").alias("a"), F.col("n").alias("na")), "a").join(sized.select(F.col("class").alias("b"), F.col("n").alias("nb")), "b")
-    near = written(near.filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent).select("a", "b"), "pairs")
-    wanted = written(near.select(F.col("a").alias("class")).unionByName(near.select(F.col("b").alias("class"))).distinct().join(sized, "class").select("class", "doc"), "wanted")
-    ids = wanted.select(F.col("doc").alias("_doc")).distinct()
-    if not ids.offset(BROADCAST_ROWS).head(1):
-        ids = F.broadcast(ids)
+    near = written(_likely(pairs, reps, percent), "pairs")
+    named = near.select(F.col("a").alias("class")).unionByName(near.select(F.col("b").alias("class"))).distinct()
+    wanted = written(reps.select("class", "doc").join(named, "class"), "wanted")
+    ids = _small(wanted.select(F.col("doc").alias("_doc")).distinct())
     rows = docs.withColumn("_doc", F.coalesce("doc_id", F.lit(_LAST))).join(ids, "_doc", "left_semi").select("doc_id", "text")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,9 +216,9 @@ def link(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
     Equal sets form a class; classes with the same size and prefix form a group, and only groups are posted under
     the shingles of their prefix. A first round of candidates holds, for each shingle, each group with the group of
     the smallest doc_id and with its neighbour in the order of ids, and each class with the first of its group;
-    verified links give components. The second round takes every pair of classes in different components that
-    share a shingle of their prefixes (or a group), so no link between components is missed, and pairs inside a
-    large group of copies are never formed.
+    verified links give components. The second round takes every pair of classes in different components whose
+    prefixes share enough (or that form one group), so no link between components is missed, and pairs inside a
+    large group of copies are never formed. Sizes and bitmaps leave few pairs, whose whole sets are compared.
 
     A null or empty text has no shingles and its own doc_id as component; a null doc_id counts as the largest and
     its component is null if it is alone; repeated rows get a row each. Fingerprints have 64 bits.
@@ -151,13 +226,13 @@ def link(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
     rows = plain_docs(docs)
     profiles = written(_profiles(rows, size, percent, _rarity(rows, size)), "profiles")
     doc = F.coalesce("doc_id", F.lit(_LAST))
-    whole = profiles.filter("n_shingles > 0").withColumn("doc", doc)
-    classes = whole.groupBy("class").agg(F.min("doc").alias("doc"), F.first("n_shingles").alias("n"), F.first(F.xxhash64("prefix")).alias("print"), F.first("prefix").alias("prefix"))
-    classes = written(classes, "classes")
-    groups = classes.groupBy("n", "print").agg(F.min(F.struct("doc", "class")).alias("best"))
-    member = classes.join(groups, ["n", "print"]).select("class", "doc", "n", F.col("best.class").alias("grp"))
-    member = written(member, "members")
-    leaders = classes.join(member.filter("class = grp").select("class"), "class", "left_semi").select(F.col("class").alias("grp"), "doc", "prefix")
+    first_of = F.row_number().over(Window.partitionBy("class").orderBy("doc"))
+    reps = profiles.filter("n_shingles > 0").select("class", doc.alias("doc"), F.col("n_shingles").alias("n"), "print", "prefix", "bits")
+    reps = written(reps.withColumn("_first", first_of).filter("_first = 1").drop("_first"), "classes")
+    groups = reps.groupBy("n", "print").agg(F.min(F.struct("doc", "class")).alias("best"))
+    member = written(reps.select("class", "doc", "n", "print").join(groups, ["n", "print"]).select("class", "doc", "n", F.col("best.class").alias("grp")), "members")
+    heads = _small(member.filter("class = grp").select("class"))
+    leaders = reps.join(heads, "class", "left_semi").select(F.col("class").alias("grp"), "doc", "prefix")
     line = Window.partitionBy("shingle").orderBy("doc", "grp")
     placed = _postings(leaders).select(
         "shingle", "grp", F.lag("grp").over(line).alias("previous"), F.first("grp").over(line).alias("top"), F.lead("grp").over(line).alias("next")
@@ -166,22 +241,29 @@ def link(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
     first = shared.select(F.col("grp").alias("a"), F.col("top").alias("b"))
     first = first.unionByName(shared.filter("previous IS NOT NULL").select(F.col("grp").alias("a"), F.col("previous").alias("b")))
     first = written(_ordered(first.unionByName(member.select(F.col("class").alias("a"), F.col("grp").alias("b")))), "first")
-    links = written(_verified(first, member, rows, size, percent), "links")
+    links = written(_verified(first, reps, rows, size, percent), "links")
     known = components(links)
 
     at = member.join(known, F.col("class") == F.col("node"), "left").select("class", "grp", F.coalesce("root", F.col("class")).alias("root"))
     at = written(at, "at")
-    inner = at.groupBy("grp").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    sizes = member.filter("class = grp").select("grp", "n")
+    inner = at.groupBy("grp").agg(F.min("root").alias("low"), F.max("root").alias("high")).join(sizes, "grp")
     posted = shared.select("shingle", "grp").join(inner, "grp")
     mixed = posted.groupBy("shingle").agg(F.min("low").alias("l"), F.max("high").alias("h")).filter("l <> h").select("shingle")
-    open_ = posted.join(mixed, "shingle").select("shingle", "grp", "low", "high")
-    left, right = (open_.withColumnsRenamed({c: f"{s}_{c}" for c in ("grp", "low", "high")}) for s in ("x", "y"))
-    crossing = left.join(right, "shingle").filter("x_grp < y_grp AND NOT (x_low = y_low AND x_low = x_high AND y_low = y_high)").select("x_grp", "y_grp").distinct()
+    near = F.floor(F.log("n") / F.lit(math.log(100 / percent) * (1 + 1e-9))).cast("int")  # linked sizes differ by one step at most
+    open_ = written(posted.join(mixed, "shingle").select("shingle", "grp", "low", "high", "n", near.alias("step")), "open")
+    left, right = (open_.withColumnsRenamed({c: f"{s}_{c}" for c in ("grp", "low", "high", "n")}) for s in ("x", "y"))
+    right = right.withColumn("step", F.explode(F.array(F.col("step") - 1, F.col("step"), F.col("step") + 1)))
+    apart = "x_grp < y_grp AND NOT (x_low = y_low AND x_low = x_high AND y_low = y_high)"
+    sized = F.least("x_n", "y_n") * 100 >= F.greatest("x_n", "y_n") * percent
+    crossing = left.join(right, ["shingle", "step"]).filter(F.expr(apart) & sized)
+    enough = F.col("shared") > F.floor(F.least("x_n", "y_n") / _MORE)
+    crossing = crossing.groupBy("x_grp", "y_grp", "x_n", "y_n").agg(F.count(F.lit(1)).alias("shared")).filter(enough).select("x_grp", "y_grp")
     crossing = crossing.unionByName(inner.filter("low <> high").select(F.col("grp").alias("x_grp"), F.col("grp").alias("y_grp")))
     one, two = at.withColumnsRenamed({"class": "a", "grp": "x_grp", "root": "ra"}), at.withColumnsRenamed({"class": "b", "grp": "y_grp", "root": "rb"})
     second = crossing.join(one, "x_grp").join(two, "y_grp").filter("ra <> rb").select("a", "b")
     second = _ordered(second).join(first, ["a", "b"], "left_anti")
-    more = _verified(written(second, "second"), member, rows, size, percent)
+    more = _verified(written(second, "second"), reps, rows, size, percent)
     roots = components(links.unionByName(more))
 
     named = member.join(roots, F.col("class") == F.col("node"), "left").select("class", "doc", F.coalesce("root", F.col("class")).alias("root"))
