@@ -18,6 +18,7 @@ from lodgewise.llm.words import mix, shingles, words
 _BITS, _PIECES = 22, 128  # frequency sketches: 2 ** _BITS counters each, added up in _PIECES parts
 _MORE = 64
 _EACH = (2 << _BITS) // _PIECES
+SLICE = 2 << 20  # bytes of text at once: each takes about 50 bytes of memory
 BROADCAST_ROWS = 500_000
 
 
@@ -89,7 +90,7 @@ def _rarity(docs: DataFrame, size: int) -> _Rarity:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, 1 << _BITS), np.int32)
-        for batch in slices(batches):
+        for batch in slices(batches, limit=SLICE):
             prints, _, _, first = words(batch.column("text"))
             for total, values in zip(counts, (prints, shingles(prints, first, size)[0]), strict=True):
                 place, n = np.unique(_bucket(values), return_counts=True)
@@ -120,7 +121,7 @@ def _profiles(docs: DataFrame, size: int, percent: int, rarity: _Rarity) -> Data
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, limit=SLICE):
             columns = [[] for _ in range(5)]
             for s, expected in rarity.sets(batch.column("text"), size):
                 keep = len(s) - -(-percent * len(s) // 100) + 1 + len(s) // _MORE
@@ -186,7 +187,7 @@ def _verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, size: int, per
     rows = docs.withColumn("_doc", F.coalesce("doc_id", F.lit(_LAST))).join(ids, "_doc", "left_semi").select("doc_id", "text")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, limit=SLICE):
             found = [(_class(s), s.tobytes()) for s in _sets(batch.column("text"), size) if len(s)]
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.binary())], ["class", "members"])

@@ -16,6 +16,7 @@ from lodgewise.llm.common import plain_docs, slices
 from lodgewise.llm.words import shingles, words
 
 _BLOCKS = 8  # of 8 bits each
+SLICE = 2 << 20  # bytes of text at once: each takes about 50 bytes of memory
 
 
 class Items:
@@ -142,7 +143,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, size: int = 5, least: floa
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             items = shared.value
-            for batch in slices(batches):
+            for batch in slices(batches, limit=SLICE):
                 found = list(_search(items, batch.column("text"), least)) if items.bags else []
                 if found:
                     text, item, start, n, distance, similarity = zip(*found, strict=True)
@@ -160,7 +161,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, size: int = 5, least: f
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             items = shared.value
-            for batch in slices(batches):
+            for batch in slices(batches, limit=SLICE):
                 clean = np.ones(batch.num_rows, bool)
                 if items.bags:
                     clean[[x[0] for x in _search(items, pc.fill_null(batch.column("text"), ""), least)]] = False
