@@ -17,6 +17,7 @@ from lodgewise.llm.words import mix, shingles, words
 
 _BITS, _PIECES = 22, 128  # frequency sketches: 2 ** _BITS counters each, added up in _PIECES parts
 _MORE = 64
+_LIST, _ROWS = 64, 1024  # longer lists of a shingle are compared in blocks of so many rows
 _EACH = (2 << _BITS) // _PIECES
 SLICE = 2 << 20  # bytes of text at once: each takes about 50 bytes of memory
 BROADCAST_ROWS = 500_000
@@ -153,6 +154,61 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
+def _bits_of(rows: pd.DataFrame, length: int) -> np.ndarray:
+    """Bitmaps as a matrix of 0 and 1, folded to `length` places."""
+    bits = np.unpackbits(np.stack([np.frombuffer(b, np.uint8) for b in rows["bits"]]), axis=1)
+    return bits.reshape(len(rows), length, -1).max(axis=2).astype(np.float32)
+
+
+def _near_in_blocks(x: pd.DataFrame, y: pd.DataFrame, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places (in x, in y) of the pairs of two roots that sizes and bitmaps allow to be linked; products of matrices."""
+    x_length, y_length = (z["bits"].map(len).to_numpy() * 8 for z in (x, y))
+    for p in np.unique(x_length).tolist():
+        for q in np.unique(y_length).tolist():
+            if max(p, q) > 2 * min(p, q):
+                continue  # linked sizes differ by a third at most
+            length, step = min(p, q), max(16, (1 << 24) // max(p, q))
+            left, right = np.flatnonzero(x_length == p), np.flatnonzero(y_length == q)
+            for i in range(0, len(left), step):
+                a, own = x.iloc[left[i : i + step]], left[i : i + step]
+                bits_a = _bits_of(a, length)
+                for j in range(0, len(right), step):
+                    b, other = y.iloc[right[j : j + step]], right[j : j + step]
+                    bits_b = _bits_of(b, length)
+                    common = bits_a @ bits_b.T
+                    na, nb = a["n"].to_numpy()[:, None], b["n"].to_numpy()[None, :]
+                    both = np.minimum(na - bits_a.sum(axis=1)[:, None] + common, nb - bits_b.sum(axis=1)[None, :] + common)
+                    good = (100 * both >= percent * (na + nb - both)) & (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb))
+                    good &= a["root"].to_numpy()[:, None] != b["root"].to_numpy()[None, :]
+                    u, v = np.nonzero(good)
+                    yield own[u], other[v]
+
+
+def _crowded(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different roots in long lists: every block of a list meets every other once, and a pair comes out
+    where the first shingle stands that both have in long lists. Columns: shingle, size (of the list), class, root,
+    n, bits, opens (shingles of the class in long lists)."""
+    blocks = F.ceil(F.col("size") / F.lit(_ROWS)).cast("int")
+    own = rows.withColumn("own", F.pmod(F.xxhash64("class"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    keyed = own.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")}).drop("other", "size")
+
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        shingle, i, j = (int(group[c].iloc[0]) for c in ("shingle", "i", "j"))
+        x, y = (group[group["own"] == k].reset_index(drop=True) for k in (i, j))
+        found = []
+        if len(x) and len(y):
+            opens = [[frozenset(o) for o in z["opens"]] for z in (x, y)]
+            names = [z["class"].to_numpy() for z in (x, y)]
+            for u, v in _near_in_blocks(x, y, percent):
+                found += [
+                    (names[0][r], names[1][c]) for r, c in zip(u.tolist(), v.tolist(), strict=True)
+                    if (i != j or names[0][r] < names[1][c]) and min(opens[0][r] & opens[1][c]) == shingle
+                ]
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    return keyed.groupBy("shingle", "i", "j").applyInPandas(compare, "a long, b long")
+
+
 def _small(keys: DataFrame) -> DataFrame:
     """A list of keys, to be broadcast where its rows were counted to be few."""
     return keys if keys.offset(BROADCAST_ROWS).head(1) else F.broadcast(keys)
@@ -219,7 +275,8 @@ def link(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
     the smallest doc_id and with its neighbour in the order of ids, and each class with the first of its group;
     verified links give components. The second round takes every pair of classes in different components whose
     prefixes share enough (or that form one group), so no link between components is missed, and pairs inside a
-    large group of copies are never formed. Sizes and bitmaps leave few pairs, whose whole sets are compared.
+    large group of copies are never formed. Sizes and bitmaps leave few pairs, whose whole sets are compared;
+    of long lists, only these pairs are ever written out.
 
     A null or empty text has no shingles and its own doc_id as component; a null doc_id counts as the largest and
     its component is null if it is alone; repeated rows get a row each. Fingerprints have 64 bits.
@@ -253,6 +310,12 @@ def link(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
     mixed = posted.groupBy("shingle").agg(F.min("low").alias("l"), F.max("high").alias("h")).filter("l <> h").select("shingle")
     near = F.floor(F.log("n") / F.lit(math.log(100 / percent) * (1 + 1e-9))).cast("int")  # linked sizes differ by one step at most
     open_ = written(posted.join(mixed, "shingle").select("shingle", "grp", "low", "high", "n", near.alias("step")), "open")
+    long_ = open_.groupBy("shingle").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > _LIST)
+    crowd = open_.join(long_, "shingle").select("shingle", "size", "grp")
+    opens = crowd.groupBy("grp").agg(F.collect_list("shingle").alias("opens"))
+    named_ = at.join(opens, "grp").join(reps.select("class", "n", "bits"), "class")
+    dense = _crowded(crowd.join(named_, "grp").select("shingle", "size", "class", "root", "n", "bits", "opens"), percent)
+    open_ = open_.join(long_, "shingle", "left_anti")
     left, right = (open_.withColumnsRenamed({c: f"{s}_{c}" for c in ("grp", "low", "high", "n")}) for s in ("x", "y"))
     right = right.withColumn("step", F.explode(F.array(F.col("step") - 1, F.col("step"), F.col("step") + 1)))
     apart = "x_grp < y_grp AND NOT (x_low = y_low AND x_low = x_high AND y_low = y_high)"
@@ -263,7 +326,7 @@ def link(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
     crossing = crossing.unionByName(inner.filter("low <> high").select(F.col("grp").alias("x_grp"), F.col("grp").alias("y_grp")))
     one, two = at.withColumnsRenamed({"class": "a", "grp": "x_grp", "root": "ra"}), at.withColumnsRenamed({"class": "b", "grp": "y_grp", "root": "rb"})
     second = crossing.join(one, "x_grp").join(two, "y_grp").filter("ra <> rb").select("a", "b")
-    second = _ordered(second).join(first, ["a", "b"], "left_anti")
+    second = _ordered(second.unionByName(dense)).join(first, ["a", "b"], "left_anti")
     more = _verified(written(second, "second"), reps, rows, size, percent)
     roots = components(links.unionByName(more))
 

@@ -43,6 +43,18 @@ def test_components_equal_brute_force(spark, seed, vocabulary):
     assert got == sorted(brute_links(rows))
 
 
+@pytest.mark.parametrize("seed,vocabulary", [(1, 40), (7, 12)])
+def test_long_lists_in_blocks(spark, monkeypatch, seed, vocabulary):
+    monkeypatch.setattr(jaccard, "_LIST", 2)
+    monkeypatch.setattr(jaccard, "_ROWS", 4)
+    rows = [(i * 37 % 1009, t) for i, t in enumerate(random_texts(120, seed, vocabulary))]
+    base = [f"v{i}" for i in range(50)]
+    rows += [(2000 + i, " ".join(w if (j + i) % 9 else f"x{i}" for j, w in enumerate(base))) for i in range(25)]  # many alike, few linked
+    rows += [(3000 + i, " ".join(base[:40] + [f"y{i}"] + base[41:])) for i in range(15)]
+    got = sorted(map(tuple, jaccard.link(docs_frame(spark, rows).repartition(6)).collect()))
+    assert got == sorted(brute_links(rows))
+
+
 def test_chains_of_one_group_are_followed(spark):
     """Neighbours link, the ends don't, and all share a passage: more rounds than the first star."""
     base = [f"v{i}" for i in range(60)]
