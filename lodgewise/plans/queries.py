@@ -410,6 +410,21 @@ def hotel_attraction_distances(spark, sf_dir):
     return pairs.withColumn("distance_km", F.round("distance_km", 6))
 
 
+@query("batch_run", f"""WITH {BH_SQL}, {TH_SQL}, {AT_SQL},
+h AS (SELECT latitude, longitude FROM bh WHERE latitude IS NOT NULL UNION ALL SELECT latitude, longitude FROM th),
+d AS (SELECT count(*) AS n FROM h, att WHERE {hav('h.latitude', 'h.longitude', 'att.latitude', 'att.longitude')} <= 10e0)
+SELECT 'booking_hotels' AS dataset, count(*) AS record_count, round(avg(rating), 6) AS avg_rating FROM bh
+UNION ALL SELECT 'booking_reviews', count(*), round(avg(event_id % 11), 6) FROM events
+UNION ALL SELECT 'tripadvisor_hotels', count(*), round(avg(rating), 6) FROM th
+UNION ALL SELECT 'tripadvisor_reviews', count(*), round(avg(1 + (conv_id + turn) % 5), 6) FROM conversations WHERE text IS NOT NULL
+UNION ALL SELECT 'geospatial_attractions', count(*), round(avg(p_size / 10e0), 6) FROM part
+UNION ALL SELECT 'hotel_attraction_distances', n, NULL FROM d""")
+def batch_run(spark, sf_dir):
+    """The whole job over the feed: every table is written, and the statistics are read from the written ones."""
+    stats = batch.run(spark, feed.lodging_feed(spark, sf_dir), run_folder(spark, "batch"), settings(spark))
+    return rounded(stats.select("dataset", "record_count", "avg_rating"))
+
+
 def spots_of(spark, sf_dir):
     return read(spark, sf_dir, "part").select(
         feed.latitude("p_partkey", SHIFT).alias("latitude"), feed.longitude("p_partkey").alias("longitude"),
