@@ -302,14 +302,6 @@ def landmark_distances(df: DataFrame, landmarks: dict[str, tuple[float, float]],
     return df.withColumns({k: haversine_km(*here, F.lit(float(p[0])), F.lit(float(p[1]))) for k, p in landmarks.items()})
 
 
-def landmarks_from_table(table: DataFrame, prefix: str = "distance_to_", limit: int = 1000) -> dict[str, tuple[float, float]]:
-    """Landmark parameters from a (name, lat, lon) table; each becomes a column, so a long table is an error."""
-    rows = table.select("name", "lat", "lon").limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} landmarks; use nearest or radius_join for a large table")
-    return {prefix + r["name"]: (r["lat"], r["lon"]) for r in rows}
-
-
 def area_cell(lat="latitude", lon="longitude", size_km: float = 5.0) -> Column:
     """Grid cell used as the area of a place; null without a position."""
     position = has_position(F.col(lat), F.col(lon))

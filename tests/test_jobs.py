@@ -7,7 +7,7 @@ from conftest import CASES, HOTEL, OTHER_HOTEL, OTHER_REVIEW, PLACE, REVIEW
 from lodgewise.operators.classify import classify
 from lodgewise.plans import batch
 from lodgewise.schema import FEATURE_COLUMNS, raw_schema
-from lodgewise.session import cut, shared_folder, small
+from lodgewise.session import cut, shared_folder
 from lodgewise.sources import tables
 from lodgewise.streaming.incremental import run_available, stream_feed
 
@@ -163,12 +163,16 @@ def test_schema_paths():
     assert paths["user.contributions.totalContributions"] == "int"
 
 
-def test_small_tables_are_broadcast_and_large_ones_are_not(spark):
-    big, table = spark.range(1000), spark.range(50).withColumn("x", F.lit(1))
+def test_lookup_tables_are_joined_by_their_size(spark):
+    from lodgewise.operators import clean
+
+    rows = spark.range(10**7).select(F.lit(2.0).alias("p"), F.col("id").cast("string").alias("c"))
+    rates = spark.range(3).select(F.col("id").cast("string").alias("currency"), F.lit(5.0).alias("to_idr"))
+    plan = lambda: clean.to_idr(rows, "p", "c", rates)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan()
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = lambda t: big.join(t, "id")._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" in plan(small(table, 50)) and "BroadcastHashJoin" not in plan(small(table, 49))
+        assert "BroadcastHashJoin" not in plan()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 

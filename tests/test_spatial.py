@@ -137,12 +137,9 @@ def test_nearest_equals_brute_force(spark, kind):
 
 
 def test_landmarks(spark):
-    table = spark.createDataFrame([("centre", -7.8, 110.37)], "name string, lat double, lon double")
-    marks = spatial.landmarks_from_table(table)
+    marks = {"distance_to_centre": (-7.8, 110.37)}
     row = spatial.landmark_distances(points(spark, [(-7.8, 110.37)]), marks).first()
     assert row.distance_to_centre == 0.0
-    with pytest.raises(ValueError):
-        spatial.landmarks_from_table(table.union(table), limit=1)
 
 
 def plan_of(df):

@@ -226,12 +226,10 @@ def test_availability_and_preference(spark):
 def test_calendar(spark):
     day = datetime.date(2025, 7, 5)
     df = frame(spark, [(day,), (None,)], "d date")
-    holidays = temporal.days_of(frame(spark, [("2025-07-01",), ("2025-08-17",), ("2025-07-01",)], "day string"), "day")
+    holidays = [datetime.date(2025, 7, 1), datetime.date(2025, 8, 17)]
     row, empty = temporal.with_calendar(df, "d", [7], holidays).collect()
     assert (row.is_weekend, row.month, row.quarter, row.is_peak_season, row.days_to_holiday) == (True, 7, 3, True, 4)
     assert empty.month is None and empty.days_to_holiday is None
-    with pytest.raises(ValueError):
-        temporal.days_of(df, "d", limit=0)
 
 
 def test_rollup_marks_subtotals(spark):
