@@ -21,11 +21,22 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write a table once in the shared folder and read it back: cuts the lineage and survives lost executors."""
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def written(df: DataFrame, name: str, batch: str = "8m") -> DataFrame:
+    """Write a table once in the shared folder and read it back: cuts the lineage and survives lost executors.
+
+    While it is written, Python tasks get batches of at most `batch` bytes.
+    """
+    spark = df.sparkSession
+    path, before = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}", spark.conf.get(_BATCH, None)
+    spark.conf.set(_BATCH, batch)
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_BATCH, before) if before else spark.conf.unset(_BATCH)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def plain_docs(docs: DataFrame, *more: str) -> DataFrame:

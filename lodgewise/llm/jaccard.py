@@ -15,11 +15,11 @@ from lodgewise.llm.common import plain_docs, slices, written
 from lodgewise.llm.graph import components
 from lodgewise.llm.words import mix, shingles, words
 
-_BITS, _PIECES = 22, 128  # frequency sketches: 2 ** _BITS counters each, added up in _PIECES parts
+_BITS, _PIECES = 21, 64  # frequency sketches: 2 ** _BITS counters each, added up in _PIECES parts
 _MORE = 64
 _LIST, _ROWS = 64, 1024  # longer lists of a shingle are compared in blocks of so many rows
 _EACH = (2 << _BITS) // _PIECES
-SLICE = 2 << 20  # bytes of text at once: each takes about 50 bytes of memory
+SLICE = 1 << 20  # bytes of text at once: each takes about 50 bytes of memory
 BROADCAST_ROWS = 500_000
 
 
@@ -109,7 +109,7 @@ def _rarity(docs: DataFrame, size: int) -> _Rarity:
     parts = docs.mapInArrow(run, schema).withColumn("lane", (F.col("lane") % 256).cast("int"))
     added = parts.groupBy("piece", "lane").applyInPandas(add, schema).groupBy("piece").applyInPandas(add, schema)
     counts = np.zeros((_PIECES, _EACH), np.uint32)
-    for row in added.collect():  # _PIECES rows
+    for row in written(added, "counts").collect():  # _PIECES rows
         counts[row["piece"]] = np.frombuffer(row["counts"], "<u4")
     return _Rarity(*counts.reshape(2, -1))
 
