@@ -111,10 +111,10 @@ class TokenStore:
         self._reset()
 
     @classmethod
-    def of(cls, path: str) -> TokenStore:
-        if path not in cls._kept:
-            cls._kept[path] = cls(path)
-        return cls._kept[path]
+    def of(cls, path: str, keep: int = 1_000_000) -> TokenStore:
+        store = cls._kept[path] = cls._kept.get(path) or cls(path)
+        store.keep = keep
+        return store
 
     def _reset(self) -> None:
         self.place: dict[bytes, int] = {}

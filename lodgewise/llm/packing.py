@@ -53,10 +53,10 @@ class Windows:
             length -= taken
 
 
-def _pack_partitions(docs: DataFrame, tokenizer_path: str, end_id: int, size: int, keep: int, least_cut: int, with_ids: bool) -> DataFrame:
+def _pack_partitions(docs: DataFrame, tokenizer_path: str, end_id: int, size: int, keep: int, least_cut: int, with_ids: bool, chunks: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        store, windows = TokenStore.of(tokenizer_path), Windows(size, keep, least_cut)
+        store, windows = TokenStore.of(tokenizer_path, chunks), Windows(size, keep, least_cut)
         waiting: dict[int, list[tuple]] = {}
         done: list[tuple] = []
 
@@ -130,19 +130,20 @@ def _merger(size: int, keep: int, last: bool):
 
 def pack(
     docs: DataFrame, tokenizer_path: str, size: int = 2048, end_id: int = 1, keep: int = 64, least_cut: int = 32,
-    fan: int = 16, with_ids: bool = False,
+    fan: int = 16, with_ids: bool = False, chunks: int = 1_000_000,
 ) -> DataFrame:
     """Pack documents into sequences of at most `size` tokens; one row per piece.
 
     Each partition keeps at most `keep` open windows. A piece goes where the least room remains; when it fits
     nowhere the fullest window leaves, filled up with the head of the piece if both parts have `least_cut` tokens.
     The windows still open at the end are merged over `fan` partitions at a time until one group is left, so a
-    task never holds more than `fan * keep` of them. `with_ids` adds the ids of each piece (little-endian, 4 bytes).
+    task never holds more than `fan * keep` of them. `with_ids` adds the ids of each piece (little-endian, 4 bytes). A worker
+    remembers the ids of at most `chunks` chunks of text.
 
     A null text is empty and packs its end id; a null doc_id stays null; repeated rows are packed each; an empty
     table gives no rows; other columns of `docs` are not read.
     """
-    first = written(_pack_partitions(docs, tokenizer_path, end_id, size, keep, least_cut, with_ids), "packed")
+    first = written(_pack_partitions(docs, tokenizer_path, end_id, size, keep, least_cut, with_ids, chunks), "packed")
     names = [c for c in first.columns if c not in ("open", "lane")]
     parts = [first.filter(~F.col("open")).select(*names)]
     left, lanes = first.filter("open"), max(1, docs.rdd.getNumPartitions())

@@ -17,6 +17,7 @@ from lodgewise.llm.common import Chunks, plain_docs, slices, written
 
 _WORD = re.compile(r"[^\W\d_]+")
 _PREFIXES = (4, 5, 6)
+SLICE = 2 << 20  # bytes of text at once
 SEEDS = ("idiot", "stupid", "moron", "pathetic", "worthless", "disgusting", "scum", "trash", "loser", "clown", "hate")
 _SEED_WEIGHT = 3.0  # what a seed counts before any evidence
 #: Votes of surface patterns, each with what it looks for.
@@ -156,7 +157,7 @@ def learn(docs: DataFrame, labels: DataFrame, max_rows: int = 12_000, max_terms:
     return Model({t: float(w[i]) for t, i in place.items() if abs(w[i]) > 1e-6}, float(b), names, accuracy, correlation)
 
 
-def _scorer(model: Model, keep: int = 1_000_000):
+def _scorer(model: Model, keep: int = 250_000):
     """A function that scores a column of texts; it keeps the terms of at most `keep` chunks."""
     weights, bias = model.weights, model.bias
     value, place = np.array([*weights.values()] or [0.0]), {t: i for i, t in enumerate(weights)}
@@ -191,7 +192,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _scorer(model)
-        for batch in slices(batches):
+        for batch in slices(batches, limit=SLICE):
             p = scorer(batch.column("text"))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(p), pa.array((p >= 0.5).astype(np.int32))], ["doc_id", "score", "predicted"])
 
@@ -204,7 +205,7 @@ def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _scorer(model)
-        for batch in slices(batches):
+        for batch in slices(batches, limit=SLICE):
             yield batch.filter(pa.array(scorer(pc.fill_null(batch.column("text"), "")) < 0.5))
 
     return docs.mapInArrow(run, docs.schema)
