@@ -31,27 +31,29 @@ def unescape(text: str) -> str:
 def fold(events: DataFrame) -> DataFrame:
     """Final messages of a log: conv_id, message, place, role, text.
 
-    Columns of the log: conv_id, seq (order of the events), message (key of the message meant), kind, role, text.
+    Columns of the log: conv_id, seq (order of the events, null before all others), message (key of the message meant), kind, role, text.
     `message` and `edit` set the text, `regenerate` empties it and `delta` appends to it; of one seq the kinds
     count in the order of EVENTS. The place of a message is the seq of its first event and its role the first one
     given. Only what was appended since the last reset is put together, so rewritten text is never gathered. A
     null text is empty; a kind not listed is ignored; a message without a role has an empty one.
     """
     rank = F.array_position(F.array(*[F.lit(k) for k in EVENTS]), F.col("kind"))
-    log = events.select("conv_id", "message", "seq", rank.alias("rank"), "role", F.coalesce("text", F.lit("")).alias("text")).filter("rank > 0")
+    order = F.struct(F.col("seq").isNotNull().alias("known"), F.coalesce("seq", F.lit(0)).alias("seq")).alias("order")  # compares without nulls
+    log = events.select("conv_id", "message", order, rank.alias("rank"), "role", F.coalesce("text", F.lit("")).alias("text")).filter("rank > 0")
     key = [F.col("conv_id"), F.col("message")]
-    at = F.struct("seq", F.when(F.col("rank") == 2, -1).otherwise(F.col("rank")).alias("rank"), "text")
+    at = F.struct("order", F.when(F.col("rank") == 2, -1).otherwise(F.col("rank")).alias("rank"), "text")
     reset = F.max(F.when(F.col("rank") != 2, at))
-    heads = log.groupBy(*key).agg(reset.alias("reset"), F.min("seq").alias("place"), F.min_by("role", F.when(F.col("role").isNotNull(), F.col("seq"))).alias("role"))
+    heads = log.groupBy(*key).agg(reset.alias("reset"), F.min("order").alias("place"), F.min_by("role", F.when(F.col("role").isNotNull(), F.col("order"))).alias("role"))
     deltas = log.filter("rank = 2").alias("d").join(
         heads.alias("h"), F.col("d.conv_id").eqNullSafe(F.col("h.conv_id")) & F.col("d.message").eqNullSafe(F.col("h.message"))
-    ).filter(F.col("h.reset").isNull() | (F.col("d.seq") >= F.col("h.reset.seq")))
+    ).filter(F.col("h.reset").isNull() | (F.col("d.order") >= F.col("h.reset.order")))
     tails = deltas.groupBy(F.col("d.conv_id").alias("_c"), F.col("d.message").alias("_m")).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("d.seq", "d.text"))), lambda x: x["text"]), "").alias("tail")
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("d.order", "d.text"))), lambda x: x["text"]), "").alias("tail")
     )
     joined = heads.join(tails, F.col("conv_id").eqNullSafe(F.col("_c")) & F.col("message").eqNullSafe(F.col("_m")), "left")
     start = F.when(F.col("reset.rank") == 4, F.lit("")).otherwise(F.coalesce("reset.text", F.lit("")))
-    return joined.select("conv_id", "message", "place", F.coalesce("role", F.lit("")).alias("role"), F.concat(start, F.coalesce("tail", F.lit(""))).alias("text"))
+    place = F.when(F.col("place.known"), F.col("place.seq")).alias("place")
+    return joined.select("conv_id", "message", place, F.coalesce("role", F.lit("")).alias("role"), F.concat(start, F.coalesce("tail", F.lit(""))).alias("text"))
 
 
 def render(messages: DataFrame) -> DataFrame:
