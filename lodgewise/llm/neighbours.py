@@ -24,7 +24,7 @@ def _quantised(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def blocks(vectors: DataFrame, ident: str, vector: str, rows: int, copies: int) -> DataFrame:
     """Rows of up to `rows` vectors of one length as matrices. Null, zero and non-finite vectors take no part, nor null ids.
 
-    Of equal vectors in a block only the `copies` smallest ids stay: no others can come among the nearest.
+    Of equal vectors in a block only the `copies` smallest ids stay, once each: no others can come among the nearest.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -45,6 +45,7 @@ def blocks(vectors: DataFrame, ident: str, vector: str, rows: int, copies: int)
                 x, own = x[order], own[order]
                 _, kind = np.unique(x, axis=0, return_inverse=True)
                 order = np.lexsort((own, kind))
+                order = order[np.r_[True, (np.diff(kind[order]) != 0) | (np.diff(own[order]) != 0)][: len(order)]]  # repeated rows
                 group = kind[order]
                 first = np.r_[0, np.flatnonzero(np.diff(group)) + 1] if len(group) else np.zeros(0, int)
                 rank = np.arange(len(group)) - np.repeat(first, np.diff(np.r_[first, len(group)]))
@@ -90,8 +91,13 @@ def _tile(q: dict, c: dict, heaps: list[list[tuple[float, int]]], k: int) -> Non
     near = product * qs[:, None] * cs[None, :]
     doubt = qe[:, None] + (1 + qe[:, None]) * ce[None, :] + 1e-9
     near[qi[:, None] == ci[None, :]] = -math.inf
-    if near.shape[1] > k:
-        floor = np.partition(near - doubt, near.shape[1] - k, axis=1)[:, near.shape[1] - k]
+    order = np.argsort(ci, kind="stable")
+    first = np.flatnonzero(np.r_[True, np.diff(ci[order]) != 0])
+    least = near - doubt
+    if len(first) < len(ci):  # an id counts once, with its best bound
+        least = np.maximum.reduceat(least[:, order], first, axis=1)
+    if len(first) > k:
+        floor = np.partition(least, len(first) - k, axis=1)[:, len(first) - k]
     else:
         floor = np.full(len(qi), -math.inf)
     floor = np.maximum(floor, [h[0][0] if len(h) == k else -math.inf for h in heaps])
