@@ -12,9 +12,6 @@ from lodgewise.llm import jaccard, leaks, packing, personal, toxicity
 from lodgewise.llm.common import table, written
 from lodgewise.session import shared_folder
 
-_LAST = 2**63 - 1
-
-
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose text is predicted toxic go."""
@@ -22,15 +19,18 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest doc_id stays (of repeated ids one row). Empty texts stay."""
-    linked = jaccard.link(docs)
-    gone = linked.filter("n_shingles > 0 AND NOT doc_id <=> component_id")
-    gone = written(gone.select(F.coalesce("doc_id", F.lit(_LAST)).alias("_gone")).distinct(), "gone")
-    if not gone.offset(jaccard.BROADCAST_ROWS).head(1):
-        gone = F.broadcast(gone)
-    kept = docs.join(gone, F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)) == F.col("_gone"), "left_anti")
-    repeated = linked.filter("doc_id IS NOT NULL AND n_shingles > 0").groupBy("doc_id").count().filter("count > 1")
-    return kept.dropDuplicates(["doc_id"]) if repeated.head(1) else kept
+    """Of each group of linked rows one stays: that with the smallest doc_id (null: the largest), then the smallest hash of
+    its text. Rows are told apart by id and text, so unlinked texts under one id all stay, and so do empty texts."""
+    surplus = written(jaccard.surplus(docs).withColumnsRenamed({"doc_id": "_id", "text_hash": "_text"}), "surplus")
+    own = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))) == F.col("_text"))
+
+    def listed(some: str) -> DataFrame:
+        keys = surplus.filter(some).select("_id", "_text")
+        return keys if keys.offset(jaccard.BROADCAST_ROWS).head(1) else F.broadcast(keys)
+
+    single = docs.join(listed("true"), own, "left_anti")
+    first = docs.join(listed("stays"), own, "left_semi").dropDuplicates(["doc_id", "text"])
+    return single.unionByName(first)
 
 
 def leaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -115,12 +115,14 @@ def _rarity(docs: DataFrame, size: int) -> _Rarity:
 
 
 def _profiles(docs: DataFrame, size: int, percent: int, rarity: _Rarity) -> DataFrame:
-    """doc_id, n_shingles, class, the prefix, a number for it, and a bitmap of the set.
+    """doc_id (and what else stands beside the text), n_shingles, class, the prefix, a number for it, and a bitmap of the set.
 
     The prefix holds the rarest shingles: as many as linked sets may differ by, and 1 + n // _MORE further ones, of
     which linked sets share as many as the smaller of them has.
     """
 
+    beside = [c for c in docs.columns if c != "text"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, limit=SLICE):
             columns = [[] for _ in range(5)]
@@ -133,9 +135,9 @@ def _profiles(docs: DataFrame, size: int, percent: int, rarity: _Rarity) -> Data
                     c.append(v)
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
             arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *arrays], ["doc_id", "n_shingles", "class", "print", "prefix", "bits"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in beside), *arrays], [*beside, "n_shingles", "class", "print", "prefix", "bits"])
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, class long, print long, prefix binary, bits binary")
+    return docs.mapInArrow(run, "".join(f"{c} long, " for c in beside) + "n_shingles long, class long, print long, prefix binary, bits binary")
 
 
 def _postings(groups: DataFrame) -> DataFrame:
@@ -267,8 +269,8 @@ def _verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, size: int, per
 _LAST = 2**63 - 1  # a null doc_id sorts behind all others
 
 
-def link(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
-    """One row per row of `docs`: doc_id, n_shingles, component_id (smallest doc_id reachable by links).
+def _linked(rows: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The profiles of all rows, and class, doc, root (one class of the component) of all classes.
 
     Equal sets form a class; classes with the same size and prefix form a group, and only groups are posted under
     the shingles of their prefix. A first round of candidates holds, for each shingle, each group with the group of
@@ -277,11 +279,7 @@ def link(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
     prefixes share enough (or that form one group), so no link between components is missed, and pairs inside a
     large group of copies are never formed. Sizes and bitmaps leave few pairs, whose whole sets are compared;
     of long lists, only these pairs are ever written out.
-
-    A null or empty text has no shingles and its own doc_id as component; a null doc_id counts as the largest and
-    its component is null if it is alone; repeated rows get a row each. Fingerprints have 64 bits.
     """
-    rows = plain_docs(docs)
     profiles = written(_profiles(rows, size, percent, _rarity(rows, size)), "profiles")
     doc = F.coalesce("doc_id", F.lit(_LAST))
     first_of = F.row_number().over(Window.partitionBy("class").orderBy("doc"))
@@ -331,7 +329,32 @@ def link(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
     roots = components(links.unionByName(more))
 
     named = member.join(roots, F.col("class") == F.col("node"), "left").select("class", "doc", F.coalesce("root", F.col("class")).alias("root"))
+    return profiles, named
+
+
+def link(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
+    """One row per row of `docs`: doc_id, n_shingles, component_id (smallest doc_id reachable by links).
+
+    A null or empty text has no shingles and its own doc_id as component; a null doc_id counts as the largest and
+    its component is null if it is alone; repeated rows get a row each. Fingerprints have 64 bits.
+    """
+    profiles, named = _linked(plain_docs(docs), size, percent)
     least = named.groupBy("root").agg(F.min("doc").alias("least"))
     ids = named.join(least, "root").select(F.col("class").alias("_class"), F.nullif("least", F.lit(_LAST)).alias("least"))
     out = profiles.select("doc_id", "n_shingles", "class").join(ids, F.col("class") == F.col("_class"), "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def surplus(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
+    """What is left over when one row of each component stays: doc_id, text_hash (64 bits), stays.
+
+    The row with the smallest doc_id (null: the largest) and then the smallest hash of its text stays. It is listed
+    too, with `stays`, if equal rows (same id and text) follow it. A row without shingles is no copy of any other.
+    """
+    profiles, named = _linked(plain_docs(docs, F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("text_hash")), size, percent)
+    key = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")
+    keyed = profiles.filter("n_shingles > 0").groupBy("class", key.alias("key")).agg(F.count(F.lit(1)).alias("n"))
+    keyed = written(keyed.join(named.select("class", "root"), "class"), "keyed")
+    best = keyed.groupBy("root").agg(F.min("key").alias("best"), F.sum("n").alias("rows")).filter("rows > 1").drop("rows")
+    told = keyed.join(best, "root").withColumn("stays", F.expr("key <=> best")).filter("NOT stays OR n > 1")
+    return told.select("key.doc_id", "key.text_hash", "stays")
