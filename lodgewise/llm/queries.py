@@ -130,3 +130,40 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary_path, path = vocabulary("word_bpe_49k.json"), f"{shared_folder(spark)}/ids-{uuid.uuid4().hex}"
     token_files.write_token_files(table(spark, sf_dir, "documents"), path, vocabulary_path)
     return token_files.read_token_files(spark, path, token_files.vocabulary_bits(vocabulary_path))
+
+
+@query
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lodgewise.llm.phrases import collocations
+
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_phrases"] = """
+WITH p AS (
+    SELECT lang, regexp_extract_all(piece, '[^ \\t]+') AS ws
+    FROM (SELECT coalesce(lang, 'und') AS lang,
+                 unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\n\\x0B\\x0C\\r]')) AS piece FROM documents)
+), g AS (
+    SELECT lang, ws[i:i + k - 1] AS g, count(*) AS f
+    FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM p, range(1, 6) t(k)) GROUP BY ALL HAVING count(*) >= 100
+), words AS (
+    SELECT lang, sum(len(ws)) AS n FROM p GROUP BY lang
+), c AS (
+    SELECT lang, g, f FROM g WHERE len(g) >= 2
+), inner_ AS (
+    SELECT lang, g[i:i + k - 1] AS g, max(f) AS f
+    FROM (SELECT lang, g, f, k, unnest(range(1, len(g) - k + 2)) AS i FROM c, range(2, 5) t(k) WHERE k < len(g)) GROUP BY ALL
+), kept AS (
+    SELECT c.* FROM c LEFT JOIN inner_ i ON c.lang = i.lang AND c.g = i.g WHERE i.f IS NULL OR 100 * i.f < 100 * c.f
+), cuts AS (
+    SELECT k.lang, k.g, k.f AS a, x.f AS l, y.f AS r, w.n, t.k,
+           (1000::HUGEINT * k.f * w.n) // (x.f::HUGEINT * y.f) AS score
+    FROM kept k JOIN range(1, 5) t(k) ON t.k < len(k.g) JOIN words w ON w.lang = k.lang
+    JOIN g x ON x.lang = k.lang AND x.g = k.g[1:t.k] JOIN g y ON y.lang = k.lang AND y.g = k.g[t.k + 1:]
+), least AS (
+    SELECT *, array_to_string(g, ' ') AS phrase FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score
+FROM least QUALIFY rank <= 2000
+"""
