@@ -14,7 +14,7 @@ from lodgewise.llm.words import mix
 
 _BREAKERS = b".,;:!?\n\x0b\x0c\r"
 _SLICE = 2 << 20
-_HELD = 1_000_000
+_HELD, _KEYS = 1_000_000, 4_000_000
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -69,9 +69,23 @@ class Pieces:
         return mix(word * _A + lang[self.lang]), word
 
 
-def _pairs(first: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """The key of two words in a row, from the key of the first and the next word."""
-    return mix(first[:-1] * _B + word[1:] * _A)
+def _possible(pieces: Pieces, marks: list[Marks]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """Per place and number of words k = 1, 2, ...: whether k words may start a frequent phrase there, as far as the marks
+    and the pieces tell; and the key of one word more, where the shorter ones allow it (`ready`)."""
+    keys, word = pieces.keys()
+    alive = [np.ones(len(word), bool)]
+    for k, mark in enumerate(marks, 1):
+        alive.append(ready(alive, pieces.joined, k) & mark.has(keys))
+        keys = mix(keys * _B + np.append(word[k:], np.zeros(min(k, len(word)), np.uint64)) * _A)
+    return keys, alive[1:], ready(alive, pieces.joined, len(marks) + 1)
+
+
+def ready(alive: list[np.ndarray], joined: np.ndarray, k: int) -> np.ndarray:
+    """Whether k words starting at a place lie in one piece and their first and last k - 1 words may be frequent."""
+    if k == 1:
+        return alive[0]
+    later = lambda x, by: np.append(x[by:], np.zeros(min(by, len(x)), bool))
+    return alive[-1] & later(alive[-1], 1) & joined & later(joined, k - 2)
 
 
 class Marks:
@@ -89,9 +103,9 @@ class Marks:
 
 
 def _marks(keys: DataFrame, least: int, bits: int) -> Marks:
-    """Marks of all keys whose counts (columns key, n) reach `least`; 2^bits bits reach the driver, whatever the input."""
+    """Marks of all keys whose counts (columns key, n; once a task) reach `least`; 2^bits bits reach the driver at most."""
     place = F.shiftrightunsigned("key", 64 - bits)
-    many = keys.groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+    many = keys.repartition("key").groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
     rows = many.groupBy((place / 32768).cast("int").alias("block")).agg(F.expr(f"bitmap_construct_agg(cast(shiftrightunsigned(key, {64 - bits}) % 32768 as int))").alias("bits"))
     return Marks({r.block: bytes(r.bits) for r in rows.toLocalIterator()}, bits)
 
@@ -105,51 +119,51 @@ def _words_of(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
-def windows(docs: DataFrame, least: int, longest: int = 5, bits: int = 27, slice_bytes: int = _SLICE) -> DataFrame:
+def windows(docs: DataFrame, least: int, longest: int = 5, bits: int = 27, slice_bytes: int = _SLICE, levels: int = 2) -> DataFrame:
     """One row per language and distinct window with its count: w1, w2, ... hold the words from a place on, as many as
     stand in one piece, `longest` at most. A row without words counts all words of the language.
 
-    A window ends before a word, or before a second word, that two bitmaps show to be rare: no phrase of `least`
-    occurrences holds those. Bitmaps have 2^bits bits; where keys collide, more is counted, never less.
+    A window ends where bitmaps of the phrases of 1 to `levels` words show that a rare one would stand in it: no phrase
+    of `least` occurrences holds a rarer one. Bitmaps have 2^bits bits; where keys collide, more is counted, never less.
     """
     spark, texts = docs.sparkSession, _words_of(docs)
     names = [f"w{i + 1}" for i in range(longest)]
-
-    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _short(batches, slice_bytes):
-            yield _counted(Pieces(batch).keys()[0])
-
-    one = spark.sparkContext.broadcast(_marks(texts.mapInArrow(words, "key long, n long"), least, bits))
-
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _short(batches, slice_bytes):
-            pieces = Pieces(batch)
-            first, word = pieces.keys()
-            often = one.value.has(first)
-            both = _pairs(first, word)[(often[:-1] & often[1:] & pieces.joined[:-1])]
-            yield _counted(both)
-
-    two = spark.sparkContext.broadcast(_marks(texts.mapInArrow(pairs, "key long, n long"), least, bits))
+    known: list = []
+
+    def counted(before: list):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held: list[np.ndarray] = []
+            for batch in _short(batches, slice_bytes):
+                keys, _, some = _possible(Pieces(batch), [b.value for b in before])
+                held.append(keys[some])
+                if sum(map(len, held)) > _KEYS:
+                    yield _counted(np.concatenate(held))
+                    held = []
+            if held:
+                yield _counted(np.concatenate(held))
+
+        return run
+
+    for _ in range(min(levels, longest - 1)):
+        keys = texts.mapInArrow(counted(list(known)), "key long, n long")
+        known.append(spark.sparkContext.broadcast(_marks(keys, least, bits)))
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
 
         def summed() -> pa.Table:
-            return pa.concat_tables(held).group_by(["lang", *names], use_threads=False).aggregate([("n", "sum")]).rename_columns(["lang", *names, "n"])
+            whole = pa.concat_tables(held).group_by(["lang", *names], use_threads=False).aggregate([("n", "sum")]).rename_columns(["lang", *names, "n"])
+            return whole.sort_by([(c, "ascending") for c in ["lang", *names]])  # neighbours share beginnings: packs well
 
         for batch in _short(batches, slice_bytes):
             pieces = Pieces(batch)
-            first, word = pieces.keys()
-            often = one.value.has(first)
-            goes_on = np.zeros(len(word), bool)
-            goes_on[:-1] = often[:-1] & often[1:] & pieces.joined[:-1]
-            some = np.flatnonzero(goes_on)
-            goes_on[some] = two.value.has(mix(first[some] * _B + word[np.minimum(some + 1, len(word) - 1)] * _A))
-            columns = {"lang": pieces.lang[often], "w1": pieces.code[often]}
-            at, alive = np.flatnonzero(often), np.ones(int(often.sum()), bool)
+            _, alive, _ = _possible(pieces, [b.value for b in known])
+            for k in range(len(alive) + 1, longest + 1):
+                alive.append(ready(alive, pieces.joined, k))
+            at = np.flatnonzero(alive[0])
+            columns = {"lang": pieces.lang[at], "w1": pieces.code[at]}
             for i in range(1, longest):
-                alive = alive & goes_on[np.minimum(at + i - 1, len(word) - 1)]
-                columns[f"w{i + 1}"] = np.where(alive, pieces.code[np.minimum(at + i, len(word) - 1)], -1).astype(np.int32)
+                columns[f"w{i + 1}"] = np.where(alive[i][at], pieces.code[np.minimum(at + i, max(0, len(pieces.code) - 1))], -1).astype(np.int32)
             counted = pa.table(columns).group_by(["lang", *names], use_threads=False).aggregate([([], "count_all")])
             total = np.bincount(pieces.lang, minlength=len(pieces.langs))
             code = lambda c: np.asarray(counted.column(c).combine_chunks(), dtype=np.int64)  # noqa: B023, E731

@@ -167,3 +167,75 @@ WITH p AS (
 SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score
 FROM least QUALIFY rank <= 2000
 """
+
+
+@query
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lodgewise.llm.divergence import audit
+
+    return audit(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_divergence"] = r"""
+WITH w AS (
+    SELECT doc, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM (SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                 translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
+), v AS (
+    SELECT lang, term, count(*) AS total FROM w GROUP BY ALL HAVING count(DISTINCT doc) >= 10
+), g AS (
+    SELECT DISTINCT coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents
+), c AS (
+    SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN v USING (lang, term) GROUP BY ALL
+), l AS (
+    SELECT lang, count(*) AS terms, sum(total) AS everything FROM v GROUP BY lang
+), s AS (
+    SELECT g.lang, g.source, l.terms, l.everything, coalesce((SELECT sum(n) FROM c WHERE c.lang = g.lang AND c.source = g.source), 0) AS own
+    FROM g LEFT JOIN l USING (lang)
+), p AS (
+    SELECT s.lang, s.source, v.term, coalesce(c.n, 0) AS n,
+           1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 2)) // (s.own + 2 * s.terms) AS p,
+           1 + (1000000000::HUGEINT * (v.total + 2)) // (s.everything + 2 * s.terms) AS q
+    FROM s JOIN v USING (lang) LEFT JOIN c ON c.lang = s.lang AND c.source = s.source AND c.term = v.term
+), pair AS (
+    SELECT x.lang, x.source, y.source AS item, sum(((x.p - y.p) * (x.p - y.p)) // (x.p + y.p)) AS value
+    FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL
+), pairs AS (
+    SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce(value, 0) AS value
+    FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source LEFT JOIN pair ON pair.lang = x.lang AND pair.source = x.source AND pair.item = y.source
+), term AS (
+    SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q)) // (p + q) AS value FROM p WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM (FROM pairs UNION ALL FROM term))
+WHERE part = 'pair' OR rank <= 10
+"""
+
+
+@query
+def op13_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lodgewise.llm.near_vectors import link
+
+    return link(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op13_near_vectors"] = """
+WITH RECURSIVE v AS (
+    SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND list_count(embedding) = len(embedding)
+      AND NOT list_bool_or([NOT isfinite(x) FOR x IN embedding]) AND list_bool_or([x <> 0 FOR x IN embedding])
+), p AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+    WHERE list_inner_product(a.e, b.e) / (sqrt(list_inner_product(a.e, a.e)) * sqrt(list_inner_product(b.e, b.e))) >= 0.9
+), reach AS (
+    SELECT vec_id AS a, vec_id AS b FROM embeddings
+    UNION
+    SELECT r.a, p.b FROM reach r JOIN p ON r.b = p.a
+), n AS (
+    SELECT a, count(*) AS n FROM p GROUP BY a
+), c AS (
+    SELECT a, min(b) AS c FROM reach GROUP BY a
+)
+SELECT e.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, c.c AS component_id, e.vec_id = c.c AS kept
+FROM embeddings e LEFT JOIN n ON n.a = e.vec_id LEFT JOIN c ON c.a = e.vec_id
+"""
