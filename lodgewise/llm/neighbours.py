@@ -67,13 +67,13 @@ def blocks(vectors: DataFrame, ident: str, vector: str, rows: int, copies: int)
 def _cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Cosines of matching rows in double precision, summed from the first component to the last."""
     dot, aa, bb = np.zeros(len(a)), np.zeros(len(a)), np.zeros(len(a))
-    for i in range(a.shape[1]):
-        dot += a[:, i] * b[:, i]
-        aa += a[:, i] * a[:, i]
-        bb += b[:, i] * b[:, i]
     with np.errstate(all="ignore"):
+        for i in range(a.shape[1]):
+            dot += a[:, i] * b[:, i]
+            aa += a[:, i] * a[:, i]
+            bb += b[:, i] * b[:, i]
         out = dot / (np.sqrt(aa) * np.sqrt(bb))
-    odd = ~np.isfinite(out) | (aa < 1e-290) | (bb < 1e-290)
+    odd = ~np.isfinite(out) | ~np.isfinite(aa) | ~np.isfinite(bb) | (aa < 1e-290) | (bb < 1e-290)
     if odd.any():  # squares out of range: scaled first
         x, y = (v[odd] / np.abs(v[odd]).max(axis=1)[:, None] for v in (a, b))
         out[odd] = (x * y).sum(axis=1) / (np.linalg.norm(x, axis=1) * np.linalg.norm(y, axis=1))
