@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import uuid
-from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lodgewise.session import shared_folder
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
+KEEP_BYTES = 192 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -98,47 +100,87 @@ class Chunks:
         self.n_bytes = np.diff(offsets)
 
 
+class Kept(dict):
+    """What a worker remembers of chunks: at most `limit` bytes, counted with what Python adds to each entry."""
+
+    def __init__(self, limit: int):
+        self.limit, self.bytes = limit, 0
+
+    def take_in(self, chunks: list[bytes], each: int = 200) -> None:
+        """Count chunks about to be added; if they leave no room, everything older goes."""
+        more = sum(map(len, chunks)) + each * len(chunks)
+        if self.bytes + more > self.limit:
+            self.clear()
+            self.bytes = 0
+        self.bytes += more
+
+
+def released() -> None:
+    """Give freed memory back to the system: a worker that Spark uses again would hold it through later stages."""
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 class TokenStore:
-    """Ids of distinct chunks, kept by a worker over its tasks up to a bounded number of chunks."""
+    """Ids of distinct chunks, kept by a worker over its tasks, in at most `keep` bytes.
+
+    When these are used up, the chunks of the slice at hand stay and all others go. Chunks of one slice that need more
+    are held until the next slice comes.
+    """
 
     _kept: dict[str, TokenStore] = {}
 
-    def __init__(self, path: str, keep: int = 1_000_000):
+    def __init__(self, path: str, keep: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer, self.keep = Tokenizer.from_file(path), keep
-        self._reset()
+        self._fill({}, np.zeros(0, np.uint32), np.zeros(0, np.int64))
 
     @classmethod
-    def of(cls, path: str, keep: int = 1_000_000) -> TokenStore:
-        store = cls._kept[path] = cls._kept.get(path) or cls(path)
+    def of(cls, path: str, keep: int = KEEP_BYTES) -> TokenStore:
+        store = cls._kept[path] = cls._kept.get(path) or cls(path, keep)
         store.keep = keep
         return store
 
-    def _reset(self) -> None:
-        self.place: dict[bytes, int] = {}
-        self.all_ids, self.ends = array("I"), array("q", [0])
+    def _fill(self, place: dict[bytes, int], ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.place, self.pool, self.sizes = place, ids, sizes
+        self.bytes = sum(map(len, place)) + 200 * len(place) + 4 * len(ids)
+
+    def _pick(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids at these places, one after the other, and how many each has."""
+        ends, each = np.cumsum(self.sizes), self.sizes[places]
+        stops = np.cumsum(each)
+        return self.pool[np.repeat(ends[places] - stops, each) + np.arange(stops[-1] if len(stops) else 0)], each
+
+    def _learn(self, new: list[bytes]) -> None:
+        pools, sizes = [self.pool], [self.sizes]
+        for at in range(0, len(new), 10_000):
+            some = new[at : at + 10_000]
+            got = [x.ids for x in self.tokenizer.encode_batch_fast([c.decode() for c in some], add_special_tokens=False)]
+            sizes.append(np.fromiter(map(len, got), np.int64, len(got)))
+            pools.append(np.fromiter(chain.from_iterable(got), np.uint32, int(sizes[-1].sum())))
+        self.place.update(zip(new, range(len(self.place), len(self.place) + len(new)), strict=True))
+        self.pool, self.sizes = np.concatenate(pools), np.concatenate(sizes)
+        self.bytes += sum(map(len, new)) + 200 * len(new) + 4 * int(sum(map(len, pools[1:])))
 
     def ids(self, column: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, each with `end_id` behind it, and the offset of each text."""
         chunks = Chunks(column)
-        if len(self.place) + len(chunks.distinct) > self.keep:
-            self._reset()
-        new = [c for c in chunks.distinct if c not in self.place]
-        for at in range(0, len(new), 10_000):
-            some = new[at : at + 10_000]
-            for chunk, found in zip(some, self.tokenizer.encode_batch([c.decode() for c in some], add_special_tokens=False), strict=True):
-                self.place[chunk] = len(self.place)
-                self.all_ids.extend(found.ids)
-                self.ends.append(len(self.all_ids))
-        places = np.array([self.place[c] for c in chunks.distinct], np.int64)
-        ends, pool = np.frombuffer(self.ends, np.int64).copy(), np.frombuffer(self.all_ids, np.uint32) if self.all_ids else np.zeros(0, np.uint32)
-        pool = np.append(pool, np.uint32(end_id))
-        begins, sizes = np.append(ends[places], len(pool) - 1), np.append(ends[places + 1] - ends[places], 1)
-        codes = np.insert(chunks.codes, chunks.first[1:], len(chunks.distinct))
-        each = sizes[codes]
-        stops = np.cumsum(each)
-        flat = pool[np.repeat(begins[codes] - (stops - each), each) + np.arange(stops[-1] if len(stops) else 0)]
-        last = chunks.first[1:] + np.arange(len(chunks.first) - 1)
-        return flat, np.concatenate([[0], stops[last]]).astype(np.int64)
+        if self.bytes > self.keep:
+            held = [(c, p) for c in chunks.distinct if (p := self.place.get(c)) is not None]
+            ids, sizes = self._pick(np.array([p for _, p in held], np.int64))
+            self._fill({c: i for i, (c, _) in enumerate(held)}, ids, sizes)
+        self._learn([c for c, p in zip(chunks.distinct, map(self.place.get, chunks.distinct), strict=True) if p is None])
+        places = np.fromiter(map(self.place.__getitem__, chunks.distinct), np.int64, len(chunks.distinct))
+        last = chunks.first[1:] + np.arange(len(chunks.first) - 1)  # where the end ids go
+        codes = np.empty(len(chunks.codes) + len(last), np.int64)
+        own = np.ones(len(codes), bool)
+        own[last] = False
+        codes[own], codes[last] = places[chunks.codes] if len(places) else 0, len(self.sizes)
+        self.pool, self.sizes = np.append(self.pool, np.uint32(end_id)), np.append(self.sizes, 1)
+        flat, each = self._pick(codes)
+        self.pool, self.sizes = self.pool[:-1], self.sizes[:-1]
+        return flat, np.concatenate([[0], np.cumsum(each)[last]]).astype(np.int64)

@@ -10,10 +10,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from lodgewise.llm.common import Chunks, plain_docs, slices
+from lodgewise.llm.common import KEEP_BYTES, Chunks, Kept, plain_docs, released, slices
 
 
-_KNOWN: dict[str, tuple[PieceModel, dict[bytes, int]]] = {}  # of a worker, over its tasks
+_KNOWN: dict[str, tuple[PieceModel, Kept]] = {}  # of a worker, over its tasks
 
 
 class PieceModel:
@@ -64,23 +64,22 @@ class PieceModel:
         return n - merges + extra
 
 
-def count_tokens(docs: DataFrame, model_path: str, limit: int = 4096, keep: int = 1_000_000) -> DataFrame:
+def count_tokens(docs: DataFrame, model_path: str, limit: int = 4096, keep_bytes: int = KEEP_BYTES) -> DataFrame:
     """One row per row of `docs`: doc_id, n_bytes, n_tokens, over_limit (n_tokens > limit).
 
     Whole texts are counted; a null text is empty and has no tokens, a null doc_id stays null, repeated rows
-    are counted each. Distinct chunks of a slice are merged once; at most `keep` counts are held by a worker.
+    are counted each. Distinct chunks of a slice are merged once; a worker holds counts in at most `keep_bytes`.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if model_path not in _KNOWN:
-            _KNOWN[model_path] = PieceModel(model_path), {}
+            _KNOWN[model_path] = PieceModel(model_path), Kept(keep_bytes)
         model, known = _KNOWN[model_path]
         for batch in slices(batches):
             text = batch.column("text")
             led = pc.if_else(pc.equal(pc.binary_length(text), 0), text, pc.binary_join_element_wise("", text, " "))
             chunks = Chunks(led)
-            if len(known) + len(chunks.distinct) > keep:
-                known.clear()
+            known.take_in([c for c in chunks.distinct if c not in known])
             for c in chunks.distinct:
                 if c not in known:
                     known[c] = model.count(c.decode())
@@ -92,5 +91,6 @@ def count_tokens(docs: DataFrame, model_path: str, limit: int = 4096, keep: int
                 [batch.column("doc_id"), pa.array(n_bytes), pa.array(tokens), pa.array(tokens > limit)],
                 ["doc_id", "n_bytes", "n_tokens", "over_limit"],
             )
+        released()
 
     return plain_docs(docs).mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")

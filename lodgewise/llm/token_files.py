@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from lodgewise.llm import codec
-from lodgewise.llm.common import TokenStore, plain_docs, slices
+from lodgewise.llm.common import TokenStore, plain_docs, released, slices
 
 #: A row of a file: a run of whole documents. Number of the partition and of the row in it, ids before it in the
 #: partition, ids in it; doc_ids (8 bytes each, little-endian, like all that follow) with a bit per null, ids per
@@ -80,6 +80,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
         rows.close()
         if rows.closed:
             yield rows.coded()
+        released()
 
     ordered = plain_docs(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     ordered.mapInArrow(run, _FILE).write.parquet(path)

@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lodgewise.llm.common import Chunks, plain_docs, slices, written
+from lodgewise.llm.common import Chunks, Kept, plain_docs, released, slices, written
 
 _WORD = re.compile(r"[^\W\d_]+")
 _PREFIXES = (4, 5, 6)
@@ -157,16 +157,15 @@ def learn(docs: DataFrame, labels: DataFrame, max_rows: int = 12_000, max_terms:
     return Model({t: float(w[i]) for t, i in place.items() if abs(w[i]) > 1e-6}, float(b), names, accuracy, correlation)
 
 
-def _scorer(model: Model, keep: int = 250_000):
-    """A function that scores a column of texts; it keeps the terms of at most `keep` chunks."""
+def _scorer(model: Model, keep_bytes: int = 64 << 20):
+    """A function that scores a column of texts; it keeps the terms of chunks in at most `keep_bytes`."""
     weights, bias = model.weights, model.bias
     value, place = np.array([*weights.values()] or [0.0]), {t: i for i, t in enumerate(weights)}
-    known: dict[bytes, tuple[int, ...]] = {}
+    known = Kept(keep_bytes)
 
     def run(texts: pa.Array) -> np.ndarray:
         chunks = Chunks(texts)
-        if len(known) + len(chunks.distinct) > keep:
-            known.clear()
+        known.take_in([c for c in chunks.distinct if c not in known])
         for c in chunks.distinct:
             if c not in known:
                 known[c] = tuple({place[t] for w in _WORD.findall(c.decode().lower()) for t in terms_of(w) if t in place})
@@ -195,6 +194,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         for batch in slices(batches, limit=SLICE):
             p = scorer(batch.column("text"))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(p), pa.array((p >= 0.5).astype(np.int32))], ["doc_id", "score", "predicted"])
+        released()
 
     scored = plain_docs(docs).mapInArrow(run, "doc_id long, score double, predicted int")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
@@ -207,5 +207,6 @@ def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
         scorer = _scorer(model)
         for batch in slices(batches, limit=SLICE):
             yield batch.filter(pa.array(scorer(pc.fill_null(batch.column("text"), "")) < 0.5))
+        released()
 
     return docs.mapInArrow(run, docs.schema)
