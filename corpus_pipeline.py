@@ -45,7 +45,7 @@ def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of 2048 tokens."""
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), chunks=200_000)  # the workers serve other stages too
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), keep_bytes=48 << 20)  # the workers serve other stages too
 
 
 STAGES = [
