@@ -22,7 +22,7 @@ def has_position(lat, lon) -> Column:
     return (F.abs(lat) < F.lit(1e9)) & (F.abs(lon) < F.lit(1e9))
 
 
-def _on_globe(lat: Column, lon: Column) -> tuple[Column, Column]:
+def on_globe(lat: Column, lon: Column) -> tuple[Column, Column]:
     """The same point with latitude in [-90, 90] and longitude counted from 0 to 360."""
     rad = F.radians(lat)
     inside = F.abs(lat) <= F.lit(90.0)
@@ -57,7 +57,7 @@ def grid_step(radius_km: float) -> float:
 
 def cell_of(lat, lon, step: float) -> Column:
     """The grid cell that holds a point."""
-    flat, flon = _on_globe(F.col(lat) if isinstance(lat, str) else lat, F.col(lon) if isinstance(lon, str) else lon)
+    flat, flon = on_globe(F.col(lat) if isinstance(lat, str) else lat, F.col(lon) if isinstance(lon, str) else lon)
     row = _row_of(flat, step)
     n = _columns_in(row, step)
     return _cell_id(row, F.least(n - 1, _floor(flon * n / F.lit(360.0))))
@@ -69,7 +69,7 @@ def with_cells_within(df: DataFrame, lat: str, lon: str, radius_km: float, name:
     Covers the cells over the date line and around the poles; no cell comes twice for a row.
     """
     step, reach = grid_step(radius_km), radius_km / EARTH_RADIUS_KM + _SLACK_RADIANS
-    flat, flon = _on_globe(F.col(lat), F.col(lon))
+    flat, flon = on_globe(F.col(lat), F.col(lon))
     spans_pole = F.abs(flat) + F.lit(math.degrees(reach)) >= F.lit(90.0)
     # Widest difference in longitude on a circle around a point that does not hold a pole.
     widest = F.asin(F.least(F.lit(1.0), F.lit(math.sin(min(reach, math.pi / 2))) / F.cos(F.radians(flat))))

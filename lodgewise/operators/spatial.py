@@ -40,11 +40,13 @@ def radius_join(
     inclusive: bool = True,
     distance: str = "distance_km",
     condition: Column | None = None,
+    pieces: tuple[str, str] | None = None,
 ) -> DataFrame:
     """All pairs within a distance, as an equi-join on grid cells and an exact filter.
 
     Each right row is in one cell and each left row names every cell it can reach once, so a pair
-    meets once. Cells with many rows on either side are split into blocks.
+    meets once. Cells with many rows on either side are split into blocks. `pieces` names an array
+    on each side: only rows that share an element meet, once for each they share.
     """
     shared = set(left.columns) & set(right.columns)
     if shared:
@@ -54,6 +56,8 @@ def radius_join(
     a = with_cells_within(_with_vector(a, left_at, "_a"), *left_at, radius_km, "_cell")
     b = right.filter(has_position(F.col(right_at[0]), F.col(right_at[1])))
     b = _with_vector(b, right_at, "_b").withColumn("_cell", cell_of(*right_at, step))
+    if pieces:
+        a, b = (df.withColumn("_piece", F.explode(p)).withColumn("_cell", F.xxhash64("_cell", "_piece")).drop("_piece", p) for df, p in zip((a, b), pieces))
     a, b, keys = split_hot_keys(a, b, "_cell")
     d = haversine_km(F.col(left_at[0]), F.col(left_at[1]), F.col(right_at[0]), F.col(right_at[1]))
     # The straight distance is cheap and leaves few pairs to the exact formula.
@@ -62,7 +66,7 @@ def radius_join(
         pairs = pairs.filter(condition)
     pairs = pairs.withColumn(distance, d)
     near = F.col(distance) <= F.lit(float(radius_km)) if inclusive else F.col(distance) < F.lit(float(radius_km))
-    return pairs.filter(near).select(*left.columns, *right.columns, distance)
+    return pairs.filter(near).select(*[c for c in (*left.columns, *right.columns) if c not in (pieces or ())], distance)
 
 
 def _vector(prefix: str) -> list[Column]:

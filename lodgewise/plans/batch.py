@@ -12,6 +12,7 @@ from lodgewise.operators.classify import CLASS, CORRECTED, classify, of_class, q
 from lodgewise.operators.project import PROJECTIONS, load_time
 from lodgewise.operators.ranking import percent_rank
 from lodgewise.operators.stats import dataset_stats
+from lodgewise.operators.vocabulary import with_vocabulary
 from lodgewise.schema import FEATURE_COLUMNS, REQUIRED
 from lodgewise.session import cut
 from lodgewise.sources.tables import write_table, write_tables
@@ -28,9 +29,9 @@ class Settings:
     lexicon: DataFrame
     landmarks: dict[str, tuple[float, float]]
     peak_months: tuple[int, ...] = ()
-    holidays: tuple = ()
+    holidays: tuple | DataFrame = ()  # days, or a table with a column `date`
     stop_words: tuple[str, ...] = NAME_STOP_WORDS
-    vocabulary: tuple = facilities.VOCABULARY
+    vocabulary: tuple | DataFrame = facilities.VOCABULARY  # rules, or a table (platform, pattern, mode, flag)
     radius_km: float = 10.0
     match_km: float = 0.1
     match_floor: float = 0.6
@@ -213,9 +214,12 @@ def geospatial_features(merged: DataFrame, attractions: DataFrame, settings: Set
 
 def hotel_features(merged: DataFrame, settings: Settings) -> DataFrame:
     """Per hotel: identity, class, facilities, price, market position, calendar, collection."""
-    flagged = facilities.facility_flags(
-        merged, "names", settings.vocabulary, also={"has_breakfast": F.col("breakfast")}
-    ).withColumns({
+    also = {"has_breakfast": F.col("breakfast")}
+    if isinstance(settings.vocabulary, DataFrame):
+        flagged = with_vocabulary(merged, "hotel_id", "names", settings.vocabulary, facilities.FLAGS, also=also)
+    else:
+        flagged = facilities.facility_flags(merged, "names", settings.vocabulary, also=also)
+    flagged = flagged.withColumns({
         "facilities_score": scores.facilities_score(facilities.FLAGS),
         "_area": spatial.area_cell(size_km=settings.area_km),
         "_facilities": F.size("names"),

@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 from lodgewise.functions.casts import choice_double
 from lodgewise.operators.records import explode_records, with_content_id
 from lodgewise.schema import CORRUPT, raw_schema
+from lodgewise.sources.discovery import joined_types
 
 # Objects that are never data.
 JUNK = ("*.tmp", "*.log", "*_$folder$")
@@ -25,8 +26,8 @@ def without_junk(df: DataFrame, path: str = "source_file", patterns=JUNK) -> Dat
 def read_feed(spark: SparkSession, path, schema: T.StructType | None = None, multi_line: bool = True, pattern: str = "*.json") -> DataFrame:
     """One row per record of the JSON files in a folder, with source file and a stable `row_id`.
 
-    A JSON array over many lines is parsed by one task per file; use one record per line
-    (`multi_line=False`) for large feeds, which Spark splits. Text that is not a record is kept in
+    A JSON array over many lines is parsed by one task per file; `json_arrays.read_arrays` gives the same rows from
+    large files, and `multi_line=False` reads one record per line. Text that is not a record is kept in
     `_corrupt_record`.
     """
     schema = schema or raw_schema()
@@ -85,17 +86,6 @@ def infer_feed_schema(spark: SparkSession, paths, multi_line: bool = True, sampl
 
 
 def merge_schemas(old: T.StructType, new: T.StructType) -> T.StructType:
-    """The old fields, with the new ones added at the end, nested ones too; a plain field keeps its first type."""
-    return _merged(old, new)
-
-
-def _merged(old: T.DataType, new: T.DataType) -> T.DataType:
-    if isinstance(old, T.StructType) and isinstance(new, T.StructType):
-        later = {f.name: f for f in new.fields}
-        fields = [T.StructField(f.name, _merged(f.dataType, later[f.name].dataType), True, f.metadata) if f.name in later else f for f in old.fields]
-        return T.StructType(fields + [f for f in new.fields if f.name not in old.names])
-    if isinstance(old, T.ArrayType) and isinstance(new, T.ArrayType):
-        return T.ArrayType(_merged(old.elementType, new.elementType))
-    if isinstance(old, T.MapType) and isinstance(new, T.MapType):
-        return T.MapType(old.keyType, _merged(old.valueType, new.valueType))
-    return new if isinstance(old, T.NullType) else old
+    """The old fields, with the new ones added at the end, nested ones too; a field of two types gets the wider number or
+    a choice of both."""
+    return joined_types(old, new)
