@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lodgewise.llm.common import written
 
 KINDS = ("email", "ip", "card", "phone")
+_CHUNK = 1024  # code points
 _MARK, _OTHER = "\ue000", "\ue001"  # stands for a joint inside an identifier; what stands for it where a text holds it
 
 
@@ -15,24 +16,90 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def _running(values: Column, most: bool = False) -> Column:
+    """For each value the sum (or the maximum, at least 0) of all before it. Blocks as long as the root of their number
+    are added up once, so n values take n times the root of n steps."""
+
+    def total(some: Column) -> Column:
+        return F.coalesce(F.array_max(some), F.lit(0)) if most else F.aggregate(some, F.lit(0), lambda a, x: a + x)
+
+    def both(x: Column, y: Column) -> Column:
+        return F.greatest(x, y) if most else x + y
+
+    def walk(s: Column) -> Column:
+        v, b = s["v"], s["b"]
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(v) - 1) / b).cast("int")), lambda k: total(F.slice(v, k * b + 1, b)))
+        before = _let(blocks, lambda t: F.transform(t, lambda x, k: total(F.slice(t, F.lit(1), k))))
+        return _let(before, lambda t: F.transform(v, lambda x, i: both(F.get(t, F.floor(i / b).cast("int")), total(F.slice(v, i - i % b + 1, i % b)))))
+
+    root = F.ceil(F.sqrt(F.size(values))).cast("int")
+    return F.when(F.size(values) > 0, _let(F.struct(values.alias("v"), root.alias("b")), walk)).otherwise(F.array().cast("array<int>"))
+
+
 def _found(text: Column, pattern: str, kind: int, good=None) -> Column:
     """Matches from left to right with their places: array of (start, kind, end, value), in code points."""
-    pieces = F.struct(F.split(text, pattern, -1).alias("between"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("match"))
-
-    def total(values: Column) -> Column:
-        return F.aggregate(values, F.lit(0), lambda a, x: a + F.length(x))
+    gaps = F.transform(F.split(text, pattern, -1), lambda x: F.length(x)).alias("gaps")
+    pieces = F.struct(gaps, F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("match"))
 
     def place(s: Column) -> Column:
-        def one(m: Column, i: Column) -> Column:
-            start = total(F.slice(s["between"], F.lit(1), i + 1)) + total(F.slice(s["match"], F.lit(1), i))
-            return F.struct(start.alias("start"), F.lit(kind).alias("kind"), (start + F.length(m)).alias("end"), m.alias("value"))
+        steps = F.transform(s["match"], lambda m, i: F.get(s["gaps"], i) + F.length(m))
+
+        def one(before: Column):
+            def span(m: Column, i: Column) -> Column:
+                start = F.get(before, i) + F.get(s["gaps"], i)
+                return F.struct(start.alias("start"), F.lit(kind).alias("kind"), (start + F.length(m)).alias("end"), m.alias("value"))
+
+            return span
 
-        return F.transform(s["match"], one)
+        return _let(_running(steps), lambda before: F.transform(s["match"], one(before)))
 
     spans = _let(pieces, place)
     return F.filter(spans, lambda x: good(x["value"])) if good else spans
 
 
+def _chunks(text: Column) -> Column:
+    """The text in parts of _CHUNK code points, so that a place in a long one is reached without counting from its start."""
+    return F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % _CHUNK), F.lit(0))
+
+
+def _cut(chunks: Column, start: Column, end: Column) -> Column:
+    """The text from one place to another."""
+    size = F.lit(_CHUNK)
+    first, last = F.floor(start / size).cast("int"), F.floor(end / size).cast("int")
+    chunk = lambda i: F.coalesce(F.get(chunks, i), F.lit(""))
+    inside = F.substr(chunk(first), start % size + 1, end - start)
+    across = F.concat(
+        F.substr(chunk(first), start % size + 1, size), F.array_join(F.slice(chunks, first + 2, F.greatest(last - first - 1, F.lit(0))), ""), F.substr(chunk(last), F.lit(1), end % size)
+    )
+    return F.when(end <= start, F.lit("")).when(first == last, inside).otherwise(across)
+
+
+def _below(sorted_values: Column, limit: Column) -> Column:
+    """How many values of a sorted array lie below a limit, by halving."""
+    ends = F.struct(F.lit(0).alias("lo"), F.size(sorted_values).alias("hi"))
+
+    def halve(a: Column, _: Column) -> Column:
+        middle = F.floor((a["lo"] + a["hi"]) / 2).cast("int")
+        less = (a["lo"] < a["hi"]) & (F.get(sorted_values, middle) < limit)
+        return F.struct(F.when(less, middle + 1).otherwise(a["lo"]).alias("lo"), F.when(less, a["hi"]).otherwise(F.least(middle, a["hi"])).alias("hi"))
+
+    rounds = F.sequence(F.lit(0), F.ceil(F.log2(F.size(sorted_values) + 1)).cast("int"))
+    return F.aggregate(rounds, ends, halve)["lo"]
+
+
+def _apart(loose: Column, base: Column) -> Column:
+    """The loose spans that overlap no base span; base spans are sorted by start."""
+
+    def keep(s: Column) -> Column:
+        # furthest[i]: the furthest end of the first i base spans
+        return F.filter(s["loose"], lambda x: F.coalesce(F.get(s["furthest"], _below(s["starts"], x["end"])), F.lit(0)) <= x["start"])
+
+    ends = F.transform(base, lambda y: y["end"])
+    furthest = _running(F.concat(ends, F.array(F.lit(0))), most=True)
+    held = F.struct(loose.alias("loose"), F.transform(base, lambda y: y["start"]).alias("starts"), furthest.alias("furthest"))
+    return F.when((F.size(base) == 0) | (F.size(loose) == 0), loose).otherwise(_let(held, keep))
+
+
 def _none() -> Column:
     return F.array().cast("array<struct<start:int,kind:int,end:int,value:string>>")
 
@@ -82,12 +149,12 @@ def loose_spans(text: Column) -> Column:
     return F.concat(number, handle)
 
 
-def _context(text: Column, spans: Column) -> Column:
+def _context(chunks: Column, spans: Column) -> Column:
     """The two words on either side of each span, as patterns."""
 
     def one(s: Column) -> Column:
-        left = F.lower(F.substr(text, F.greatest(s["start"] - 39, F.lit(1)), F.least(s["start"], F.lit(40))))
-        right = F.lower(F.substr(text, s["end"] + 1, F.lit(40)))
+        left = F.lower(_cut(chunks, F.greatest(s["start"] - 40, F.lit(0)), s["start"]))
+        right = F.lower(_cut(chunks, s["end"], s["end"] + 40))
         return F.struct(
             s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"),
             F.regexp_replace(F.lower(s["value"]), f"[ ().{_MARK}-]", "").alias("instance"),
@@ -105,42 +172,44 @@ def extract(docs: DataFrame) -> DataFrame:
     held = rows.select("doc_id", F.xxhash64("text").alias("key"), F.struct("text", base_spans(F.col("text")).alias("base"), loose_spans(F.col("text")).alias("loose")).alias("s"))
 
     def apart(s: Column) -> Column:
-        fresh = F.filter(s["loose"], lambda x: ~F.exists(s["base"], lambda y: (x["start"] < y["end"]) & (y["start"] < x["end"])))
-        return F.struct(_context(s["text"], s["base"]).alias("base"), _context(s["text"], fresh).alias("loose"))
+        spans = F.struct(_chunks(s["text"]).alias("chunks"), s["base"].alias("base"), _apart(s["loose"], s["base"]).alias("loose"))
+        known = _let(spans, lambda t: F.struct(_context(t["chunks"], t["base"]).alias("base"), _context(t["chunks"], t["loose"]).alias("loose")))
+        return F.when(F.size(s["base"]) + F.size(s["loose"]) > 0, known)
 
-    return written(held.select("doc_id", "key", _let(F.col("s"), apart).alias("s")).select("doc_id", "key", "s.base", "s.loose"), "personal")
+    none = F.array().cast("array<struct<start:int,kind:int,end:int,instance:string,left:string,right:string>>")
+    found = held.select("doc_id", "key", _let(F.col("s"), apart).alias("s"))
+    return written(found.select("doc_id", "key", F.coalesce("s.base", none).alias("base"), F.coalesce("s.loose", none).alias("loose")), "personal")
 
 
 def discovered(found: DataFrame, rounds: int = 3, least_seeds: int = 3, least_score: float = 0.8) -> DataFrame:
     """Further identifiers: doc_id, key, extra (array of start, kind, end). Seeds are the base identifiers.
 
-    A pattern is a pair of words before or behind an identifier. Its confidence for a kind is the mean score of
-    its instances, if at least `least_seeds` different seeds of that kind occur in it; an instance that is no seed
-    scores one minus the product of its patterns' doubts, for the kinds that its shape allows. After `rounds` rounds, instances from `least_score` on
-    are taken. Long lists of a pattern or an instance only meet sums per pattern or instance.
+    A pattern is a pair of words before or behind an identifier. In each round a pattern counts for a kind if at least
+    `least_seeds` different instances accepted for that kind stand in it; its confidence is the sum of their scores (1 for
+    seeds) by the number of its instances. An instance that is no seed scores one minus the product of its patterns'
+    doubts, for the kinds that its shape allows, and is accepted for its best kind from `least_score` on. The next round
+    counts with what this one accepted, so patterns that hold no seed come in by and by. Long lists of a pattern or an
+    instance only meet sums per pattern or instance.
     """
     span = F.explode(F.concat("base", "loose")).alias("s")
     seen = found.filter((F.size("base") > 0) | (F.size("loose") > 0)).select(span)
     sides = F.explode(F.array(F.concat(F.lit("l "), "s.left"), F.concat(F.lit("r "), "s.right"))).alias("pattern")
     edges = seen.select(F.col("s.kind").alias("kind"), F.col("s.instance").alias("instance"), sides).filter("length(pattern) > 2")
-    edges = written(edges.groupBy("pattern", "instance", "kind").agg(F.count(F.lit(1)).alias("n")), "edges")
-    seeds = edges.filter("kind >= 0").groupBy("pattern", "kind").agg(F.count(F.lit(1)).alias("seeds")).filter(F.col("seeds") >= least_seeds)
+    edges = written(edges.groupBy("pattern", "instance").agg(F.max("kind").alias("kind")), "edges")
     size = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("size"))
-    known = seeds.join(size, "pattern")  # patterns worth scoring
+    seeds = edges.filter("kind >= 0").groupBy("instance", "kind").agg(F.lit(1.0).alias("score"))
     free = edges.filter("kind < 0").select("pattern", "instance")
-    confidence = known.select("pattern", "kind", (F.col("seeds") / F.col("size")).alias("confidence"))
     fits = F.expr("(kind = 0) = contains(instance, '@') AND kind <> 1")  # a handle can be an email, a number a card or phone
-    scores = None
-    for step in range(rounds):
+    both = edges.select("pattern", "instance")
+    accepted, taken = seeds, None
+    for _ in range(rounds):
+        held = both.join(accepted, "instance").groupBy("pattern", "kind").agg(F.count(F.lit(1)).alias("n"), F.sum("score").alias("mass"))
+        known = held.filter(F.col("n") >= least_seeds).join(size, "pattern").select("pattern", "kind", (F.col("mass") / F.col("size")).alias("confidence"))
         doubt = F.sum(F.log1p(-F.least(F.col("confidence"), F.lit(0.999))))
-        scores = free.join(confidence, "pattern").filter(fits).groupBy("instance", "kind").agg((1 - F.exp(doubt)).alias("score"))
-        if step < rounds - 1:
-            gained = free.join(scores, "instance").groupBy("pattern", "kind").agg(F.sum("score").alias("gained"))
-            confidence = known.join(gained, ["pattern", "kind"], "left").select(
-                "pattern", "kind", ((F.col("seeds") + F.coalesce("gained", F.lit(0.0))) / F.col("size")).alias("confidence")
-            )
-    taken = scores.groupBy("instance").agg(F.max(F.struct("score", (-F.col("kind")).alias("k"))).alias("best"))
-    taken = taken.filter(F.col("best.score") >= least_score).select("instance", (-F.col("best.k")).alias("kind"))
+        scores = free.join(known, "pattern").filter(fits).groupBy("instance", "kind").agg((1 - F.exp(doubt)).alias("score"))
+        best = scores.groupBy("instance").agg(F.max(F.struct("score", (-F.col("kind")).alias("k"))).alias("best"))
+        taken = written(best.filter(F.col("best.score") >= least_score).select("instance", (-F.col("best.k")).alias("kind"), F.col("best.score").alias("score")), "accepted")
+        accepted = seeds.unionByName(taken.select("instance", "kind", "score")).groupBy("instance", "kind").agg(F.max("score").alias("score"))
     loose = found.filter(F.size("loose") > 0).select("doc_id", "key", F.explode("loose").alias("s"))
     hits = loose.select("doc_id", "key", F.col("s.start").alias("start"), F.col("s.end").alias("end"), F.col("s.instance").alias("instance"))
     hits = hits.join(taken, "instance").select("doc_id", "key", F.struct("start", "kind", "end").alias("s"))
@@ -184,16 +253,18 @@ def redact(docs: DataFrame) -> DataFrame:
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
 
     def put(held: Column) -> Column:
-        start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+        ends = F.transform("_all", lambda s: s["end"])
+        parts = F.struct(_chunks(held).alias("chunks"), _running(F.concat(ends, F.array(F.length(held))), most=True).alias("gone"), F.length(held).alias("n"))
+
+        def pieces(p: Column) -> Column:
+            # gone[i]: how far the spans before reach; one that begins inside them is already gone
+            def piece(s: Column, i: Column) -> Column:
+                at = F.get(p["gone"], i)
+                return F.when(s["start"] >= at, F.concat(_cut(p["chunks"], at, s["start"]), F.get(names, s["kind"]))).otherwise(F.lit(""))
 
-        def add(a: Column, s: Column) -> Column:  # a span that begins inside the one before is already gone
-            copied = F.substr(held, a["at"] + 1, s["start"] - a["at"])
-            new = F.struct(s["end"].alias("at"), F.concat(a["out"], copied, F.get(names, s["kind"])).alias("out"))
-            inside = F.struct(F.greatest(a["at"], s["end"]).alias("at"), a["out"].alias("out"))
-            return F.when(s["start"] >= a["at"], new).otherwise(inside)
+            return F.concat(F.array_join(F.transform("_all", piece), ""), _cut(p["chunks"], F.get(p["gone"], F.size("_all")), p["n"]))
 
-        done = F.aggregate("_all", start, add)
-        return _let(done, lambda a: F.concat(a["out"], F.substr(held, a["at"] + 1, F.length(held))))
+        return _let(parts, pieces)
 
     new = F.when(F.col("_all").isNull(), F.col("text")).otherwise(put(text))
     out = joined.withColumn("text", new)
