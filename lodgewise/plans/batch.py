@@ -11,11 +11,10 @@ from lodgewise.operators import clean, facilities, market, match, nested, qualit
 from lodgewise.operators.classify import CLASS, CORRECTED, classify, of_class, quarantine
 from lodgewise.operators.project import PROJECTIONS, load_time
 from lodgewise.operators.ranking import percent_rank
-from lodgewise.operators.stats import dataset_stats
 from lodgewise.operators.vocabulary import with_vocabulary
 from lodgewise.schema import FEATURE_COLUMNS, REQUIRED
 from lodgewise.session import cut
-from lodgewise.sources.tables import write_table, write_tables
+from lodgewise.sources.tables import observed, write_table, write_tables
 
 HOTEL_POINT = ("hotel_name", "latitude", "longitude", "platform")
 
@@ -280,14 +279,17 @@ def model_tables(classified: DataFrame, settings: Settings, names=MODEL_TABLES)
         made["dq_consistency"] = match.inconsistencies(pairs)
     if whole or "hotel_features" in names:
         hotel = hotel_features(merged, settings)
+        hotel = cut(hotel) if whole else hotel
         made["hotel_features"] = hotel.withColumn("hotel_name_clean", F.col("name_key")).select(
             *_columns_of(hotel, ["hotel_id", "hotel_name_clean"])
         )
     if whole or "review_features" in names:
-        review = review_features(all_reviews(tables), merged, settings)
+        review = review_features(cut(all_reviews(tables)), merged, settings)
+        review = cut(review) if whole else review
         made["review_features"] = review.select(*_columns_of(review, ["hotel_id"]))
     if whole or "geospatial_features" in names:
-        geo = geospatial_features(merged, tables["geospatial_attractions"], settings)
+        places = tables["geospatial_attractions"].select("latitude", "longitude", "category_name", "attraction_name")
+        geo = geospatial_features(merged, cut(places), settings)
         geo = cut(geo) if whole else geo
         made["geospatial_features"] = geo.select(*_columns_of(geo, ["hotel_id"]))
     if whole:
@@ -303,47 +305,77 @@ DATASET_KEYS = {
 }
 
 
-def quality_tables(classified: DataFrame, stored: dict[str, DataFrame], as_of: str) -> dict[str, DataFrame]:
-    """Conformance of the records, and completeness, accuracy, timeliness, uniqueness and violations of the typed tables."""
-    out: dict[str, list[DataFrame]] = {n: [] for n in ("dq_completeness", "dq_accuracy", "dq_timeliness", "dq_uniqueness", "dq_violations")}
-    for name, (key, date) in DATASET_KEYS.items():
-        df = stored[name]
+def table_measures(name: str, df: DataFrame, as_of: str) -> dict[str, Column]:
+    """What is measured of a typed table while it is written."""
+    date = DATASET_KEYS[name][1] if name in DATASET_KEYS else None
+    return quality.row_measures(df.columns, quality.rules_for(df.columns) if date else {}, date, as_of, "rating" if "rating" in df.columns else None)
+
+
+def statistics(spark: SparkSession, seen: dict[str, dict], columns: dict[str, int]) -> DataFrame:
+    """(dataset, record_count, columns, avg_rating, min_rating, max_rating) from the measures of each table."""
+    rows = [(n, s["rows"], columns[n], s["avg"], s["min"], s["max"]) for n, s in seen.items()]
+    return spark.createDataFrame(rows, "dataset string, record_count bigint, columns int, avg_rating double, min_rating double, max_rating double")
+
+
+def quality_tables(spark: SparkSession, sources: dict, seen: dict[str, dict], stored: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Conformance of the records, and completeness, accuracy, timeliness, uniqueness and violations of the typed tables.
+
+    All but uniqueness come from what was measured while the tables were written; violations are looked up only in
+    tables that have some.
+    """
+    complete, valid, ages, unique, broken = [], [], [], [], []
+    for name, (key, _) in DATASET_KEYS.items():
+        df, own = stored[name], seen[name]
         rules = quality.rules_for(df.columns)
-        dated = df.select(F.lit(name).alias("dataset"), F.col(date).alias("_date"))
-        out["dq_completeness"].append(quality.completeness(df).withColumn("dataset", F.lit(name)))
-        out["dq_accuracy"].append(quality.accuracy(df, rules).withColumn("dataset", F.lit(name)))
-        out["dq_timeliness"].append(quality.timeliness(dated, "dataset", "_date", as_of))
-        out["dq_uniqueness"].append(quality.uniqueness(df, [key]).withColumn("dataset", F.lit(name)))
-        out["dq_violations"].append(quality.violations(df, rules).select(F.lit(name).alias("dataset"), "source_row_id", "broken_rules"))
-    return {"dq_conformance": quality.conformance(classified, CLASS, REQUIRED), **{n: spatial.union_all(f) for n, f in out.items()}}
+        complete += quality.completeness_of(own, df.columns, name)
+        valid += quality.accuracy_of(own, rules, name)
+        ages += [(name, own["rows"], own["max age"], own["mean age"])] if own["rows"] else []
+        unique.append(quality.uniqueness(df, [key]).withColumn("dataset", F.lit(name)))
+        if own["broken"] or not broken:
+            rows = df if own["broken"] else df.limit(0)
+            broken.append(quality.violations(rows, rules).select(F.lit(name).alias("dataset"), "source_row_id", "broken_rules"))
+    table = spark.createDataFrame
+    return {
+        "dq_conformance": table(quality.conformance_of(sources, REQUIRED), "source string, field string, rows bigint, present bigint, null_ratio double"),
+        "dq_completeness": table(complete, "column string, present bigint, rows bigint, completeness double, dataset string"),
+        "dq_accuracy": table(valid, "rule string, valid bigint, rows bigint, accuracy double, dataset string"),
+        "dq_timeliness": table(ages, "dataset string, rows bigint, max_age_days bigint, mean_age_days double"),
+        "dq_uniqueness": spatial.union_all(unique), "dq_violations": spatial.union_all(broken),
+    }
 
 
-def land_classified(records: DataFrame, path: str, rules=CORRECTED) -> DataFrame:
-    """Write the classified records, one folder per class, so that later steps read one class and few columns."""
+def land_classified(records: DataFrame, path: str, rules=CORRECTED, measures=None) -> tuple[DataFrame, dict] | DataFrame:
+    """Write the classified records, one folder per class, so that later steps read one class and few columns. With
+    `measures`, they are taken of the rows written and given too."""
     classified = classify(records, rules)
-    write_table(classified, path, (CLASS,), replace="all")
-    return records.sparkSession.read.schema(classified.schema).parquet(path)
+    watched, seen = observed(classified, measures) if measures else (classified, None)
+    write_table(watched, path, (CLASS,), replace="all")
+    landed = records.sparkSession.read.schema(classified.schema).parquet(path)
+    return (landed, seen()) if seen else landed
 
 
 def run(spark: SparkSession, records: DataFrame, out: str, settings: Settings, rules=CORRECTED, features: bool = True) -> DataFrame:
     """Write every table under `out` and give the statistics.
 
     The classified records are written first, one folder per class; every later step reads only the
-    folders and columns it needs. Measures of quality are written as tables of their own.
+    folders and columns it needs. Measures of quality are taken while tables are written, and
+    written as tables of their own.
     """
-    classified = land_classified(records, f"{out}/classified", rules)
+    classified, sources = land_classified(records, f"{out}/classified", rules, quality.source_measures(CLASS, REQUIRED))
     tables = typed_tables(classified, settings.as_of)
-    written = write_tables(tables, out, replace="all")
+    watched = {n: observed(df, table_measures(n, df, settings.as_of)) for n, df in tables.items()}
+    written = write_tables({n: df for n, (df, _) in watched.items()}, out, replace="all")
     stored = {n: spark.read.schema(tables[n].schema).parquet(p) for n, p in written.items()}
     distances = hotel_attraction_distances(
         [stored["booking_hotels"], stored["tripadvisor_hotels"]], stored["geospatial_attractions"], settings.radius_km
     )
-    path = write_table(distances, f"{out}/hotel_attraction_distances", replace="all")
-    stored["hotel_attraction_distances"] = spark.read.schema(distances.schema).parquet(path)
+    pairs, taken = observed(distances, table_measures("hotel_attraction_distances", distances, settings.as_of))
+    write_table(pairs, f"{out}/hotel_attraction_distances", replace="all")
+    seen = {n: get() for n, (_, get) in watched.items()} | {"hotel_attraction_distances": taken()}
     write_table(quarantine(classified), f"{out}/quarantine", ())
-    stats = dataset_stats(stored)
+    stats = statistics(spark, seen, {n: len(df.columns) for n, df in stored.items()} | {"hotel_attraction_distances": len(distances.columns)})
     write_table(stats, f"{out}/summary_statistics", ())
-    write_tables(quality_tables(classified, stored, settings.as_of), out, partition_by=())
+    write_tables(quality_tables(spark, sources, seen, stored), out, partition_by=())
     if features:
         write_tables(model_tables(classified, settings, [*MODEL_TABLES, "dq_consistency"]), out, partition_by=())
     return spark.read.schema(stats.schema).parquet(f"{out}/summary_statistics")

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 from lodgewise.operators import asof, classify, edit_join as editing, reviews, vocabulary
 from lodgewise.operators.records import explode_records
 from lodgewise.plans import batch, lodging_feed as feed
-from lodgewise.plans.queries import AS_OF, CITY, SHIFT, clean_sql, hav, lat, lon, places, query, read, run_folder
-from lodgewise.sources import clustered, discovery, feeds, json_arrays
+from lodgewise.plans.queries import AS_OF, CITY, SHIFT, clean_sql, hav, lat, lon, places, query, read, run_folder, settings
+from lodgewise.sources import clustered, discovery, feeds, json_arrays, sketches
 from lodgewise.streaming import upsert
 
 RADIUS = 6.0
@@ -247,3 +247,63 @@ def phrase_sentiment(spark, sf_dir):
     """Praise and complaint per language; a word right behind a negator counts the other way round."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     return reviews.phrase_weights(docs, ["lang"], {"text": 1}, PRAISE, NEGATORS)
+
+
+# --- profiles from stored sketches (R08) ----------------------------------------------------------
+
+PROFILED_EVENTS = ("event_id", "user_id", "event_type", "value")
+
+
+@query("stored_profiles", " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", count(*) AS "rows", count("{c}") AS present, {'CAST(min("' + c + '") AS DOUBLE)' if c != 'event_type' else 'CAST(NULL AS DOUBLE)'} AS least,
+  {'CAST(max("' + c + '") AS DOUBLE)' if c != 'event_type' else 'CAST(NULL AS DOUBLE)'} AS most, TRUE AS distinct_within, TRUE AS median_within FROM events""" for c in PROFILED_EVENTS))
+def stored_profiles(spark, sf_dir):
+    """Four deliveries of events profiled apart; their sketches merged say what the whole table holds, within their
+    bounds: 3 % of the distinct values, 2 % of the rows around the median."""
+    events, path = read(spark, sf_dir, "events").select(*PROFILED_EVENTS), run_folder(spark, "profiles")
+    for i in range(4):
+        sketches.store(events.filter(F.col("event_id") % 4 == i), f"delivery-{i}", path)
+    merged = sketches.merged(sketches.stored(spark, path), (0.5,))
+    medians = {r.column: r.quantiles[0] if r.quantiles else None for r in merged.select("column", "quantiles").collect()}  # a row per column
+    share = lambda c, below: F.count_if(F.col(c).cast("double") < medians[c] if below else F.col(c).cast("double") <= medians[c]) / F.count(c)
+    near = lambda c: F.lit(True) if medians[c] is None else (share(c, True) <= 0.52) & (share(c, False) >= 0.48)
+    exact = events.agg(*[F.struct(F.lit(c).alias("c"), F.count_distinct(c).alias("distinct"), near(c).alias("median_within")).alias(f"x{i}") for i, c in enumerate(PROFILED_EVENTS)])
+    exact = exact.select(F.explode(F.array(*[f"x{i}" for i in range(len(PROFILED_EVENTS))])).alias("x")).select("x.*")
+    out = merged.join(exact, F.col("column") == F.col("c"))
+    within = F.abs(F.col("distinct_estimate") - F.col("distinct")) <= 0.03 * F.col("distinct")
+    return out.select("column", "rows", "present", "least", "most", within.alias("distinct_within"), "median_within")
+
+
+# --- what the batch run measures while it writes (D40, D41, D43) ----------------------------------
+
+@query("batch_quality", """SELECT 'booking_hotels' AS dataset, 'rows' AS measure, count(*) AS value FROM customer
+UNION ALL SELECT 'booking_hotels', 'present latitude', count(*) FILTER (c_custkey % 97 <> 0) FROM customer
+UNION ALL SELECT 'booking_hotels', 'present rating', count(*) FILTER (c_custkey % 11 <> 0) FROM customer
+UNION ALL SELECT 'booking_hotels', 'valid stars_range', count(*) FROM customer
+UNION ALL SELECT 'booking_reviews', 'rows', count(*) FROM events
+UNION ALL SELECT 'booking_reviews', 'present liked_text', count(*) FILTER (event_type IN ('purchase', 'signup')) FROM events
+UNION ALL SELECT 'booking_reviews', 'valid rating_range', count(*) FROM events
+UNION ALL SELECT 'tripadvisor_hotels', 'rows', count(*) FROM supplier
+UNION ALL SELECT 'tripadvisor_hotels', 'present rating', count(*) FILTER (s_suppkey % 13 <> 0) FROM supplier
+UNION ALL SELECT 'tripadvisor_reviews', 'rows', count(*) FROM conversations WHERE text IS NOT NULL
+UNION ALL SELECT 'geospatial_attractions', 'rows', count(*) FROM part
+UNION ALL SELECT 'geospatial_attractions', 'duplicate_keys', 0
+UNION ALL SELECT 'unknown', 'quarantined', count(*) FROM conversations WHERE text IS NULL HAVING count(*) > 0
+UNION ALL SELECT 'scrape_error', 'quarantined', count(*) FROM region HAVING count(*) > 0""")
+def batch_quality(spark, sf_dir):
+    """The tables of quality that a run writes, read back."""
+    out = run_folder(spark, "quality")
+    batch.run(spark, feed.lodging_feed(spark, sf_dir), out, settings(spark), features=False)
+    table = lambda n: spark.read.parquet(f"{out}/{n}")
+    complete = table("dq_completeness")
+    wanted = {
+        "booking_hotels": ("present latitude", "present rating", "valid stars_range"), "booking_reviews": ("present liked_text", "valid rating_range"),
+        "tripadvisor_hotels": ("present rating",),
+    }
+    rows = complete.groupBy("dataset").agg(F.lit("rows").alias("measure"), F.max("rows").alias("value"))
+    present = complete.select("dataset", F.concat(F.lit("present "), "column").alias("measure"), F.col("present").alias("value"))
+    valid = table("dq_accuracy").select("dataset", F.concat(F.lit("valid "), "rule").alias("measure"), F.col("valid").alias("value"))
+    some = present.unionByName(valid).filter(F.concat_ws("|", "dataset", "measure").isin([f"{d}|{m}" for d, ms in wanted.items() for m in ms]))
+    twice = table("dq_uniqueness").filter("dataset = 'geospatial_attractions'").select("dataset", F.lit("duplicate_keys").alias("measure"), F.col("duplicate_keys").alias("value"))
+    apart = table("quarantine").groupBy(F.col(classify.CLASS).alias("dataset")).agg(F.lit("quarantined").alias("measure"), F.count(F.lit(1)).alias("value"))
+    return rows.unionByName(some).unionByName(twice).unionByName(apart)

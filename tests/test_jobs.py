@@ -88,6 +88,31 @@ def test_quality_tables(spark, raw, settings, tmp_path):
     assert table("violations").count() == 0 and table("conformance").count() > 20 and "disagreements" in table("consistency").columns
 
 
+def test_measures_taken_while_writing_equal_scans(spark, raw, settings, tmp_path):
+    from lodgewise.operators import quality, stats
+    from lodgewise.operators.classify import CLASS
+    from lodgewise.schema import REQUIRED
+
+    out = str(tmp_path / "out")
+    rows = raw.unionByName(raw.filter("name IS NOT NULL").withColumns({"row_id": F.col("row_id") + 1, "rating": F.lit(99.0)}))
+    batch.run(spark, rows, out, settings, features=False)
+    table = lambda n: spark.read.parquet(f"{out}/{n}")
+    same = lambda n, want: sorted(map(str, table(n).select(*want.columns).collect())) == sorted(map(str, want.collect()))
+    stored = {n: table(n) for n in [*batch.DATASET_KEYS, "hotel_attraction_distances"]}
+    assert same("summary_statistics", stats.dataset_stats(stored))
+    assert same("dq_conformance", quality.conformance(table("classified"), CLASS, REQUIRED))
+    for name, (_, date) in batch.DATASET_KEYS.items():
+        df, of = stored[name], lambda n: table(n).filter(F.col("dataset") == name)  # noqa: B023, E731
+        rules = quality.rules_for(df.columns)
+        plain = lambda df: sorted(map(str, df.collect()))
+        assert plain(of("dq_completeness").drop("dataset")) == plain(quality.completeness(df))
+        assert plain(of("dq_accuracy").drop("dataset")) == plain(quality.accuracy(df, rules))
+        ages = quality.timeliness(df.withColumn("dataset", F.lit(name)), "dataset", date, settings.as_of)
+        assert plain(of("dq_timeliness").select(*ages.columns)) == plain(ages)
+        assert of("dq_violations").count() == quality.violations(df, rules).count()
+    assert table("dq_violations").count() > 0
+
+
 def test_rerun_forgets_what_the_feed_no_longer_has(spark, raw, settings, tmp_path):
     out = str(tmp_path / "out")
     batch.run(spark, raw, out, settings, features=False)

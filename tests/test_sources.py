@@ -245,3 +245,24 @@ def test_curve_keys_interleave(spark):
     assert [r[0] for r in got][:2] == [0, (1 << 48) - 1] and got[2][0] >> 46 == 3 and got[3][0] is None
     runs = clustered.circle_ranges(-7.8, 110.3, 5.0)
     assert 1 < len(runs) <= 64 and all(a[1] < b[0] for a, b in zip(runs, runs[1:]))
+
+
+# --- stored sketches --------------------------------------------------------------------------------
+
+def test_merged_sketches_equal_those_of_the_whole(spark, tmp_path):
+    from lodgewise.sources import sketches
+
+    rows = spark.range(9000).select(F.col("id").cast("int").alias("a"), (F.col("id") % 70).cast("string").alias("b"), F.when(F.col("id") % 3 > 0, F.col("id") / 7).alias("c"), F.array("id").alias("d"))
+    path = str(tmp_path / "p")
+    for i in range(3):
+        sketches.store(rows.filter(F.col("a") % 3 == i), f"day-{i}", path)
+    sketches.store(rows.filter(F.col("a") % 3 == 1), "day-1", path)  # sent again
+    parts = {r.column: r for r in sketches.merged(sketches.stored(spark, path)).collect()}
+    whole = {r.column: r for r in sketches.merged(sketches.profile(rows, "all")).collect()}
+    for c in "abcd":
+        assert (parts[c].rows, parts[c].present, parts[c].least, parts[c].most, parts[c].type) == (whole[c].rows, whole[c].present, whole[c].least, whole[c].most, whole[c].type)
+        assert abs(parts[c].distinct_estimate - whole[c].distinct_estimate) <= 0.02 * whole[c].distinct_estimate  # merging gives up one of two estimators
+    assert parts["b"].distinct_estimate == 70 and parts["b"].quantiles is None and abs(parts["a"].distinct_estimate - 9000) < 270
+    assert all(abs(q - p * 8999) < 180 for q, p in zip(parts["a"].quantiles, (0.25, 0.5, 0.75)))
+    empty = sketches.merged(sketches.profile(rows.limit(0), "none")).collect()
+    assert len(empty) == 4 and all(r.rows == 0 and r.quantiles is None for r in empty)
