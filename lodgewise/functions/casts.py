@@ -23,7 +23,7 @@ def to_bool(c) -> Column:
 
 
 def to_date(c) -> Column:
-    """Date from `2025-04-03` as well as from `2025-04-08T10:54:07.000Z`."""
+    """Date from `2025-02-11` as well as from `2025-02-11T21:40:05.000Z`."""
     return _col(c).try_cast("date")
 
 

@@ -2,20 +2,25 @@
 
 from pyspark.sql import DataFrame, functions as F
 
+from lodgewise.session import cut
+
 
 def split_hot_keys(left: DataFrame, right: DataFrame, key: str, block_rows: int = 10_000) -> tuple[DataFrame, DataFrame, list[str]]:
     """Salt both sides of a many-to-many join where a key has many rows on them.
 
     Every key with more than `block_rows` rows on a side is cut into blocks on each side, and every left block
-    meets every right block once. The keys to cut are joined by key, however many they are. The salt comes from
-    the place of a row in its input, so equal rows are spread too.
+    meets every right block once. Which keys these are is counted first; where there are none, the sides are
+    joined as they are. Else the keys to cut are joined by key, however many they are, and the salt comes from the
+    place of a row in its input, so equal rows are spread too.
     """
     n_left = left.groupBy(key).agg(F.count(F.lit(1)).alias("_nl"))
     n_right = right.groupBy(key).agg(F.count(F.lit(1)).alias("_nr"))
     blocks_l = F.ceil(F.col("_nl") / F.lit(block_rows)).cast("int")
     blocks_r = F.ceil(F.col("_nr") / F.lit(block_rows)).cast("int")
     crowded = (F.col("_nl") > block_rows) | (F.col("_nr") > block_rows)
-    hot = n_left.join(n_right, key).filter(crowded).select(F.col(key).alias("_hot"), blocks_l.alias("_bl"), blocks_r.alias("_br"))
+    hot = cut(n_left.join(n_right, key).filter(crowded).select(F.col(key).alias("_hot"), blocks_l.alias("_bl"), blocks_r.alias("_br")))
+    if hot.isEmpty():
+        return left, right, [key]
 
     def salted(df: DataFrame, own: str, other: str, own_salt: str, other_salt: str) -> DataFrame:
         own_blocks, other_blocks = F.coalesce(own, F.lit(1)), F.coalesce(other, F.lit(1))

@@ -64,7 +64,7 @@ def booking_hotels(customer: DataFrame) -> DataFrame:
         _when(k % 11 != 0, 5 + (k % 50) / F.lit(10.0)).alias("rating"),
         (k % 300).alias("reviews"),
         _when(k % 3 == 0, "Buffet").alias("breakfast"),
-        F.lit("14.00").alias("checkIn"), F.lit("11.30").alias("checkOut"),
+        F.lit("15.20").alias("checkIn"), F.lit("10.40").alias("checkOut"),
         F.when(located, F.struct(latitude("c_custkey").cast("string").alias("lat"), longitude("c_custkey").cast("string").alias("lng")))
         .alias("location"),
         F.when(k % 2 == 0, F.concat(F.lit('{"full":"Jl. '), k, F.lit('","postalCode":"'), 55000 + k % 900,

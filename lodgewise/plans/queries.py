@@ -257,7 +257,7 @@ SELECT k AS booking_hotel_id, hotel_name, accommodation_type, CAST(NULL AS VARCH
   'Rp ' || CAST(amount // 1000 AS VARCHAR) || '.' || lpad(CAST(amount % 1000 AS VARCHAR), 3, '0') AS price, CAST(NULL AS VARCHAR) AS currency,
   rating, reviews, latitude, longitude, 'Jl. ' || k AS full_address, CASE WHEN k % 2 = 0 THEN 'Jl. A' END AS street_address,
   CASE WHEN k % 2 = 0 THEN 'Indonesia' END AS country, CASE WHEN k % 2 = 0 THEN 'Jawa' END AS region,
-  CASE WHEN k % 2 = 0 THEN CAST(55000 + k % 900 AS VARCHAR) END AS postal_code, breakfast, '14.00' AS check_in_time, '11.30' AS check_out_time,
+  CASE WHEN k % 2 = 0 THEN CAST(55000 + k % 900 AS VARCHAR) END AS postal_code, breakfast, '15.20' AS check_in_time, '10.40' AS check_out_time,
   CAST(NULL AS VARCHAR) AS booking_url, 2 AS facility_groups, 'booking.com' AS platform FROM bh""")
 def booking_hotels(spark, sf_dir):
     return _table("booking_hotels")(spark, sf_dir).withColumn("facility_groups", F.size("facilities")).drop("facilities")

@@ -41,9 +41,9 @@ HOTEL = {
     "timeOfScrapeISO": "2025-05-01T00:00:00.000Z",
 }
 REVIEW = {
-    "id": "r1", "hotelId": 1, "reviewTitle": "Baik", "rating": 10, "reviewDate": "2025-04-09T08:15:30.000Z",
-    "checkInDate": "2025-04-03", "checkOutDate": "2025-04-04", "numberOfNights": 1, "travelerType": "Solo traveler",
-    "likedText": "Lokasi bagus", "hotelRatingScores": [{"name": c, "codeName": c, "score": 8.75} for c in CODES],
+    "id": "r1", "hotelId": 1, "reviewTitle": "Baik", "rating": 10, "reviewDate": "2025-03-21T17:02:11.000Z",
+    "checkInDate": "2025-03-18", "checkOutDate": "2025-03-19", "numberOfNights": 1, "travelerType": "Solo traveler",
+    "likedText": "Lokasi bagus", "hotelRatingScores": [{"name": c, "codeName": c, "score": 6.5} for c in CODES],
 }
 OTHER_HOTEL = {
     "id": "90", "name": "Melati Hotel", "category": "hotel", "amenities": ["AC", "Wi-Fi Gratis", "Kolam Renang"],
@@ -51,7 +51,7 @@ OTHER_HOTEL = {
     "priceRange": "Rp 240.000 - Rp 460.000", "address": "Jl. B", "photos": ["x"],
 }
 OTHER_REVIEW = {
-    "id": "t1", "locationId": "90", "text": "bagus", "publishedDate": "2025-05-09", "travelDate": "2025-05", "rating": 5,
+    "id": "t1", "locationId": "90", "text": "bagus", "publishedDate": "2025-05-23", "travelDate": "2025-02", "rating": 5,
     "photos": [], "user": {"name": "N", "userLocation": None}, "tripType": "FAMILY",
 }
 PLACE = {

@@ -50,7 +50,7 @@ def test_model_tables(classified, settings):
     assert merged.price_idr == 300000.0 and merged.stars == 4.0 and merged.overall_rating == 8.0
     assert merged.has_wifi and merged.has_ac and merged.has_pool and merged.cross_platform_availability
     assert merged.price_variance_platforms == pytest.approx(((350000 - 300000) / 2) ** 2)
-    assert merged.total_reviews == 3 and merged.review_sentiment_score == 1.0 and merged.rating_staff == 8.75
+    assert merged.total_reviews == 3 and merged.review_sentiment_score == 1.0 and merged.rating_staff == 6.5
     assert merged.attraction_density_1km == 0 and merged.attraction_density_2km == 2 and merged.restaurant_density_1km == 0
     assert merged.distance_to_nearest_attraction == pytest.approx(1.876, abs=1e-2) and merged.competitors_within_500m == 0
     assert merged.target_traveler_type == "solo" and merged.month == 5 and merged.is_peak_season is False
