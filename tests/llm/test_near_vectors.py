@@ -52,7 +52,7 @@ def frame(spark, rows, kind="double"):
     return spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>").withColumns({c: F.lit("x") for c in ("m", "cid", "vector", "cell", "block", "n", "component", "node", "label")})
 
 
-@pytest.mark.parametrize("dim, noise", [(2, 0.2), (8, 0.3), (64, 0.4), (200, 0.4)])
+@pytest.mark.parametrize("dim, noise", [(2, 0.2), (64, 0.4)])
 def test_equals_all_pairs_in_one_cell(spark, dim, noise):
     rows = [(i, v.tolist()) for i, v in enumerate(clusters(240, dim, dim, noise=noise))]
     got = sorted(map(tuple, near_vectors.link(frame(spark, rows), cell=10**6).collect()), key=str)
@@ -66,11 +66,12 @@ def test_equals_all_pairs_in_blocks(spark, monkeypatch):
 
 
 def test_recall_with_many_cells(spark):
-    rows = [(i, v.tolist()) for i, v in enumerate(clusters(3000, 32, 5, noise=0.3))]
-    got, want = near_vectors.link(frame(spark, rows, "float"), cell=40).collect(), brute([(i, np.float32(v).tolist()) for i, v in rows])
-    links = {r.vec_id: r.n_links for r in got}
-    assert all(links[i] <= n for i, n, _, _ in want)
-    assert sum(links.values()) >= 0.97 * sum(r[1] for r in want) > 0
+    x = np.float32(clusters(2000, 32, 5, noise=0.3))
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1)[:, None]
+    want = (unit @ unit.T >= 0.9).sum(axis=1) - 1
+    got = {r.vec_id: r.n_links for r in near_vectors.link(frame(spark, [(i, v.tolist()) for i, v in enumerate(x)], "float"), cell=40).collect()}
+    assert all(got[i] <= n for i, n in enumerate(want.tolist()))
+    assert sum(got.values()) >= 0.97 * want.sum() > 0
 
 
 def test_odd_rows(spark):
