@@ -7,6 +7,7 @@ import json
 import os
 import time
 
+from lodgewise.plans import source_queries  # noqa: F401 - adds its queries
 from lodgewise.plans.queries import QUERIES
 from lodgewise.session import build_session
 
@@ -17,6 +18,7 @@ HEADLINE = (
     "outliers", "quantiles", "clean_text", "flatten_scores", "match_entities", "pivot_categories", "sentiment",
     "traveler_mode", "facility_flags", "area_ranks", "market_segments", "calendar", "dq_completeness", "dq_uniqueness",
     "dq_violations", "hotel_attraction_distances", "hotel_features", "review_features", "geospatial_features",
+    "radius_read", "rates_by_day",
     "prediction_dataset", "batch_run",
 )
 

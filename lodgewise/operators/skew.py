@@ -39,3 +39,9 @@ def evenly(df: DataFrame) -> DataFrame:
     """Small rows that each cause much work, over all cores: their bytes would not tell Spark to do so."""
     spark = df.sparkSession
     return df.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of much work each, from files that give fewer tasks than there are cores; others stay where they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
