@@ -7,7 +7,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from lodgewise.llm.common import written
 
@@ -15,7 +15,9 @@ from lodgewise.llm.common import written
 CONTROLS = ("<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "<|im_start|>", "<|im_end|>", "<|endoftext|>")
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
 LEARNED = "assistant"
-EVENTS = ("message", "delta", "edit", "regenerate")
+EVENTS = ("message", "edit", "regenerate", "delta")
+_REGENERATE, _DELTA = 3, 4  # places of these among EVENTS
+_OUT_CHARS = 1 << 20  # of messages handed on at once
 _REST = "|".join(re.escape(c[1:]) for c in CONTROLS)
 
 
@@ -31,29 +33,55 @@ def unescape(text: str) -> str:
 def fold(events: DataFrame) -> DataFrame:
     """Final messages of a log: conv_id, message, place, role, text.
 
-    Columns of the log: conv_id, seq (order of the events, null before all others), message (key of the message meant), kind, role, text.
-    `message` and `edit` set the text, `regenerate` empties it and `delta` appends to it; of one seq the kinds
-    count in the order of EVENTS. The place of a message is the seq of its first event and its role the first one
-    given. Only what was appended since the last reset is put together, so rewritten text is never gathered. A
-    null text is empty; a kind not listed is ignored; a message without a role has an empty one.
+    Columns of the log: conv_id, seq (order of the events, null before all others), message (key of the message meant), kind, role, text
+    and, where several events share a seq, step (their order in it; null or no such column: 0). `message` and `edit` set the
+    text, `regenerate` empties it and `delta` appends to it; of one step the kinds count in the order of EVENTS, those of one kind in the order
+    of their texts. The place of a message is the seq of its first event and its role the first one given. A null text is
+    empty; a kind not listed is ignored; a message without a role has an empty one.
+
+    The log is dealt by conversation and message, so that a conversation of any length is folded by many tasks, and sorted by
+    sequence; a task walks it once and holds what was appended to one message since its last reset.
     """
     rank = F.array_position(F.array(*[F.lit(k) for k in EVENTS]), F.col("kind"))
-    order = F.struct(F.col("seq").isNotNull().alias("known"), F.coalesce("seq", F.lit(0)).alias("seq")).alias("order")  # compares without nulls
-    log = events.select("conv_id", "message", order, rank.alias("rank"), "role", F.coalesce("text", F.lit("")).alias("text")).filter("rank > 0")
-    key = [F.col("conv_id"), F.col("message")]
-    at = F.struct("order", F.when(F.col("rank") == 2, -1).otherwise(F.col("rank")).alias("rank"), "text")
-    reset = F.max(F.when(F.col("rank") != 2, at))
-    heads = log.groupBy(*key).agg(reset.alias("reset"), F.min("order").alias("place"), F.min_by("role", F.when(F.col("role").isNotNull(), F.col("order"))).alias("role"))
-    deltas = log.filter("rank = 2").alias("d").join(
-        heads.alias("h"), F.col("d.conv_id").eqNullSafe(F.col("h.conv_id")) & F.col("d.message").eqNullSafe(F.col("h.message"))
-    ).filter(F.col("h.reset").isNull() | (F.col("d.order") >= F.col("h.reset.order")))
-    tails = deltas.groupBy(F.col("d.conv_id").alias("_c"), F.col("d.message").alias("_m")).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("d.order", "d.text"))), lambda x: x["text"]), "").alias("tail")
-    )
-    joined = heads.join(tails, F.col("conv_id").eqNullSafe(F.col("_c")) & F.col("message").eqNullSafe(F.col("_m")), "left")
-    start = F.when(F.col("reset.rank") == 4, F.lit("")).otherwise(F.coalesce("reset.text", F.lit("")))
-    place = F.when(F.col("place.known"), F.col("place.seq")).alias("place")
-    return joined.select("conv_id", "message", place, F.coalesce("role", F.lit("")).alias("role"), F.concat(start, F.coalesce("tail", F.lit(""))).alias("text"))
+    step = F.coalesce(F.col("step").cast("int"), F.lit(0)) if "step" in events.columns else F.lit(0)
+    log = events.select(
+        "conv_id", "message", "seq", step.alias("step"), rank.alias("rank"), F.col("role").cast("string").alias("role"),
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+    ).filter("rank > 0")
+    sorted_ = log.repartition("conv_id", "message").sortWithinPartitions("conv_id", "message", F.col("seq").asc_nulls_first(), "step", "rank", "text", "role")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, done, size = ["conv_id", "message", "place", "role", "text"], [], 0
+        key, place, role, parts, schema = None, None, None, None, None
+
+        def out() -> pa.RecordBatch:
+            kinds = [schema.field(c).type for c in ("conv_id", "message", "seq", "role", "text")]
+            return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*done, strict=True), kinds, strict=True)], names)
+
+        for batch in batches:
+            schema = batch.schema
+            for conv, message, seq, _, kind, own_role, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if parts is None or (conv, message) != key:
+                    if parts is not None:
+                        done.append((*key, place, role or "", "".join(parts)))
+                        size += len(done[-1][-1])
+                    key, place, role, parts = (conv, message), seq, None, []
+                    if size > _OUT_CHARS:
+                        yield out()
+                        done, size = [], 0
+                if role is None:
+                    role = own_role
+                if kind != _DELTA:
+                    parts = []
+                if kind != _REGENERATE:
+                    parts.append(text)
+        if parts is not None:
+            done.append((*key, place, role or "", "".join(parts)))
+            yield out()
+
+    kinds = {c: log.schema[c].dataType for c in ("conv_id", "message", "seq")}
+    schema = T.StructType([T.StructField("place" if c == "seq" else c, k) for c, k in kinds.items()])
+    return sorted_.mapInArrow(run, schema.add("role", "string").add("text", "string")).select("conv_id", "message", "place", "role", "text")
 
 
 def render(messages: DataFrame) -> DataFrame:
@@ -122,17 +150,26 @@ def digest(rendered: DataFrame) -> DataFrame:
 
 
 def log_of(conversations: DataFrame) -> DataFrame:
-    """The event log of a table of turns (conv_id, turn, role, text): each row becomes a message with its first half
-    and a delta with the rest. Equal rows stay apart by their number, rows of one turn follow each other by role and text."""
+    """The event log of a table of turns (conv_id, turn, role, text): conv_id, seq, step, message, kind, role, text.
+
+    By the hash of its text a turn was streamed (a message with the first half, a delta with the rest), edited (first written
+    backwards, streamed on, then an edit to the first half and the rest streamed again) or regenerated (streamed backwards, emptied,
+    streamed anew in two parts). Equal rows stay apart by their number, rows of one turn follow each other by role and text.
+    """
     rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows = rows.groupBy("conv_id", "turn", "role", "text").agg(F.count(F.lit(1)).alias("copies")).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     key = F.struct("turn", "role", F.sha2("text", 256).alias("text"), "copy").alias("message")
     half = F.floor(F.length("text") / 2).cast("int")
-    event = F.explode(F.array(
-        F.struct(F.lit("message").alias("kind"), F.substr("text", F.lit(1), half).alias("text")),
-        F.struct(F.lit("delta").alias("kind"), F.substr("text", half + 1, F.length("text")).alias("text")),
-    )).alias("e")
-    return rows.select("conv_id", F.col("turn").alias("seq"), key, "role", event).select("conv_id", "seq", "message", "e.kind", "role", "e.text")
+    first, rest, draft = F.substr("text", F.lit(1), half), F.substr("text", half + 1, F.length("text")), F.reverse("text")
+
+    def steps(*some: tuple[str, Column]) -> Column:
+        return F.array(*[F.struct(F.lit(i).alias("step"), F.lit(kind).alias("kind"), text.alias("text")) for i, (kind, text) in enumerate(some)])
+
+    history = F.pmod(F.xxhash64("text"), F.lit(3))
+    log = F.when(history == 0, steps(("message", first), ("delta", rest))).when(
+        history == 1, steps(("message", draft), ("delta", F.lit("?")), ("edit", first), ("delta", rest))
+    ).otherwise(steps(("message", F.lit("")), ("delta", draft), ("regenerate", F.lit("again")), ("delta", first), ("delta", rest)))
+    return rows.select("conv_id", F.col("turn").alias("seq"), key, "role", F.explode(log).alias("e")).select("conv_id", "seq", "e.step", "message", "e.kind", "role", "e.text")
 
 
 def format_chats(conversations: DataFrame) -> DataFrame:
