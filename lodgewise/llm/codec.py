@@ -3,8 +3,9 @@
 A block starts from an empty model and can be read alone. For each id, the id last seen behind the last two ids
 (order 2) or behind the last one (order 1) is guessed; how far the guesses were right so far, with and without
 regard to order (order 0), is mixed into the chance of a hit, with weights that follow the evidence. An id that was
-not guessed is coded by an adaptive order-0 tree: how many bits it has, then its first bits; further bits, which
-vocabularies sorted by frequency leave nearly even, are written as they are. All numbers are integers, so that every machine
+not guessed is coded by the order-0 model: a binary tree over all ids, first how many bits the id has, then these from the
+highest on. Each node has an adaptive chance that moves the less the more often the node was seen, so that an id costs what
+its frequency in the block asks for; nodes share a bounded table by their hash. All numbers are integers, so that every machine
 computes the same; words have 16 bits, and carries are added up at the end of a block.
 """
 
@@ -12,11 +13,23 @@ from __future__ import annotations
 
 import numpy as np
 
-LANES = 4096
-_BITS2, _BITS1, _FIRST = 10, 10, 2  # sizes of the tables of guesses; bits behind the leading one that the tree learns
+LANES = 2048
+_BITS2, _BITS1, _NODES = 11, 11, 12  # sizes of the tables of guesses and of the nodes of order 0
+_FRESH = 0x8000  # a node never seen: an even chance in the upper 12 bits, how often it was seen in the lower 4
 _TOP, _MASK32 = 1 << 32, (1 << 32) - 1
 
 
+def _next() -> np.ndarray:
+    """The state of a node after a bit of 0 or 1: its chance moves towards the bit, the less the more often it was seen."""
+    state = np.arange(1 << 16, dtype=np.int64)
+    seen, chance = state & 15, state & 0xFFF0
+    rate = np.maximum(65536 * 5 // (5 * seen + 7), 3072)
+    return np.stack([(chance + ((goal - chance) * rate >> 16)) & 0xFFF0 | np.minimum(seen + 1, 15) for goal in (256, 65280)]).astype(np.uint16)
+
+
+_NEXT = _next()
+
+
 class _Coder:
     """Range coder of several lanes: range and low (or the code less low) of each, and the place of its next word."""
 
@@ -47,15 +60,6 @@ class _Coder:
             low = np.where(bit, low, low + bound)
         return (low, np.where(bit, bound, size - bound)), bit
 
-    def plain(self, part: tuple, n: np.ndarray, value: np.ndarray | None) -> tuple[tuple, np.ndarray]:
-        """n even bits at once."""
-        low, size = part
-        size = size >> n
-        if self.decoding:
-            value = np.minimum(low // size, (1 << n) - 1)
-            return (low - value * size, size), value
-        return (low + value * size, size), value
-
     def shift(self, part: tuple, at: np.ndarray, lane: np.ndarray) -> tuple[tuple, np.ndarray]:
         """Move 16 bits where the range is short of 32 (it is never short of 16)."""
         low, size = part
@@ -86,6 +90,49 @@ class _Coder:
         return words, used
 
 
+def _node(coder: _Coder, nodes: np.ndarray, part: tuple, base: np.ndarray, key: np.ndarray, bit: np.ndarray | None):
+    """One binary step of lanes at their nodes; it narrows a range by eight bits at most, so two steps go without a shift."""
+    slot = key * 0x9E3779B1
+    slot >>= 11
+    slot &= (1 << _NODES) - 1
+    slot += base
+    state = nodes[slot]
+    chance = (state & 0xFFF0).astype(np.int64)
+    part, bit = coder.bit(part, chance, bit)
+    nodes[slot] = _NEXT[bit.view(np.int8), state]
+    return part, bit
+
+
+def _order0(coder: _Coder, nodes: np.ndarray, lane: np.ndarray, deep: int, value: np.ndarray | None, length: np.ndarray | None) -> np.ndarray:
+    """Code (or find) values from 1 on by the tree over all of them."""
+    part, at, base = (coder.low[lane], coder.range[lane]), coder.at[lane], lane << _NODES
+    node = np.ones(len(lane), np.int64)
+    for i in range(deep):
+        part, bit = _node(coder, nodes, part, base, node, None if length is None else (length >> (deep - 1 - i) & 1).astype(bool))
+        node = node * 2 + bit
+        if i % 2 or i == deep - 1:
+            part, at = coder.shift(part, at, lane)
+    length = node - (1 << deep)
+    # Lanes with long values first: those that still have bits are always the first ones.
+    order = np.argsort(-length, kind="stable")
+    lane, base, length, low, size, at = lane[order], base[order], length[order], part[0][order], part[1][order], at[order]
+    known = None if value is None else value[order]
+    got, mark, longest = np.ones(len(lane), np.int64), length + 32, int(length[0])
+    ends = np.searchsorted(-length, -np.arange(longest), side="left")
+    for i in range(longest):
+        k = int(ends[i])
+        own = None if known is None else (known[:k] >> (length[:k] - 1 - i) & 1).astype(bool)
+        (low[:k], size[:k]), bit = _node(coder, nodes, (low[:k], size[:k]), base[:k], got[:k] * 64 + mark[:k], own)
+        got[:k] = got[:k] * 2 + bit
+        if i % 2 or i == longest - 1:
+            k = int(ends[i - i % 2])  # with those that ended one step before
+            (low[:k], size[:k]), at[:k] = coder.shift((low[:k], size[:k]), at[:k], lane[:k])
+    coder.low[lane], coder.range[lane], coder.at[lane] = low, size, at
+    out = np.empty_like(got)
+    out[order] = got
+    return out
+
+
 def _run(sizes: np.ndarray, bits: int, ids: np.ndarray | None, words: np.ndarray | None):
     """Code lanes whose sizes don't rise; ids below 2 ** bits - 1 (steps x lanes) go in, or come out of words."""
     lanes, steps = len(sizes), int(sizes.max(initial=0))
@@ -97,8 +144,8 @@ def _run(sizes: np.ndarray, bits: int, ids: np.ndarray | None, words: np.ndarray
     id1, seen1 = np.zeros(lanes << _BITS1, kind), np.zeros(lanes << _BITS1, np.int8)
     hit2, hit1, hit0 = np.full(lanes * 4, 8192, np.int64), np.full(lanes * 8, 8192, np.int64), np.full(lanes, 8192, np.int64)
     weight = [np.full(lanes, 1 << 14, np.int64) for _ in range(3)]
-    depth = (bits - 1).bit_length() + _FIRST
-    tree = np.full(lanes << depth, 32768, np.uint16)
+    deep = (bits - 1).bit_length()  # binary steps that tell how many bits an id has
+    nodes = np.full(lanes << _NODES, _FRESH, np.uint16)
     every = np.arange(lanes)
     last, older = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
     active = np.searchsorted(-sizes, -np.arange(steps), side="left")
@@ -128,32 +175,11 @@ def _run(sizes: np.ndarray, bits: int, ids: np.ndarray | None, words: np.ndarray
             x = np.where(hit, guess, 0).astype(np.int64)
         left = np.flatnonzero(~hit)
         if len(left):
-            part, at = (coder.low[left], coder.range[left]), coder.at[left]
-            if not decoding:
-                value = x[left] + 1
-                length = np.frexp(value.astype(np.float64))[1].astype(np.int64) - 1  # bits behind the leading one
-                rest = np.maximum(length - _FIRST, 0)
-                head = (value ^ (1 << length)) << np.maximum(_FIRST - length, 0) >> rest
-                code = length << _FIRST | head
-            base = left << depth
-            node = np.ones(len(left), np.int64)
-            for i in range(depth):
-                slot = base + node
-                chance = tree[slot].astype(np.int64)
-                part, bit = coder.bit(part, chance, None if decoding else (code >> (depth - 1 - i) & 1).astype(bool))
-                tree[slot] = chance + (np.where(bit, 63488 - chance, 2048 - chance) >> 4)
-                node = node * 2 + bit
-                if i % 3 == 2 or i == depth - 1:
-                    part, at = coder.shift(part, at, left)
-            if decoding:
-                code = node - (1 << depth)
-                length, head = code >> _FIRST, code & ((1 << _FIRST) - 1)
-                rest = np.maximum(length - _FIRST, 0)
-            part, tail = coder.plain(part, rest, None if decoding else value & ((1 << rest) - 1))
-            part, coder.at[left] = coder.shift(part, at, left)
-            coder.low[left], coder.range[left] = part
+            value = None if decoding else x[left] + 1
+            length = None if decoding else np.frexp(value.astype(np.float64))[1].astype(np.int64) - 1  # bits behind the leading one
+            found = _order0(coder, nodes, left, deep, value, length)
             if decoding:
-                x[left] = ((1 << length) | (head >> np.maximum(_FIRST - length, 0) << rest) | tail) - 1
+                x[left] = found - 1
         if decoding:
             out[t, :k] = x
         for table, seen, slot, guess_, n in ((id2, seen2, s2, g2, n2), (id1, seen1, s1, g1, n1)):

@@ -90,6 +90,30 @@ def test_codec_round_trip(bits, top):
     assert len(coded[-1]) < len(blocks[-1]) * bits / 8 / 3  # repetition is learnt
 
 
+def test_codec_models_ids_better_than_a_general_compressor():
+    """Ids without any context: only their frequencies can be learnt. Each block is coded from nothing."""
+    rng = np.random.default_rng(5)
+    blocks = [np.minimum(rng.zipf(1.3, 2048), 49_000) for _ in range(12)]
+    coded = codec.encode(blocks, 16)
+    for block, own in zip(blocks, coded, strict=True):
+        share = np.unique(block, return_counts=True)[1] / len(block)
+        entropy = -(share * np.log2(share)).sum()
+        assert len(own) * 8 / len(block) < entropy + 1.8
+        assert len(own) < 0.95 * len(zlib.compress(block.astype("<u2").tobytes(), 9))
+    alone = codec.encode(blocks[3:4], 16)
+    assert alone == coded[3:4]
+
+
+@pytest.mark.parametrize("bits", [1, 2, 3, 5, 9, 17, 21])
+def test_codec_of_every_width(bits):
+    rng = np.random.default_rng(bits)
+    top = (1 << bits) - 2
+    blocks = [rng.integers(0, top + 1, n) for n in rng.integers(1, 90, 40)] + [np.array([top]), np.repeat([0, top], 300)]
+    coded = codec.encode(blocks, bits)
+    for got, want in zip(codec.decode(coded, [len(b) for b in blocks], bits), blocks, strict=True):
+        assert np.array_equal(got, want)
+
+
 @pytest.mark.parametrize("name", ["count", "pack", "files"])
 def test_odd_tables(spark, tmp_path, name):
     def run(docs):
