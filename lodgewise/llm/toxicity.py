@@ -90,7 +90,7 @@ def learn(docs: DataFrame, labels: DataFrame, max_rows: int = 12_000, max_terms:
 
     Voters: terms that mark toxic rows, the seed lexicon, and PATTERNS; the human label is one more voter, not the
     truth. A term counts if its log-likelihood ratio exceeds the logarithm of the number of terms, so that about one
-    would by chance; of rows with the same four smallest word hashes (copies and near copies) only one takes part, or
+    would by chance; of rows with one label and the same set of words (copies) only one takes part, or
     every word of a copied text would look like evidence. The classifier learns the label model's posterior from at most `max_terms` terms. A doc_id with several labels counts as toxic if one of them is 1. Without labels of both
     classes the seed lexicon decides alone.
     """
@@ -99,8 +99,8 @@ def learn(docs: DataFrame, labels: DataFrame, max_rows: int = 12_000, max_terms:
     sample = ids.orderBy(F.xxhash64("_id"), "_id").limit(max_rows)
     labelled = plain_docs(docs).join(F.broadcast(sample), F.col("doc_id") == F.col("_id"))
     hashes = F.transform(F.array_distinct(F.split(F.lower("text"), "[^\\p{L}]+")), lambda w: F.xxhash64(w))
-    sketch = F.slice(F.array_sort(hashes), 1, 4).alias("sketch")
-    once = labelled.select("_id", "_y", sketch).groupBy("sketch").agg(F.min(F.struct("_id", "_y")).alias("s")).select("s.*").distinct()
+    same = F.xxhash64(F.array_sort(hashes)).alias("_same")
+    once = labelled.select("_id", "_y", same).groupBy("_same", "_y").agg(F.min("_id").alias("_id")).select("_id", "_y").distinct()
     once = written(once, "sample")
     rows = plain_docs(docs).join(F.broadcast(once), F.col("doc_id") == F.col("_id")).select("text", "_y")
 
