@@ -158,3 +158,33 @@ def test_plans_have_no_cross_join_and_no_python(spark):
     for df in frames:
         for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
             assert bad not in plan_of(df)
+
+
+def test_sites_meet_their_spots_in_leaves_not_in_broadcasts_or_wide_joins(spark):
+    """Sites are too many to be sent to every task, whatever the size of the files they come from."""
+    spots, targets = points(spark, scattered("town", 300, 9)), points(spark, scattered("town", 3000, 10))
+    for df in (spatial.count_within(spots, targets, {"n": 2.0}, crowd=0), spatial.nearest(spots, targets)):
+        assert not [line for line in plan_of(df).splitlines() if "Join" in line and "parent" in line and "site_" in line]
+        assert "FlatMapCoGroupsInArrow" in plan_of(df)
+
+
+def test_leaves_count_and_compare_as_brute_force_does():
+    import pyarrow as pa
+
+    from lodgewise.operators.leaves import count_leaf, nearest_leaf
+
+    for kind in ("town", "pole", "date line", "crowd", "globe"):
+        spots, sites = scattered(kind, 60, 11), list(dict.fromkeys(scattered(kind, 900, 12)))
+        r = {"pole": 30.0, "date line": 30.0, "globe": 2500.0}.get(kind, 4.0)
+        c = 2 * math.sin(r / 2 / 6371)
+        table = pa.table({"site_lat": [p[0] for p in sites], "site_lon": [p[1] for p in sites], "n": [1 + i % 3 for i in range(len(sites))]})
+        asked = {"lat": [float(p[0]) for p in spots], "lon": [float(p[1]) for p in spots]}
+        n = len(spots)
+        got = count_leaf(pa.table({**asked, "i": pa.array([0] * n, pa.int32()), "km": [r] * n, "c": [c] * n}), table).column("n").to_pylist()
+        assert got == [sum(1 + i % 3 for i, q in enumerate(sites) if km(*p, *q) <= r) for p in spots]
+        near = nearest_leaf(pa.table({**asked, "bound": [2.0] * n}), table.drop_columns(["n"])).to_pylist()
+        best = {}
+        for row in near:
+            p = row["lat"], row["lon"]
+            best[p] = min(best.get(p, 1e9), km(*p, row["site_lat"], row["site_lon"]))
+        assert best == {tuple(p): min(km(*p, *q) for q in sites) for p in spots}
