@@ -167,8 +167,8 @@ def review_features(rows: DataFrame, merged: DataFrame, settings: Settings) -> D
     links = hotel_links(merged)
 
     def per_hotel(facts: DataFrame) -> DataFrame:
-        # Facts are one row per platform hotel, so a hotel with very many reviews is one row here.
-        return facts.join(links, "id").drop("id")
+        # Sorted, not broadcast: the size of the feed's files says little of how many facts come out of them.
+        return facts.hint("merge").join(links, "id").drop("id")
 
     counts = per_hotel(reviews.review_counts(rows, ["id", "platform"], "date", settings.as_of))
     totals = counts.groupBy("hotel_id").agg(

@@ -205,3 +205,16 @@ def test_lookup_tables_are_joined_by_their_size(spark):
 def test_checkpoints_go_to_the_named_folder(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert cut(spark.range(3)).count() == 3
+
+
+def test_facts_of_reviews_are_not_broadcast(spark, classified):
+    """Many facts come out of small files, so their estimated size must not send them through the driver."""
+    from lodgewise.plans import batch
+
+    tables = batch.typed_tables(classified, "2025-06-01")
+    rows = batch.all_reviews(tables)
+    merged = spark.createDataFrame([("h", "booking.com:1", None, 1.0, 2.0, 3.0)], "hotel_id string, a_id string, b_id string, rating double, a_rating double, b_rating double")
+    lexicon = spark.createDataFrame([("bagus", 1)], "token string, weight int")
+    settings = batch.Settings("2025-06-01", None, lexicon, {})
+    plan = batch.review_features(rows, merged, settings)._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in plan.splitlines() if "BroadcastHashJoin [id#" in line]
