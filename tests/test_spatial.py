@@ -188,3 +188,11 @@ def test_leaves_count_and_compare_as_brute_force_does():
             p = row["lat"], row["lon"]
             best[p] = min(best.get(p, 1e9), km(*p, row["site_lat"], row["site_lon"]))
         assert best == {tuple(p): min(km(*p, *q) for q in sites) for p in spots}
+
+
+def test_few_rows_of_many_pairs_are_joined_over_all_cores(spark):
+    """Sides of few bytes are neither broadcast nor left to one task."""
+    left, right = points(spark, scattered("town", 50, 13)).coalesce(1), points(spark, scattered("town", 50, 14), RIGHT).coalesce(1)
+    pairs = spatial.radius_join(left, right, 2.0)
+    assert "BroadcastHashJoin" not in plan_of(pairs)
+    assert pairs.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
