@@ -5,6 +5,7 @@ a text, and how deep, depends on all that came before: each part of a file is sc
 running sums over the parts tell which one holds, and a second scan cuts out the records.
 """
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,9 +24,15 @@ _FILLER = b" \t\r\n[],\xef\xbb\xbf"  # what may stand between records
 def _segments(spark: SparkSession, path, pattern: str) -> DataFrame:
     """Text up to each closing brace, in the order of the file within a part (`part`: its first byte)."""
     text = spark.read.option("lineSep", "}").option("pathGlobFilter", pattern).text(path)
-    meta = [F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_size").alias("source_bytes"), F.col("_metadata.file_block_start").alias("part")]
-    rows = without_junk(text.select("value", *meta))
-    return rows.select("value", "source_file", "source_bytes", F.xxhash64("source_file").alias("file"), "part")
+    meta = [F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("part")]
+    return without_junk(text.select("value", *meta)).select("value", F.xxhash64("source_file").alias("file"), "part")
+
+
+def _files(spark: SparkSession, path, pattern: str) -> DataFrame:
+    """The files as Spark lists them, with their sizes; their content is not read."""
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
+    rows = listed.select(F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_size").alias("source_bytes"))
+    return without_junk(rows).select(F.xxhash64("source_file").alias("file"), "source_file", "source_bytes").distinct()
 
 
 def _bytes_of(values: pa.Array) -> np.ndarray:
@@ -43,11 +50,15 @@ class _Scan:
         self.odd = self.slashes = 0
 
     def braces(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        plain = np.maximum.accumulate(np.where(data != _SLASH, np.arange(len(data)), -1))
+        slash = np.flatnonzero(data == _SLASH)
+        order = np.arange(len(slash))
+        begins = np.maximum.accumulate(np.where(np.diff(slash, prepend=-2) != 1, order, 0))  # of each run of them
+        run = order - begins + 1 + np.where(slash[begins] == 0, self.slashes, 0)
 
         def slashes_before(at: np.ndarray) -> np.ndarray:
-            last = np.where(at > 0, plain[at - 1], -1)
-            return at - 1 - last + np.where(last < 0, self.slashes, 0)
+            place = np.searchsorted(slash, at) - 1
+            there = (place >= 0) & (slash[place] == at - 1) if len(slash) else np.zeros(len(at), bool)
+            return np.where(there, run[place] if len(slash) else 0, np.where(at == 0, self.slashes, 0))
 
         quotes = np.flatnonzero(data == _QUOTE)
         quotes = quotes[slashes_before(quotes) % 2 == 0]
@@ -123,8 +134,9 @@ def _states(summaries: DataFrame, files: DataFrame) -> DataFrame:
     return rows.select("file", "part", F.col("text").cast("int").alias("text"), "depth", "opener", (last & (F.col("surplus") == 1)).alias("cut"), "damaged")
 
 
-def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Records that lie in one part (`opener` null), and the pieces of others under the part where they begin."""
+def _records(batches: Iterator[pa.RecordBatch], crossing: bool) -> Iterator[pa.RecordBatch]:
+    """Records that lie in one part (`opener` null), or with `crossing` the pieces of the others under the part where
+    they begin."""
     scan, depth, opener, held = None, 0, None, []
     for batch, ends in _parts(batches):
         file, part = _key(batch)
@@ -143,8 +155,11 @@ def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, at, out = data.tobytes(), 0, []
         if depth > 0:
             begins = [0, *begins]
-        for begin, stop in zip(begins, [*stops, None] if len(stops) < len(begins) else stops, strict=True):
-            if (other := raw[at:begin].strip(_FILLER)) and depth == 0:
+        spans = list(zip(begins, [*stops, None] if len(stops) < len(begins) else stops, strict=True))
+        if crossing and len(spans) > 2:  # what lies between the first and the last one ends where it begins
+            spans = [spans[0], spans[-1]]
+        for begin, stop in spans:
+            if not crossing and depth == 0 and (other := raw[at:begin].strip(_FILLER)):
                 out.append((None, other))
             held.append(raw[begin:stop])
             if stop is None:
@@ -152,14 +167,14 @@ def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out.append((opener, b"".join(held)))
             at, depth, opener, held = stop, 0, None, []
         else:
-            if other := raw[at:].strip(_FILLER):
+            if not crossing and (other := raw[at:].strip(_FILLER)):
                 out.append((None, other))
         depth = int(after[-1]) if len(after) else depth
         if ends:
             if depth > 0:
                 out.append((part if opener is None else opener, b"".join(held)))
             scan = None
-        if out:
+        if out := [x for x in out if (x[0] is not None) == crossing]:
             columns = [pa.array([file] * len(out)), pa.array([part] * len(out)), pa.array([o for o, _ in out], pa.int64()), pa.array([t.decode("utf-8", "replace") for _, t in out])]
             yield pa.RecordBatch.from_arrays(columns, ["file", "part", "opener", "value"])
 
@@ -170,16 +185,15 @@ def record_texts(spark: SparkSession, path, pattern: str = "*.json") -> tuple[Da
     Objects may stand in one array, in several, or one after the other; other values between them come as they are. A
     record over several parts is put together from their pieces, so a task holds one record more than it reads.
     """
-    segments = _segments(spark, path, pattern)
-    files = segments.groupBy("file").agg(F.first("source_file").alias("source_file"), F.first("source_bytes").alias("source_bytes"))
-    known = segments.select("value", "file", "part").mapInArrow(_summaries, _SUMMARY)
+    segments, files = _segments(spark, path, pattern), _files(spark, path, pattern)
+    known = segments.mapInArrow(_summaries, _SUMMARY)
     states = _states(known, files)
     damaged = [r.source_file for r in states.filter("damaged").select("file").distinct().join(files, "file").collect()]  # files, as Spark lists them
-    placed = segments.select("value", "file", "part").join(F.broadcast(states.filter("NOT damaged").drop("damaged")), ["file", "part"])  # a row per task's share
-    found = placed.mapInArrow(_records, "file long, part long, opener long, value string")
-    pieces = found.filter("opener IS NOT NULL").groupBy("file", "opener").agg(F.array_sort(F.collect_list(F.struct("part", "value"))).alias("p"))
+    placed = segments.join(F.broadcast(states.filter("NOT damaged").drop("damaged")), ["file", "part"])  # a row per task's share
+    found = "file long, part long, opener long, value string"
+    pieces = placed.mapInArrow(functools.partial(_records, crossing=True), found).groupBy("file", "opener").agg(F.array_sort(F.collect_list(F.struct("part", "value"))).alias("p"))
     joined = pieces.select("file", F.array_join(F.transform("p", lambda x: x["value"]), "").alias("value"))
-    whole = found.filter("opener IS NULL").select("file", "value").unionByName(joined)
+    whole = placed.mapInArrow(functools.partial(_records, crossing=False), found).select("file", "value").unionByName(joined)
     return whole.join(F.broadcast(files), "file").select("value", "source_file", "source_bytes"), damaged
 
 

@@ -3,6 +3,7 @@
 import json
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -79,6 +80,28 @@ def test_damaged_files_go_to_the_plain_reader(spark, tmp_path, small_parts):
     assert rows(got) == rows(read_feed(spark, str(tmp_path), SCHEMA))
 
 
+def test_slashes_before_quotes_over_batches():
+    text = rb'{"a\\":"\"{\\\"}","b":"\\\\"}\\"{'
+    whole = json_arrays._Scan().braces(np.frombuffer(text, np.uint8))
+    for at in range(len(text) + 1):
+        scan = json_arrays._Scan()
+        one, two = (scan.braces(np.frombuffer(x, np.uint8)) for x in (text[:at], text[at:]))
+        assert [*one[2], *two[2]] == [*whole[2]] and [*one[0], *(two[0] + at)] == [*whole[0]], at
+    quoted, odd = [], 0
+    for i, c in enumerate(text):
+        before = text[:i]
+        odd ^= c == 34 and (len(before) - len(before.rstrip(b"\\"))) % 2 == 0
+        quoted += [odd] if c in b"{}" else []
+    assert [*whole[2]] == quoted
+
+
+def test_files_are_listed_without_reading_them(spark, tmp_path, small_parts):
+    (tmp_path / "a.json").write_text(json.dumps(records(40)))
+    plan = json_arrays.read_arrays(spark, str(tmp_path), SCHEMA)._jdf.queryExecution().optimizedPlan().toString()
+    # texts are read for the states at the beginning of parts, for records inside parts and for those across
+    assert sum(line.endswith(" text") for line in plan.splitlines()) == 4
+
+
 def test_values_that_are_no_objects_are_corrupt(spark, tmp_path):
     (tmp_path / "a.json").write_text('[{"id": 1}, 17, "x", {"id": 2}]')
     got = json_arrays.read_arrays(spark, str(tmp_path), SCHEMA).collect()
