@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lodgewise.functions import scores, text
 from lodgewise.operators import clean, market, match, quality, ranking, reviews, stats, temporal
+from lodgewise.operators.spatial import radius_join
 
 
 def frame(spark, rows, ddl):
@@ -150,6 +151,16 @@ def test_matching_distance_is_strict(spark):
     assert match.match_entities(a, b, d).count() == 0 and match.match_entities(a, b, d * 1.000001).count() == 1
 
 
+def test_the_side_of_fewer_rows_goes_to_all_its_cells(spark, monkeypatch):
+    met = []
+    monkeypatch.setattr(match, "radius_join", lambda left, right, *given, **named: met.append((left, right)) or radius_join(left, right, *given, **named))
+    few = hotels(spark, [("f", "grand hotel", 0.0, 0.0)])
+    many = hotels(spark, [(f"m{i}", "grand hotel", 0.0, i / 20000) for i in range(1, 6)])
+    one, two = match.match_entities(many, few, 1.0).collect(), match.match_entities(few, many, 1.0).collect()
+    assert [(r.a_id, r.b_id, r.similarity) for r in one] == [("m1", "f", 1.0)] and [(r.a_id, r.b_id) for r in two] == [("f", "m1")]
+    assert one[0].distance_km == two[0].distance_km and [(x.count(), y.count()) for x, y in met] == [(1, 5), (1, 5)]
+
+
 def test_merge_keeps_everyone_once(spark):
     a = frame(spark, [("a1", "n", None), ("a2", "m", 2.0)], "id string, name string, price double")
     b = frame(spark, [("b1", "x", 1.0), ("b2", "y", 4.0)], "id string, name string, price double")
