@@ -3,14 +3,11 @@ benchmark go, personal data is masked, the rest is packed. Each stage reads what
 
 from __future__ import annotations
 
-import uuid
-
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lodgewise.llm import jaccard, leaks, packing, personal, toxicity
 from lodgewise.llm.common import table, written
-from lodgewise.session import shared_folder
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,7 +42,7 @@ def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of 2048 tokens."""
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), keep_bytes=48 << 20)  # the workers serve other stages too
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), keep_bytes=48 << 20, slice_bytes=2 << 20)  # the workers serve other stages too
 
 
 STAGES = [
@@ -63,7 +60,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents, each written as Parquet in the shared folder and read again."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        docs = written(stage(spark, docs, sf_dir), name, "4m")
     return docs

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from lodgewise.llm.common import plain_docs, slices, written
+from lodgewise.llm.common import plain_docs, released, slices, written
 from lodgewise.llm.graph import components
 from lodgewise.llm.words import mix, shingles, words
 
@@ -96,6 +96,7 @@ def _rarity(docs: DataFrame, size: int) -> _Rarity:
             for total, values in zip(counts, (prints, shingles(prints, first, size)[0]), strict=True):
                 place, n = np.unique(_bucket(values), return_counts=True)
                 total[place] += n.astype(np.int32)
+        released()
         lane = TaskContext.get().partitionId()
         if counts.any():
             pieces = [np.minimum(p, 65535).astype("<u2").tobytes() for p in np.split(counts.ravel(), _PIECES)]
@@ -136,6 +137,7 @@ def _profiles(docs: DataFrame, size: int, percent: int, rarity: _Rarity) -> Data
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
             arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in beside), *arrays], [*beside, "n_shingles", "class", "print", "prefix", "bits"])
+        released()
 
     return docs.mapInArrow(run, "".join(f"{c} long, " for c in beside) + "n_shingles long, class long, print long, prefix binary, bits binary")
 
@@ -148,6 +150,7 @@ def _postings(groups: DataFrame) -> DataFrame:
             if sum(sizes):
                 grp, doc = (np.repeat(np.asarray(batch.column(c)), sizes) for c in ("grp", "doc"))
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(prefixes)), pa.array(grp), pa.array(doc)], ["shingle", "grp", "doc"])
+        released()
 
     return groups.select("grp", "doc", "prefix").mapInArrow(run, "shingle long, grp long, doc long")
 
@@ -231,6 +234,7 @@ def _likely(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
                 both = min(n - without, m - other)
                 good.append(100 * both >= percent * (n + m - both))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(good, pa.bool_()))
+        released()
 
     met = near.join(sides[0], "a").join(sides[1], "b").select("a", "b", "na", "nb", "bitsa", "bitsb")
     return met.mapInArrow(check, "a long, b long")
@@ -249,6 +253,7 @@ def _verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, size: int, per
             found = [(_class(s), s.tobytes()) for s in _sets(batch.column("text"), size) if len(s)]
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.binary())], ["class", "members"])
+        released()
 
     held = rows.mapInArrow(sets, "class long, members binary").join(wanted.select("class"), "class", "left_semi").dropDuplicates(["class"])
     held = written(held, "sets")
@@ -262,6 +267,7 @@ def _verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, size: int, per
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 good.append(100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(good, pa.bool_()))
+        released()
 
     return met.select("a", "b", "ma", "mb").mapInArrow(check, "a long, b long")
 

@@ -12,11 +12,12 @@ import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
-from lodgewise.llm.common import plain_docs, slices
+from lodgewise.llm.common import plain_docs, released, slices
 from lodgewise.llm.words import shingles, words
 
 _BLOCKS = 8  # of 8 bits each
-SLICE = 2 << 20  # bytes of text at once: each takes about 50 bytes of memory
+SLICE = 1 << 20  # bytes of text at once: each takes about 50 bytes of memory
+_SPAN = 4096  # places of a text whose windows get their fingerprints at once: each takes about 2 KB of memory
 
 
 class Weights:
@@ -116,8 +117,8 @@ def _search(items: Items, weights: Weights, column: pa.Array, least: float) -> I
                 np.add.at(marks, here + 1, -1)
                 starts = np.flatnonzero(np.cumsum(marks[:-1]) > 0)
                 starts = starts[starts + width <= len(run)]
-                for at_once in range(0, len(starts), 4096):
-                    some = starts[at_once : at_once + 4096]
+                while len(starts):
+                    some, starts = np.split(starts, [np.searchsorted(starts, starts[0] + _SPAN)])
                     low, high = int(some[0]), int(some[-1]) + width
                     window, item, distance = items.near(simhash(run[low:high], width, weights, some - low), n)
                     for w, i, d in zip(window.tolist(), item.tolist(), distance.tolist(), strict=True):
@@ -187,6 +188,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, size: int = 5, least: floa
                     text, item, start, n, distance, similarity = zip(*found, strict=True)
                     arrays = [batch.column("doc_id").take(pa.array(text)), pa.array([items.ids[x] for x in item], pa.int64()), pa.array(start, pa.int64()), pa.array(n, pa.int64()), pa.array(distance, pa.int32()), pa.array(similarity, pa.float64())]
                     yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "item_id", "start_word", "n_words", "distance", "similarity"])
+            released()
 
         once = rows.mapInArrow(run, schema)
         out = once if out is None else out.unionByName(once)
@@ -204,6 +206,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, size: int = 5, least: f
                 if items.bags:
                     clean[[x[0] for x in _search(items, common.value, pc.fill_null(batch.column("text"), ""), least)]] = False
                 yield batch.filter(pa.array(clean))
+            released()
 
         docs = docs.mapInArrow(run, docs.schema)
     return docs

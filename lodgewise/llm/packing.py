@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from lodgewise.llm.common import KEEP_BYTES, TokenStore, plain_docs, released, slices, written
+from lodgewise.llm.common import KEEP_BYTES, SLICE_BYTES, TokenStore, plain_docs, released, slices, written
 
 _PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _PART_BITS = 33  # low bits of a sequence id: the number of the sequence in its partition
@@ -53,7 +53,7 @@ class Windows:
             length -= taken
 
 
-def _pack_partitions(docs: DataFrame, tokenizer_path: str, end_id: int, size: int, keep: int, least_cut: int, with_ids: bool, keep_bytes: int) -> DataFrame:
+def _pack_partitions(docs: DataFrame, tokenizer_path: str, end_id: int, size: int, keep: int, least_cut: int, with_ids: bool, keep_bytes: int, slice_bytes: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         store, windows = TokenStore.of(tokenizer_path, keep_bytes), Windows(size, keep, least_cut)
@@ -71,7 +71,7 @@ def _pack_partitions(docs: DataFrame, tokenizer_path: str, end_id: int, size: in
                 names.append("ids")
             return pa.RecordBatch.from_arrays(arrays, names)
 
-        for batch in slices(batches):
+        for batch in slices(batches, limit=slice_bytes):
             flat, offsets = store.ids(batch.column("text"), end_id)
             for doc_id, a, b in zip(batch.column("doc_id").to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
                 start = 0
@@ -131,7 +131,7 @@ def _merger(size: int, keep: int, last: bool):
 
 def pack(
     docs: DataFrame, tokenizer_path: str, size: int = 2048, end_id: int = 1, keep: int = 64, least_cut: int = 32,
-    fan: int = 16, with_ids: bool = False, keep_bytes: int = KEEP_BYTES,
+    fan: int = 16, with_ids: bool = False, keep_bytes: int = KEEP_BYTES, slice_bytes: int = SLICE_BYTES,
 ) -> DataFrame:
     """Pack documents into sequences of at most `size` tokens; one row per piece.
 
@@ -139,12 +139,12 @@ def pack(
     nowhere the fullest window leaves, filled up with the head of the piece if both parts have `least_cut` tokens.
     The windows still open at the end are merged over `fan` partitions at a time until one group is left, so a
     task never holds more than `fan * keep` of them. `with_ids` adds the ids of each piece (little-endian, 4 bytes). A worker
-    remembers chunks of text with their ids in at most `keep_bytes`.
+    remembers chunks of text with their ids in at most `keep_bytes`, and takes `slice_bytes` of text at once.
 
     A null text is empty and packs its end id; a null doc_id stays null; repeated rows are packed each; an empty
     table gives no rows; other columns of `docs` are not read.
     """
-    first = written(_pack_partitions(docs, tokenizer_path, end_id, size, keep, least_cut, with_ids, keep_bytes), "packed")
+    first = written(_pack_partitions(docs, tokenizer_path, end_id, size, keep, least_cut, with_ids, keep_bytes, slice_bytes), "packed")
     names = [c for c in first.columns if c not in ("open", "lane")]
     parts = [first.filter(~F.col("open")).select(*names)]
     left, lanes = first.filter("open"), max(1, docs.rdd.getNumPartitions())

@@ -1,5 +1,7 @@
 """Leaks of a benchmark that takes several passes."""
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from cases import docs_frame, random_texts
 from test_copies import brute_leaks, words_of
@@ -29,3 +31,15 @@ def test_leaks_do_not_depend_on_passes(spark, item_bytes):
     assert sorted(map(tuple, one.collect())) == sorted(map(tuple, leaks.find_leaks(docs_frame(spark, rows), bench, item_bytes=item_bytes).collect()))
     kept = leaks.without_leaks(docs_frame(spark, rows), bench, item_bytes=item_bytes)
     assert {r.doc_id for r in kept.collect()} == {d for d, _ in rows} - {d for d, _ in want}
+
+
+def test_a_long_text_is_searched_in_short_runs(spark, monkeypatch):
+    """Fingerprints of a run take 2 KB a place: places far apart are no reason for one run."""
+    passage = " ".join(f"item{i}" for i in range(30))
+    filler = " ".join(f"word{i}" for i in range(20_000))
+    runs, plain = [], leaks.simhash
+    weights = leaks.Weights(1, np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    items = leaks.Items([7], [passage], 5, 28, weights)
+    monkeypatch.setattr(leaks, "simhash", lambda run, *rest: runs.append(len(run)) or plain(run, *rest))
+    found = list(leaks._search(items, weights, pa.array([f"{passage} {filler} {passage}"]), 0.75))
+    assert [(f[1], f[2], f[3], f[5]) for f in found] == [(0, 0, 30, 1.0)] and max(runs) < 5000
