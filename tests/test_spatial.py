@@ -101,6 +101,28 @@ def test_no_hot_key_stays_whole(spark):
     assert l.groupBy(*keys).count().agg(F.max("count")).first()[0] < 30 and l.join(r, keys).count() == 120_000
 
 
+def test_blocks_of_pairs_hold_few_copies(spark):
+    left = spark.range(900).select(F.col("id").alias("a"), F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 50).alias("k"))
+    right = spark.range(600).select(F.col("id").alias("b"), F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 40).alias("k"))
+    want = left.join(right, "k").select("a", "b")
+    for rows, pairs, most in ((40, 1000, 40), (1000, 30_000, 1000)):
+        l, r, keys = split_hot_keys(left, right, "k", block_rows=rows, block_pairs=pairs)
+        got = l.join(r, keys).select("a", "b")
+        assert got.count() == want.count() and got.exceptAll(want).count() == 0
+        assert r.groupBy(*keys).count().agg(F.max("count")).first()[0] <= 2 * most  # salts come from a hash
+    assert l.count() + r.count() < 3000
+
+
+def test_a_full_cell_is_not_copied_without_need(spark, monkeypatch):
+    sent = []
+    monkeypatch.setattr(spatial, "meet", lambda a, b, keys: sent.append((a.count(), b.count())) or a.join(b, keys))
+    left = spark.range(12_000).select("id", F.lit(0.01).alias("latitude"), F.lit(0.01).alias("longitude"))
+    right = points(spark, [(0.01, 0.01)] * 30, RIGHT)
+    assert spatial.radius_join(left, right, 10.0).count() == 360_000
+    spatial.radius_join(left.limit(10), right, 10.0)
+    assert sent[0] == (sent[1][0] * 1200, 30)
+
+
 @pytest.mark.parametrize("crowd", [5_000, 0])
 @pytest.mark.parametrize("kind, radius", KINDS)
 def test_counts_equal_brute_force(spark, kind, radius, crowd):
