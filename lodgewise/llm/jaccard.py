@@ -8,14 +8,13 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from lodgewise.llm.common import plain_docs, released, slices, written
 from lodgewise.llm.graph import components
 from lodgewise.llm.words import mix, shingles, words
 
-_BITS, _PIECES = 21, 64  # frequency sketches: 2 ** _BITS counters each, added up in _PIECES parts
+_BITS, _PIECES = 21, 1024  # frequency sketches: 2 ** _BITS counters each, added up in _PIECES parts
 _MORE = 64
 _LIST, _ROWS = 64, 1024  # longer lists of a shingle are compared in blocks of so many rows
 _EACH = (2 << _BITS) // _PIECES
@@ -86,6 +85,20 @@ def _absent(x: bytes, y: bytes) -> tuple[int, int]:
     return int(np.count_nonzero(a > b)), int(np.count_nonzero(b > a))
 
 
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per piece: the sums of its counters over all rows, which are looked at one by one and never held."""
+    total: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for piece, counts in zip(batch.column("piece").to_pylist(), batch.column("counts"), strict=True):
+            if piece not in total:
+                total[piece] = np.zeros(_EACH, np.int64)
+            total[piece] += np.frombuffer(counts.as_buffer(), "<u2")
+    if total:
+        sums = [np.minimum(t, 2**32 - 1).astype("<u4").tobytes() for t in total.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array(sums, pa.binary())], ["piece", "counts"])
+    released()
+
+
 def _rarity(docs: DataFrame, size: int) -> _Rarity:
     """Counts of words and shingles over all rows, in sketches of fixed size."""
 
@@ -97,20 +110,14 @@ def _rarity(docs: DataFrame, size: int) -> _Rarity:
                 place, n = np.unique(_bucket(values), return_counts=True)
                 total[place] += n.astype(np.int32)
         released()
-        lane = TaskContext.get().partitionId()
         if counts.any():
             pieces = [np.minimum(p, 65535).astype("<u2").tobytes() for p in np.split(counts.ravel(), _PIECES)]
-            yield pa.RecordBatch.from_arrays([pa.array(range(_PIECES), pa.int32()), pa.array([lane] * _PIECES, pa.int32()), pa.array(pieces, pa.binary())], ["piece", "lane", "counts"])
-
-    def add(group: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(x, "<u2" if len(x) == 2 * _EACH else "<u4").astype(np.int64) for x in group["counts"])
-        return pd.DataFrame({"piece": group["piece"].iloc[:1], "lane": 0, "counts": [np.minimum(total, 2**32 - 1).astype("<u4").tobytes()]})
+            yield pa.RecordBatch.from_arrays([pa.array(range(_PIECES), pa.int32()), pa.array(pieces, pa.binary())], ["piece", "counts"])
 
-    schema = "piece int, lane int, counts binary"
-    parts = docs.mapInArrow(run, schema).withColumn("lane", (F.col("lane") % 256).cast("int"))
-    added = parts.groupBy("piece", "lane").applyInPandas(add, schema).groupBy("piece").applyInPandas(add, schema)
+    schema = "piece int, counts binary"
+    parts = docs.mapInArrow(run, schema).repartition("piece")
     counts = np.zeros((_PIECES, _EACH), np.uint32)
-    for row in written(added, "counts").collect():  # _PIECES rows
+    for row in written(parts.mapInArrow(_added, schema), "counts").toLocalIterator():  # _PIECES rows
         counts[row["piece"]] = np.frombuffer(row["counts"], "<u4")
     return _Rarity(*counts.reshape(2, -1))
 

@@ -166,3 +166,21 @@ def test_equal_items_and_rows(spark):
     bench = spark.createDataFrame([(1, passage), (1, passage), (None, passage)], "item_id long, text string")
     got = leaks.find_leaks(docs_frame(spark, [(None, passage), (3, passage), (3, passage)]), bench).collect()
     assert sorted((str(r.doc_id), str(r.item_id), r.similarity) for r in got) == sorted([(d, i, 1.0) for d in ("None", "3", "3") for i in ("1", "None")])
+
+
+def test_sketches_are_added_up_one_row_at_a_time(spark, monkeypatch):
+    plans, longest = [], []
+
+    def kept(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        longest.append(df.selectExpr("max(length(counts))").first()[0])
+        return df
+
+    monkeypatch.setattr(jaccard, "written", kept)
+    rows = [(i, f"common words here number{i % 7} and more") for i in range(90)]
+    rarity = jaccard._rarity(docs_frame(spark, rows).repartition(9), 5)
+    assert "Pandas" not in plans[0] and plans[0].count("Exchange") == 2 and longest[0] <= 1 << 14  # one deals out the rows above
+    prints = jaccard.words(jaccard.pa.array([t for _, t in rows]))[0]
+    counts = np.bincount(jaccard._bucket(prints), minlength=1 << jaccard._BITS)
+    assert rarity.whole == int(4 * np.log2(len(prints)))
+    assert (rarity.scarce == np.rint(-4 * np.log2(np.maximum(counts, 1) / len(prints))).astype(np.uint8)).all()
