@@ -102,17 +102,67 @@ class Marks:
         return (self.bytes[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
 
 
-def _marks(keys: DataFrame, least: int, bits: int) -> Marks:
-    """Marks of all keys whose counts (columns key, n; once a task) reach `least`; 2^bits bits reach the driver at most."""
-    place = F.shiftrightunsigned("key", 64 - bits)
-    many = keys.repartition("key").groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-    rows = many.groupBy((place / 32768).cast("int").alias("block")).agg(F.expr(f"bitmap_construct_agg(cast(shiftrightunsigned(key, {64 - bits}) % 32768 as int))").alias("bits"))
-    return Marks({r.block: bytes(r.bits) for r in rows.toLocalIterator()}, bits)
+def _counted(keys: np.ndarray, least: int, bits: int) -> pa.RecordBatch:
+    """Keys with their counts, a row per block of the bitmap: of each key 24 bits behind the block's (9 more than the bitmap
+    tells apart), and its count up to `least`, in a byte where that is enough."""
+    distinct, n = np.unique(keys >> np.uint64(64 - bits - 9), return_counts=True)
+    block = (distinct >> np.uint64(24)).astype(np.int32)
+    first = np.flatnonzero(np.append(True, block[1:] != block[:-1])) if len(block) else np.zeros(0, np.int64)
+    bounds = np.append(first, len(block))
+
+    def cut(values: np.ndarray, width: int) -> pa.Array:
+        return pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer((bounds * width).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
+
+    kind = _count_kind(least)
+    rests = distinct.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3]
+    return pa.RecordBatch.from_arrays([pa.array(block[first]), cut(rests, 3), cut(np.minimum(n, least).astype(kind), kind.itemsize)], ["block", "rests", "counts"])
+
+
+def _count_kind(least: int) -> np.dtype:
+    return np.dtype("<u1" if least < 256 else "<u4")
+
 
+def _marks(counted: DataFrame, least: int, bits: int) -> Marks:
+    """Marks of all keys whose counts (rows of `_counted`) reach `least`; 2^bits bits reach the driver at most."""
+    kind = _count_kind(least)
 
-def _counted(keys: np.ndarray) -> pa.RecordBatch:
-    distinct, n = np.unique(keys, return_counts=True)
-    return pa.RecordBatch.from_arrays([pa.array(distinct.view(np.int64)), pa.array(n.astype(np.int64))], ["key", "n"])
+    def summed(rests: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        rest, n = np.concatenate(rests), np.concatenate(counts)
+        order = np.argsort(rest, kind="stable")
+        rest, n = rest[order], n[order]
+        first = np.flatnonzero(np.append(True, rest[1:] != rest[:-1]))
+        return rest[first], np.add.reduceat(n, first)
+
+    def bitmap(rests: list[np.ndarray], counts: list[np.ndarray]) -> bytes | None:
+        rest, n = summed(rests, counts)
+        flags = np.zeros(32768, bool)
+        flags[rest[n >= least] >> 9] = True
+        return np.packbits(flags, bitorder="little").tobytes() if flags.any() else None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, rests, counts, held = None, [], [], 0
+
+        def out() -> Iterator[pa.RecordBatch]:
+            if at is not None and (own := bitmap(rests, counts)):
+                yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([own], pa.binary())], ["block", "bits"])
+
+        for batch in batches:
+            for block, rest, n in zip(*(batch.column(c).to_pylist() for c in ("block", "rests", "counts")), strict=True):
+                if block != at:
+                    yield from out()
+                    at, rests, counts, held = block, [], [], 0
+                wide = np.zeros((len(rest) // 3, 4), np.uint8)
+                wide[:, :3] = np.frombuffer(rest, np.uint8).reshape(-1, 3)
+                rests.append(wide.view("<u4")[:, 0])
+                counts.append(np.frombuffer(n, kind).astype(np.int64))
+                held += len(wide)
+                if held > _KEYS:
+                    rests, counts = ([x] for x in summed(rests, counts))
+                    held = 0
+        yield from out()
+
+    rows = counted.repartition("block").sortWithinPartitions("block").mapInArrow(run, "block int, bits binary")
+    return Marks({r.block: bytes(r.bits) for r in rows.toLocalIterator()}, bits)
 
 
 def _words_of(docs: DataFrame) -> DataFrame:
@@ -137,15 +187,15 @@ def windows(docs: DataFrame, least: int, longest: int = 5, bits: int = 27, slice
                 keys, _, some = _possible(Pieces(batch), [b.value for b in before])
                 held.append(keys[some])
                 if sum(map(len, held)) > _KEYS:
-                    yield _counted(np.concatenate(held))
+                    yield _counted(np.concatenate(held), least, bits)
                     held = []
             if held:
-                yield _counted(np.concatenate(held))
+                yield _counted(np.concatenate(held), least, bits)
 
         return run
 
     for _ in range(min(levels, longest - 1)):
-        keys = texts.mapInArrow(counted(list(known)), "key long, n long")
+        keys = texts.mapInArrow(counted(list(known)), "block int, rests binary, counts binary")
         known.append(spark.sparkContext.broadcast(_marks(keys, least, bits)))
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

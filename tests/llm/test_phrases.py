@@ -83,3 +83,22 @@ def test_top_and_ties(spark):
 def test_empty_tables(spark):
     for df in (docs_frame(spark, []), docs_frame(spark, [(1, None), (2, "")]), docs_frame(spark, [(None, "one two")])):
         assert phrases.collocations(df).count() == 0
+
+
+@pytest.mark.parametrize("least, bits", [(1, 27), (3, 27), (3, 15), (300, 20)])
+def test_marks_of_packed_keys(spark, least, bits):
+    """Keys are counted over all tasks; each takes four bytes or so on its way, not two long numbers."""
+    import numpy as np
+
+    rng = np.random.default_rng(7)
+    keys = rng.integers(0, 1 << 63, 5000).astype(np.uint64) * np.uint64(2)
+    times = rng.integers(1, 2 * least + 1, len(keys))
+    tasks = [np.repeat(keys, times // 2), np.repeat(keys, times - times // 2)]
+    batches = [phrases._counted(t, least, bits) for t in tasks]
+    assert sum(b.nbytes for b in batches[:1] if least < 256 and bits == 15) < 5 * len(keys)
+    rows = [r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+    marks = phrases._marks(spark.createDataFrame(rows, "block int, rests binary, counts binary"), least, bits)
+    assert marks.has(keys[times >= least]).all()
+    if bits > 15:
+        assert marks.has(keys[times < least]).mean() < 0.05 if (times < least).any() else True
+    assert phrases._counted(keys[:0], least, bits).num_rows == 0
