@@ -20,7 +20,7 @@ _FILE = "part long, row long, before long, n_ids long, doc_ids binary, nulls bin
 
 
 class _Rows:
-    """Documents waiting to be coded: rows of at least `row_ids` ids, coded when there are enough blocks for all lanes."""
+    """Documents waiting to be coded: rows of at least `row_ids` ids, coded when there are enough blocks for two full runs."""
 
     def __init__(self, block: int, row_ids: int, bits: int):
         self.block, self.row_ids, self.bits = block, row_ids, bits
@@ -75,7 +75,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
             flat, offsets = store.ids(batch.column("text"), end_id)
             for doc_id, a, b in zip(batch.column("doc_id").to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
                 rows.add(doc_id, flat[a:b])
-                if rows.n_blocks >= codec.LANES:
+                if rows.n_blocks >= 2 * codec.LANES:
                     yield rows.coded()
         rows.close()
         if rows.closed:
@@ -134,7 +134,7 @@ def read_token_files(spark: SparkSession, path: str, bits: int, block: int = 204
             for i in range(batch.num_rows):
                 waiting.append(batch.slice(i, 1))
                 blocks += len(waiting[-1].column("sizes")[0].as_py()) // 4
-                if blocks >= codec.LANES:
+                if blocks >= 2 * codec.LANES:
                     yield from out(waiting)
                     waiting, blocks = [], 0
         if waiting:

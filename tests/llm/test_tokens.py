@@ -128,3 +128,31 @@ def test_odd_tables(spark, tmp_path, name):
     assert run(docs_frame(spark, EMPTY)).count() == 0
     odd = docs_frame(spark, [(None, "a b"), (None, None), (3, "same"), (3, "same"), (4, "")], CLASH)
     assert sorted((r.doc_id is None, r.doc_id or 0) for r in run(odd).collect()) == [(False, 3), (False, 3), (False, 4), (True, 0), (True, 0)]
+
+
+def test_codec_takes_few_steps_an_id(monkeypatch):
+    """Time goes with the steps of the range coder: one for the guess and one for four bits of an id."""
+    steps, shift = [], codec._Coder.shift
+    monkeypatch.setattr(codec._Coder, "shift", lambda self, *a: (steps.append(1), shift(self, *a))[1])
+    block = np.random.default_rng(1).integers(0, 49_000, 300)
+    coded = codec.encode([block], 16)
+    assert len(steps) <= 5 * 300
+    steps.clear()
+    assert np.array_equal(codec.decode(coded, [300], 16)[0], block) and len(steps) <= 5 * 300
+
+
+def test_codec_counts_are_halved_in_long_blocks():
+    rng = np.random.default_rng(2)
+    block = np.where(rng.random(20_000) < 0.5, 7, rng.integers(0, 40, 20_000))
+    coded = codec.encode([block, block[:100]], 16)
+    assert np.array_equal(codec.decode(coded, [20_000, 100], 16)[0], block)
+
+
+def test_codec_runs_are_even(monkeypatch):
+    monkeypatch.setattr(codec, "LANES", 8)
+    assert [len(x) for x in codec._runs([3] * 9)] == [9] and [len(x) for x in codec._runs([3] * 14)] == [7, 7]
+    assert codec._runs([0, 0]) == [] and codec._runs([1, 0, 5]) == [[2, 0]]
+    blocks = [np.arange(n) for n in range(30)]
+    coded = codec.encode(blocks, 16)
+    for got, want in zip(codec.decode(coded, [len(b) for b in blocks], 16), blocks, strict=True):
+        assert np.array_equal(got, want)
