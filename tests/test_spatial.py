@@ -218,3 +218,25 @@ def test_few_rows_of_many_pairs_are_joined_over_all_cores(spark):
     pairs = spatial.radius_join(left, right, 2.0)
     assert "BroadcastHashJoin" not in plan_of(pairs)
     assert pairs.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
+@pytest.mark.parametrize("crowd", [0, 1e9])
+@pytest.mark.parametrize("inclusive", [True, False])
+def test_totals_equal_those_of_the_pairs(spark, monkeypatch, crowd, inclusive):
+    """Crowded cells and others, over the date line and the pole, with null labels, equal positions and pairs at the radius."""
+    monkeypatch.setattr(spatial, "_CROWD_PAIRS", crowd)
+    monkeypatch.setattr(spatial, "_CROWD_ROWS", 60)
+    rng = random.Random(9)
+    spots = [(-7.8, 110.4), (89.95, 0.0), (0.0, 179.99)]
+    some = lambda: [(la + rng.uniform(-0.2, 0.2) * (la < 80), (lo + rng.uniform(-0.2, 0.2) * (1 if la < 80 else 900)) % 360) for la, lo in spots for _ in range(60)]
+    own, other = some(), some()
+    own += other[:5] + [(0.0, 10.0)] * 300
+    other += [(0.0, 10.0), (0.0, 10.1), (None, 1.0)]
+    a = spark.createDataFrame([(rng.choice(["x", "y", None]), i % 2, la, lo) for i, (la, lo) in enumerate(own)], "kind string, odd int, latitude double, longitude double")
+    b = spark.createDataFrame([(rng.choice(["p", None]), la, lo) for la, lo in other], "what string, attr_latitude double, attr_longitude double")
+    km = spatial.radius_join(a, b, 30.0).filter("latitude = 0 and longitude = 10").agg(F.max("distance_km")).first()[0]
+    for radius in (30.0, km):  # the second is a distance that occurs
+        pairs = spatial.radius_join(a, b, radius, inclusive=inclusive).groupBy("kind", "odd", "what").agg(F.count("*").alias("pairs"), F.sum("distance_km").alias("s")).collect()
+        got = spatial.radius_join(a, b, radius, inclusive=inclusive, totals=(("kind", "odd"), ("what",))).collect()
+        want = {(r.kind, r.odd, r.what): (r.pairs, pytest.approx(r.s, rel=1e-9, abs=1e-6)) for r in pairs}
+        assert {(r.kind, r.odd, r.what): (r.pairs, r.distance_km) for r in got} == want and len(got) == len(want) == 12
