@@ -281,3 +281,50 @@ def test_conformance_and_timeliness(spark):
 def test_inconsistencies(spark):
     df = frame(spark, [(1, 9.0, 5.0, 0.9, 0.01), (2, 9.0, 8.5, 0.7, 0.09), (3, 9.0, 9.0, 0.9, 0.0)], "k int, a_rating double, b_rating double, similarity double, distance_km double")
     assert {r.k: r.disagreements for r in match.inconsistencies(df).collect()} == {1: ["rating"], 2: ["name", "position"]}
+
+
+@pytest.mark.parametrize("table", [0, 1 << 24])
+def test_crowded_cells_match_as_all_pairs_do(spark, monkeypatch, table):
+    """All names alike, many as near and as alike as others, copies, cells in blocks: the mutual best as from all pairs."""
+    import random
+
+    from lodgewise.functions.text import name_similarity
+    from lodgewise.operators import crowds, spatial
+
+    monkeypatch.setattr(spatial, "_CROWD_PAIRS", 10)
+    monkeypatch.setattr(spatial, "_CROWD_ROWS", 40)
+    monkeypatch.setattr(match, "best_pairs", lambda *given: _with(crowds.best_pairs(*given), table))
+    rng = random.Random(4)
+    made = lambda s, n: hotels(spark, [(f"{s}{i}", f"{s}otel {rng.randint(1, 30):06d}" + "long" * 20 * (i % 9 == 0), rng.choice([0.0, rng.randint(0, 9) / 100]), rng.randint(0, 9) / 100) for i in range(n)])
+    a, b = made("h", 150), made("m", 60)
+    pairs = spatial.radius_join(
+        a.toDF("a_id", "a_name", "a_lat", "a_lon"), b.toDF("b_id", "b_name", "b_lat", "b_lon"), 5.0, ("a_lat", "a_lon"), ("b_lat", "b_lon"), inclusive=False,
+    ).withColumn("s", name_similarity("a_name", "b_name")).filter("s >= 0.5").collect()
+    best = {}
+    for r in pairs:
+        for own, other in ((r.a_id, r.b_id), (r.b_id, r.a_id)):
+            best[own] = min(best.get(own, (9.0,)), (-r.s, r.distance_km, other))
+    want = {(r.a_id, r.b_id, r.s, r.distance_km) for r in pairs if best[r.a_id][2] == r.b_id and best[r.b_id][2] == r.a_id}
+    got = [tuple(r) for r in match.match_entities(a, b, 5.0, 0.5).collect()]
+    assert len(got) == len(want) > 10 and set(got) == want
+
+
+def _with(keep, table):
+    def limited(left, right):
+        from lodgewise.operators import crowds
+
+        crowds._TABLE = table
+        return keep(left, right)
+
+    return limited
+
+
+def test_few_pairs_of_a_crowded_cell_go_on():
+    import pyarrow as pa
+
+    from lodgewise.operators.crowds import best_pairs
+
+    side = lambda s, n: pa.table({f"{s}_id": list(range(n)), f"{s}_name": [f"hotel {i % 100:04d}" for i in range(n)], f"{s}_lat": [0.0] * n, f"{s}_lon": [i / 1e5 for i in range(n)]})
+    a, b = side("a", 400), side("b", 300)
+    i, j = best_pairs(5.0, 0.5, *[tuple(f"{s}_{c}" for c in ("id", "name", "lat", "lon")) for s in "ab"])(a, b)
+    assert len(i) <= 800 and {(x, x) for x in range(300)} <= set(zip(i.tolist(), j.tolist()))
